@@ -8,6 +8,9 @@ every later stage, like a failed task in the reference's DAG.
 Each mart is written and read back before the next one is built, which
 cuts the lineage (a lost executor recomputes from the last written table,
 not from the lake) and lets the next mart scan a pruned, compact table.
+Marts and snapshots are versioned folders: a refresh writes a new version
+and readers take the newest complete one, so a refresh never breaks a
+reader and a crashed run leaves the previous version in service.
 """
 
 from __future__ import annotations
@@ -17,10 +20,9 @@ import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quayside.operators import marts, merge, quality, snapshot, staging
-from quayside.sources.lake import read_lake, read_table_or_none, write_mart
+from quayside.sources.lake import read_lake, read_latest, read_table_or_none, version_path, write_mart
 
 SNAPSHOT_CHECK_COLS = ["customer_segment", "total_spend", "total_transactions", "failure_rate_pct"]
 
@@ -35,13 +37,11 @@ class Paths:
         return os.path.join(self.warehouse, "raw_transactions")
 
     def mart(self, name: str) -> str:
+        """Root of a mart; each refresh is a version folder below it."""
         return os.path.join(self.warehouse, "marts", name)
 
-    def snapshot_run(self, run_id: str) -> str:
-        return os.path.join(self.warehouse, "snapshots", "snap_customer_segments", f"run={run_id}")
-
     @property
-    def snapshot_root(self) -> str:
+    def snapshot(self) -> str:
         return os.path.join(self.warehouse, "snapshots", "snap_customer_segments")
 
 
@@ -52,6 +52,12 @@ class BatchResult:
     stages: list[str] = field(default_factory=list)
 
 
+def run_id(now: dt.datetime) -> str:
+    """Version id of a run: its load time, sortable. Re-running the same
+    ``now`` rewrites that run's own (unpublished or superseded) folders."""
+    return now.strftime("%Y%m%dT%H%M%S%f")
+
+
 def load_raw(spark: SparkSession, paths: Paths) -> tuple[bool, int]:
     """Lake -> raw warehouse table (insert-only, idempotent).
 
@@ -66,26 +72,18 @@ def load_raw(spark: SparkSession, paths: Paths) -> tuple[bool, int]:
         return False, 0
     load = merge.dedupe_by_key(lake, "transaction_id", ["event_timestamp"])
     target = read_table_or_none(spark, paths.raw)
+    before = target.count() if target is not None else 0
     new = merge.insert_if_absent(target, load, "transaction_id")
     new.write.mode("append").parquet(paths.raw)
-    written = spark.read.parquet(paths.raw)
-    return True, written.count() - (target.count() if target is not None else 0)
-
-
-def latest_snapshot(spark: SparkSession, paths: Paths) -> tuple[DataFrame | None, int]:
-    """The newest complete snapshot run (runs are written to new folders and
-    never overwritten; the newest one with a success marker wins)."""
-    root = paths.snapshot_root
-    if not os.path.isdir(root):
-        return None, 0
-    runs = sorted(
-        int(d.split("=", 1)[1])
-        for d in os.listdir(root)
-        if d.startswith("run=") and os.path.exists(os.path.join(root, d, "_SUCCESS"))
-    )
-    if not runs:
-        return None, 0
-    return spark.read.parquet(paths.snapshot_run(str(runs[-1]))), runs[-1]
+    return True, spark.read.parquet(paths.raw).count() - before
+
+
+def read_mart(spark: SparkSession, paths: Paths, name: str) -> DataFrame | None:
+    return read_latest(spark, paths.mart(name))[0]
+
+
+def latest_snapshot(spark: SparkSession, paths: Paths, before: str | None = None) -> tuple[DataFrame | None, str | None]:
+    return read_latest(spark, paths.snapshot, before)
 
 
 def run_batch(spark: SparkSession, paths: Paths, now: dt.datetime) -> BatchResult:
@@ -94,43 +92,41 @@ def run_batch(spark: SparkSession, paths: Paths, now: dt.datetime) -> BatchResul
     if not loaded:
         result.stages.append("skipped: empty lake")
         return result
+    version = run_id(now)
     raw = spark.read.parquet(paths.raw)
     stg = staging.stg_transactions(raw)
     quality.gate({"stg_transactions": stg})
     result.stages.append("staging tests passed")
 
+    def publish(name: str, df: DataFrame, **layout) -> DataFrame:
+        path = version_path(paths.mart(name), version)
+        write_mart(df, path, **layout)
+        return spark.read.parquet(path)
+
     # Uniqueness of transaction_id is proven by the gate above.
-    write_mart(marts.dim_customers(stg, now, ids_unique=True), paths.mart("dim_customers"))
-    dim = spark.read.parquet(paths.mart("dim_customers"))
-    fct = marts.fct_transactions(stg, dim, now)
-    write_mart(
-        fct,
-        paths.mart("fct_transactions"),
+    dim = publish("dim_customers", marts.dim_customers(stg, now, ids_unique=True))
+    fct = publish(
+        "fct_transactions",
+        marts.fct_transactions(stg, dim, now),
         partition_by="transaction_date",
         cluster_by=["product_category", "status"],
         spread_by="transaction_id",
     )
-    fct = spark.read.parquet(paths.mart("fct_transactions"))
-    write_mart(
+    daily = publish(
+        "fct_daily_revenue",
         marts.fct_daily_revenue(fct, now),
-        paths.mart("fct_daily_revenue"),
         partition_by="transaction_date",
         cluster_by=["product_category"],
     )
-    daily = spark.read.parquet(paths.mart("fct_daily_revenue"))
     quality.gate({"dim_customers": dim, "fct_transactions": fct, "fct_daily_revenue": daily})
     result.stages.append("mart tests passed")
 
-    history, last_run = latest_snapshot(spark, paths)
+    history, _ = latest_snapshot(spark, paths, before=version)
     new_history = snapshot.snapshot_scd2(history, dim, "customer_id", SNAPSHOT_CHECK_COLS, now)
-    new_history.write.mode("errorifexists").parquet(paths.snapshot_run(str(last_run + 1)))
-    result.stages.append(f"snapshot run {last_run + 1}")
+    new_history.write.mode("overwrite").parquet(version_path(paths.snapshot, version))
+    result.stages.append(f"snapshot {version}")
     return result
 
 
 def marts_from_warehouse(spark: SparkSession, paths: Paths) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(paths.mart(name)) for name in ("dim_customers", "fct_transactions", "fct_daily_revenue")}
-
-
-def count_by(df: DataFrame, col: str) -> DataFrame:
-    return df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    return {name: read_mart(spark, paths, name) for name in ("dim_customers", "fct_transactions", "fct_daily_revenue")}

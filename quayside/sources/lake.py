@@ -75,6 +75,42 @@ def read_table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def complete_versions(spark: SparkSession, root: str) -> list[str]:
+    """Version folders ``v=<id>`` under ``root`` that finished writing
+    (have a ``_SUCCESS`` marker), oldest first. Listed through the Hadoop
+    file system of the path, so it works on shared storage as locally."""
+    fs, p = _fs(spark, root)
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("v="):
+            marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")
+            if fs.exists(marker):
+                out.append(name.split("=", 1)[1])
+    return sorted(out)
+
+
+def version_path(root: str, version: str) -> str:
+    return f"{root.rstrip('/')}/v={version}"
+
+
+def read_latest(spark: SparkSession, root: str, before: str | None = None) -> tuple[DataFrame | None, str | None]:
+    """The newest complete version (strictly older than ``before`` if
+    given). Readers never see a version that is still being written."""
+    versions = [v for v in complete_versions(spark, root) if before is None or v < before]
+    if not versions:
+        return None, None
+    return spark.read.parquet(version_path(root, versions[-1])), versions[-1]
+
+
 def write_mart(
     df: DataFrame,
     path: str,
@@ -82,7 +118,9 @@ def write_mart(
     cluster_by: Sequence[str] = (),
     spread_by: str | None = None,
 ) -> None:
-    """Full refresh of a mart table.
+    """Full refresh of a mart table into ``path`` (a new version folder:
+    see :func:`version_path`; rewriting a folder being read would break
+    its readers, so a refresh never overwrites the version in use).
 
     Partitioned marts are range-partitioned on (date, cluster columns,
     ``spread_by``) and sorted the same way inside each task: each task

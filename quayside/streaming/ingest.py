@@ -57,7 +57,7 @@ def ingest_batch(
     sink_id: str,
     dlq_path: str | None = None,
     dlq_kafka: dict[str, str] | None = None,
-    clock: Callable[[], dt.datetime] = dt.datetime.utcnow,
+    clock: Callable[[], dt.datetime] | None = None,
     lake_format: str = "parquet",
 ) -> dict[str, int]:
     """Process one parsed micro-batch (the ``foreachBatch`` body).
@@ -74,7 +74,8 @@ def ingest_batch(
         write_lake_batch(valid, lake_path, key, lake_format)
         n_invalid = 0
         if not invalid.isEmpty():
-            write_dlq_batch(build_dlq_payload(invalid, clock()), key, dlq_path, dlq_kafka)
+            now = clock() if clock else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+            write_dlq_batch(build_dlq_payload(invalid, now), key, dlq_path, dlq_kafka)
             n_invalid = 1
         return {"batch_id": batch_id, "has_invalid": n_invalid}
     finally:
