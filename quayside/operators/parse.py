@@ -18,6 +18,7 @@ from quayside.schema import (
     EVENT_SCHEMA,
     REASON_INVALID_AMOUNT,
     REASON_MISSING_ID,
+    TIME_PARTS,
 )
 
 # An ordered rule list: the first rule whose predicate holds names the
@@ -52,27 +53,37 @@ def classify(rules: Sequence[Rule] = DEFAULT_RULES) -> Column:
     return out
 
 
-def parse_transactions(raw: DataFrame, value_col: str = "value", rules: Sequence[Rule] = DEFAULT_RULES) -> DataFrame:
+def parse_transactions(
+    raw: DataFrame,
+    value_col: str = "value",
+    rules: Sequence[Rule] = DEFAULT_RULES,
+    keep: Sequence[str] = (),
+) -> DataFrame:
     """Parse message values against the fixed event schema.
 
     Output: ``raw_value``, the 15 event fields, ``event_timestamp``,
-    ``year, month, day, hour`` and ``dlq_reason``. Malformed JSON yields
-    all-null fields (hence ``missing_transaction_id``); an unparsable time
-    yields null time parts but does not by itself dead-letter the row.
+    ``year, month, day, hour`` and ``dlq_reason``, then any ``keep``
+    columns of the input carried through (e.g. bus offsets or send time).
+    Malformed JSON yields all-null fields (hence ``missing_transaction_id``);
+    an unparsable time yields null time parts but does not by itself
+    dead-letter the row.
     """
     text = F.col(value_col).cast("string")
-    parsed = raw.select(text.alias("raw_value"), F.from_json(text, EVENT_SCHEMA).alias("data")).select(
-        "raw_value", *[F.col(f"data.{c}").alias(c) for c in EVENT_FIELDS]
-    )
+    parsed = raw.select(
+        text.alias("raw_value"), F.from_json(text, EVENT_SCHEMA).alias("data"), *[F.col(c) for c in keep]
+    ).select("raw_value", *[F.col(f"data.{c}").alias(c) for c in EVENT_FIELDS], *keep)
     ts = F.try_to_timestamp(F.col("timestamp"))
-    return parsed.select(
-        "*",
+    out = parsed.select(
+        "raw_value",
+        *EVENT_FIELDS,
         ts.alias("event_timestamp"),
         F.year(ts).alias("year"),
         F.month(ts).alias("month"),
         F.dayofmonth(ts).alias("day"),
         F.hour(ts).alias("hour"),
-    ).withColumn("dlq_reason", classify(rules))
+        *keep,
+    )
+    return out.select("raw_value", *EVENT_FIELDS, *TIME_PARTS, classify(rules).alias("dlq_reason"), *keep)
 
 
 def split_valid_invalid(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:

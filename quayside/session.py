@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every run needs, whatever the cluster size.
 BASE_CONF = {
@@ -31,6 +32,7 @@ BASE_CONF = {
     "spark.sql.constraintPropagation.enabled": "false",
     # No web server.
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -88,3 +90,18 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder for written intermediates."""
     return os.path.join(checkpoint_dir(spark), *parts)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    return a frame reading it back.
+
+    Cuts the lineage (a lost executor recomputes from these files, not from
+    the sources) and lets several branches of a plan share one computation.
+    Unlike an eager ``checkpoint()`` the data is computed once, and the
+    files are columnar, so later scans prune columns and push filters.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "materialized", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

@@ -40,6 +40,25 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def zero_pad(n: Column, width: int) -> Column:
+    """``n`` as text, left-padded with zeros to ``width`` digits; longer
+    numbers are kept whole (``format_string('%0Nd')`` semantics for
+    non-negative ids, without the per-row cost of Java's formatter)."""
+    text = n.cast("string")
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the cluster when its scan has fewer splits
+    than the cluster has task slots (a small table stored as one row group
+    is read by one task). At scale the scan already has many more splits
+    than slots and this is a no-op, so no shuffle is added there."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
 def _amount(value: Column, user_id: Column) -> Column:
     factor = (
         F.when(user_id % 4 == 0, F.lit(Decimal("0.10")))
@@ -79,7 +98,7 @@ def transactions(spark: SparkSession, sf_dir: str, with_event_id: bool = False)
     with the data, so no hint: Spark broadcasts it only when its measured
     size is under the threshold, else shuffles (AQE splits a hot user).
     """
-    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    ev = spread(read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"))
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     part = (
@@ -94,8 +113,8 @@ def transactions(spark: SparkSession, sf_dir: str, with_event_id: bool = False)
         .join(F.broadcast(part), (eid % PART_KEYS) == F.col("p_partkey"), "left")
     )
     cols = [
-        F.format_string("txn_%012d", eid).alias("transaction_id"),
-        F.format_string("cust_%05d", uid).alias("customer_id"),
+        F.concat(F.lit("txn_"), zero_pad(eid, 12)).alias("transaction_id"),
+        F.concat(F.lit("cust_"), zero_pad(uid, 5)).alias("customer_id"),
         F.col("c_name").alias("customer_name"),
         F.concat(F.col("c_name"), F.lit("@example.com")).alias("customer_email"),
         F.col("n_name").alias("customer_country"),
