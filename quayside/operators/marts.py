@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.functions.columns import avg_money, is_true, latest_non_null, rate_pct, segment
+from quayside.functions.columns import avg_money, is_true, latest_non_null, rate_pct, ratio_money, segment
 from quayside.schema import FRAUD_FAILURE_RATE_PCT, HIGH_VALUE_AMOUNT, REGULAR_SPEND, VIP_SPEND
 
 DIM_COLUMNS = [
@@ -44,40 +44,73 @@ def dim_customers(
     """One row per customer: latest known name/email/country, counts, spend,
     activity span, failure rate and a spend segment.
 
-    One ``groupBy(customer_id)``. Every measure is partial-aggregated
-    map-side, so a customer with a third of all rows reaches the shuffle as
-    one row per map task. The three distinct counts are planned by Catalyst
-    as one ``Expand`` whose first shuffle is keyed on (customer, distinct
-    value), which also spreads a hot customer. When the caller has proven
-    ``transaction_id`` unique (the staging uniqueness gate passed),
-    ``ids_unique=True`` counts ids without ``DISTINCT``: that removes the
-    only distinct whose map-side combine cannot shrink the data.
+    Planned as aggregates that each combine map-side, so a customer holding
+    a third of all rows never reaches one task as raw rows:
+
+    1. a hash pre-aggregate per (customer, date, category) of every
+       decomposable measure (sums, counts, min/max): fixed-width buffers,
+       so Spark uses ``HashAggregate`` and the shuffle carries one row per
+       group and map task;
+    2. per customer over those groups: sums of sums, and the distinct
+       day and category counts, whose ``Expand`` now multiplies the reduced
+       groups instead of every transaction;
+    3. the exact distinct transaction count, keyed on (customer, id) in its
+       first shuffle; skipped when the caller has proven ids unique (the
+       staging uniqueness gate passed), where a plain count in step 1 is
+       equal;
+    4. the latest non-null name, email and country over the narrow
+       (customer, time, id, strings) projection: string buffers force a
+       sort-based aggregate, so it is kept away from the wide steps.
+
+    The parts are joined on ``customer_id``; each is hash-partitioned on it
+    by its final aggregate, so the joins add no exchange of their own.
     """
     success = F.col("status") == "success"
-    order = ("event_timestamp", "transaction_id")
-    n_tx = F.count("transaction_id") if ids_unique else F.count_distinct("transaction_id")
-    metrics = stg.groupBy("customer_id").agg(
-        latest_non_null("customer_name", *order).alias("customer_name"),
-        latest_non_null("customer_email", *order).alias("customer_email"),
-        latest_non_null("customer_country", *order).alias("customer_country"),
-        n_tx.alias("total_transactions"),
-        F.sum(F.when(success, F.col("amount")).otherwise(F.lit(0))).alias("spend"),
-        avg_money(F.when(success, F.col("amount"))).alias("avg_value"),
-        F.count_distinct("transaction_date").alias("active_days"),
+    amount = F.col("amount")
+    per_group = [
+        F.sum(F.when(success, amount).otherwise(F.lit(0))).alias("spend"),
+        F.sum(F.when(success, amount)).alias("success_amount"),
+        F.count(F.when(success, amount)).alias("success_n"),
         F.min("event_timestamp").alias("first_seen_at"),
         F.max("event_timestamp").alias("last_seen_at"),
-        F.count_distinct("product_category").alias("categories_purchased"),
         F.count_if(F.col("status") == "failed").alias("failed_transactions"),
         F.count(F.lit(1)).alias("n_rows"),
+    ]
+    if ids_unique:
+        per_group.append(F.count("transaction_id").alias("n_ids"))
+    groups = stg.groupBy("customer_id", "transaction_date", "product_category").agg(*per_group)
+    totals = [
+        F.sum("spend").alias("spend"),
+        F.sum("success_amount").alias("success_amount"),
+        F.sum("success_n").alias("success_n"),
+        F.min("first_seen_at").alias("first_seen_at"),
+        F.max("last_seen_at").alias("last_seen_at"),
+        F.sum("failed_transactions").alias("failed_transactions"),
+        F.sum("n_rows").alias("n_rows"),
+        F.count_distinct("transaction_date").alias("active_days"),
+        F.count_distinct("product_category").alias("categories_purchased"),
+    ]
+    if ids_unique:
+        totals.append(F.sum("n_ids").alias("total_transactions"))
+    metrics = groups.groupBy("customer_id").agg(*totals)
+    if not ids_unique:
+        ids = stg.groupBy("customer_id").agg(F.count_distinct("transaction_id").alias("total_transactions"))
+        metrics = metrics.join(ids, "customer_id")
+    order = ("event_timestamp", "transaction_id")
+    names = stg.groupBy("customer_id").agg(
+        latest_non_null("customer_name", *order).alias("customer_name"),
+        latest_non_null("customer_email", *order).alias("customer_email"),
+        latest_non_null("customer_country", *order).alias("customer_country"),
     )
-    return metrics.select(
+    m = metrics.join(names, "customer_id")
+    return m.select(
         "customer_id",
         "customer_name",
         "customer_email",
         "customer_country",
         "total_transactions",
         F.round("spend", 2).alias("total_spend"),
-        F.round("avg_value", 2).alias("avg_transaction_value"),
+        F.round(ratio_money(F.col("success_amount"), F.col("success_n")), 2).alias("avg_transaction_value"),
         "active_days",
         "first_seen_at",
         "last_seen_at",
