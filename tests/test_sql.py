@@ -1,0 +1,54 @@
+"""The SQL texts give the same rows as the DataFrame queries."""
+
+from __future__ import annotations
+
+import pytest
+from conftest import SF_SMALL
+from oracle_compare import _key, _norm
+
+from quayside.plans import queries as Q
+from quayside.plans import registry
+from quayside.plans import sql as S
+
+A = registry.AS_OF
+
+PAIRS = {
+    "q1": (lambda L: Q.q1_revenue_today(L["fct_transactions"], A), S.q1_revenue_today(A)),
+    "q2": (lambda L: Q.q2_category_7d(L["fct_transactions"], A), S.q2_category_7d(A)),
+    "q3": (lambda L: Q.q3_top_customers(L["dim_customers"]), S.q3_top_customers()),
+    "q4": (lambda L: Q.q4_hourly_today(L["fct_transactions"], A), S.q4_hourly_today(A)),
+    "q5": (lambda L: Q.q5_failure_by_payment_30d(L["fct_transactions"], A), S.q5_failure_by_payment_30d(A)),
+    "q6": (lambda L: Q.q6_flagged(L["fct_transactions"]), S.q6_flagged()),
+    "q7": (lambda L: Q.q7_segments(L["dim_customers"]), S.q7_segments()),
+    "q8": (lambda L: Q.q8_daily_trend_30d(L["fct_transactions"], A), S.q8_daily_trend_30d(A)),
+    "d1": (lambda L: Q.d1_kpis_today(L["fct_daily_revenue"], A), S.d1_kpis_today(A)),
+    "d1_empty": (
+        lambda L: Q.d1_kpis_today(L["fct_daily_revenue"], registry.EMPTY_DAY),
+        S.d1_kpis_today(registry.EMPTY_DAY),
+    ),
+    "d2": (lambda L: Q.d2_revenue_trend(L["fct_daily_revenue"], A), S.d2_revenue_trend(A)),
+    "d2b": (lambda L: Q.d2b_daily_total(Q.d2_revenue_trend(L["fct_daily_revenue"], A)), S.d2b_daily_total(A)),
+    "d3": (lambda L: Q.d3_category_breakdown(L["fct_daily_revenue"], A), S.d3_category_breakdown(A)),
+    "d4": (lambda L: Q.d4_top_customers(L["dim_customers"]), S.d4_top_customers()),
+    "d5": (lambda L: Q.d5_payment_failure(L["fct_transactions"], A), S.d5_payment_failure(A)),
+    "d6": (lambda L: Q.d6_segments(L["dim_customers"]), S.d6_segments()),
+}
+
+
+@pytest.fixture(scope="module")
+def layers(spark):
+    registry.prepare(spark)
+    out = registry.layers(registry.stg(spark, SF_SMALL), written=True)
+    S.register_views(out)
+    return out
+
+
+def _rows(df):
+    cols = sorted(df.columns)
+    return cols, sorted((tuple(_norm(r[c]) for c in cols) for r in df.collect()), key=_key)
+
+
+@pytest.mark.parametrize("name", sorted(PAIRS))
+def test_sql_equals_dataframe(spark, layers, name):
+    build, text = PAIRS[name]
+    assert _rows(S.run(spark, text)) == _rows(build(layers))
