@@ -68,6 +68,28 @@ def read_lake(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame
     return df.drop(*[c for c in LAKE_PARTITIONS if c != "hour"])
 
 
+def lake_batches(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Batch key -> its leaf folders, from a directory listing of the lake
+    (metadata only; the same listing any read of the lake performs)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return {}
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "year=*/month=*/day=*/batch_key=*")
+    out: dict[str, list[str]] = {}
+    for st in fs.globStatus(pattern) or []:
+        if st.isDirectory():
+            key = st.getPath().getName().split("=", 1)[1]
+            out.setdefault(key, []).append(st.getPath().toString())
+    return out
+
+
+def read_lake_batches(spark: SparkSession, path: str, folders: list[str], fmt: str = "parquet") -> DataFrame:
+    """Only the given leaf folders of the lake, with partition columns
+    still discovered from the paths (``basePath``)."""
+    df = spark.read.format(fmt).option("basePath", path).load(folders)
+    return df.drop(*[c for c in LAKE_PARTITIONS if c != "hour"])
+
+
 def read_table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)

@@ -44,7 +44,14 @@ def test_end_to_end_and_rerun(spark, scratch):
     assert os.path.isdir(os.path.join(fct_v1, "transaction_date=2024-01-30"))
 
     r2 = pipeline.run_batch(spark, paths, NOW2)
-    assert r2.inserted == 0
+    assert not r2.loaded and r2.inserted == 0  # no new lake batch: nothing read
+
+    # A new batch redelivering part of the first one: read alone, inserts only new ids.
+    again = encode_events(testdata.transactions(spark, SF_SMALL)).limit(10)
+    valid, _ = split_valid_invalid(parse_transactions(again))
+    write_lake_batch(valid, paths.lake, "t-1")
+    r2 = pipeline.run_batch(spark, paths, NOW2)
+    assert r2.loaded and r2.inserted == 0
     hist, version = pipeline.latest_snapshot(spark, paths)
     assert version == pipeline.run_id(NOW2) and hist.count() == built["dim_customers"].count()
     # the first run's mart version is still readable after the refresh
