@@ -163,6 +163,10 @@ def fct_transactions(
     broadcasts it only when its size is measured under the threshold (AQE
     re-checks at run time); otherwise a sort-merge join, where AQE splits
     the partition of a customer holding a large share of the fact rows.
+    AQE splits skewed partitions only between two shuffle stages, so the
+    batch pipeline passes the *written* dimension (a table scan); a
+    dimension computed in the same plan arrives already partitioned on the
+    key and is joined without an exchange, but without the skew split.
     """
     d = dim.select(
         "customer_id", "customer_name", "customer_email", "customer_country", "customer_segment", "failure_rate_pct"

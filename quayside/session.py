@@ -68,6 +68,13 @@ def apply_base_conf(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # a remote (Connect) session has no local context
+        return None
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -76,13 +83,16 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     folder. On a cluster the setting must point at shared storage, never at
     a machine-local folder.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = fallback or tempfile.mkdtemp(prefix="quayside-ckpt-")
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

@@ -53,10 +53,12 @@ def spread(df: DataFrame) -> DataFrame:
     than the cluster has task slots (a small table stored as one row group
     is read by one task). At scale the scan already has many more splits
     than slots and this is a no-op, so no shuffle is added there."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no local context (remote session): leave as is
+        return df
+    return df.repartition(slots) if splits < slots else df
 
 
 def _amount(value: Column, user_id: Column) -> Column:
