@@ -20,9 +20,19 @@ import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quayside.operators import marts, merge, quality, snapshot, staging
-from quayside.sources.lake import lake_batches, read_lake_batches, read_latest, read_table_or_none, version_path, write_mart
+from quayside.sources.lake import (
+    complete_versions,
+    existing,
+    lake_batches,
+    read_lake_batches,
+    read_latest,
+    read_table_or_none,
+    version_path,
+    write_mart,
+)
 
 SNAPSHOT_CHECK_COLS = ["customer_segment", "total_spend", "total_transactions", "failure_rate_pct"]
 
@@ -100,8 +110,38 @@ def read_mart(spark: SparkSession, paths: Paths, name: str) -> DataFrame | None:
     return read_latest(spark, paths.mart(name))[0]
 
 
-def latest_snapshot(spark: SparkSession, paths: Paths, before: str | None = None) -> tuple[DataFrame | None, str | None]:
-    return read_latest(spark, paths.snapshot, before)
+def open_versions(spark: SparkSession, paths: Paths, before: str | None = None) -> tuple[DataFrame | None, str | None]:
+    """The open versions as of the newest complete snapshot run (strictly
+    before ``before``): the only part of the history a new run reads."""
+    versions = [v for v in complete_versions(spark, paths.snapshot) if before is None or v < before]
+    if not versions:
+        return None, None
+    path = f"{version_path(paths.snapshot, versions[-1])}/part=open"
+    return spark.read.parquet(path), versions[-1]
+
+
+def snapshot_history(spark: SparkSession, paths: Paths) -> tuple[DataFrame | None, str | None]:
+    """Full type-2 history: the versions closed by every run plus the open
+    versions of the newest run."""
+    versions = complete_versions(spark, paths.snapshot)
+    if not versions:
+        return None, None
+    parts = existing(spark, [f"{version_path(paths.snapshot, v)}/part=closed" for v in versions])
+    parts.append(f"{version_path(paths.snapshot, versions[-1])}/part=open")
+    df = spark.read.parquet(*parts)
+    return df, versions[-1]
+
+
+def write_snapshot_run(rows: DataFrame, paths: Paths, version: str) -> None:
+    """One pass writes the versions this run closed and the new open set.
+    Closed versions are never rewritten again, so a run costs the size of
+    the open set, not of the whole history."""
+    part = F.when(F.col("valid_to").isNull(), F.lit("open")).otherwise(F.lit("closed"))
+    rows.withColumn("part", part).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        "part"
+    ).parquet(
+        version_path(paths.snapshot, version)
+    )
 
 
 def run_batch(spark: SparkSession, paths: Paths, now: dt.datetime) -> BatchResult:
@@ -139,9 +179,9 @@ def run_batch(spark: SparkSession, paths: Paths, now: dt.datetime) -> BatchResul
     quality.gate({"dim_customers": dim, "fct_transactions": fct, "fct_daily_revenue": daily})
     result.stages.append("mart tests passed")
 
-    history, _ = latest_snapshot(spark, paths, before=version)
-    new_history = snapshot.snapshot_scd2(history, dim, "customer_id", SNAPSHOT_CHECK_COLS, now)
-    new_history.write.mode("overwrite").parquet(version_path(paths.snapshot, version))
+    current, _ = open_versions(spark, paths, before=version)
+    rows = snapshot.snapshot_scd2(current, dim, "customer_id", SNAPSHOT_CHECK_COLS, now)
+    write_snapshot_run(rows, paths, version)
     result.stages.append(f"snapshot {version}")
     return result
 

@@ -24,8 +24,6 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Replay-safe sinks overwrite only the partitions a batch writes.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Constraint inference is exponential in the aliases over one parsed
     # JSON struct (see quayside.plans.registry.prepare).

@@ -133,6 +133,15 @@ def read_latest(spark: SparkSession, root: str, before: str | None = None) -> tu
     return spark.read.parquet(version_path(root, versions[-1])), versions[-1]
 
 
+def existing(spark: SparkSession, paths: list[str]) -> list[str]:
+    out = []
+    for path in paths:
+        fs, p = _fs(spark, path)
+        if fs.exists(p):
+            out.append(path)
+    return out
+
+
 def write_mart(
     df: DataFrame,
     path: str,

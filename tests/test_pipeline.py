@@ -52,8 +52,11 @@ def test_end_to_end_and_rerun(spark, scratch):
     write_lake_batch(valid, paths.lake, "t-1")
     r2 = pipeline.run_batch(spark, paths, NOW2)
     assert r2.loaded and r2.inserted == 0
-    hist, version = pipeline.latest_snapshot(spark, paths)
-    assert version == pipeline.run_id(NOW2) and hist.count() == built["dim_customers"].count()
+    hist, version = pipeline.snapshot_history(spark, paths)
+    n_dim = built["dim_customers"].count()
+    # run 2 saw the same data: nothing closed, nothing opened
+    assert version == pipeline.run_id(NOW2) and hist.count() == n_dim
+    assert hist.filter("valid_to IS NULL").count() == n_dim
     # the first run's mart version is still readable after the refresh
     assert built["dim_customers"].count() == expect["dim_customers"].count()
 
@@ -65,3 +68,43 @@ def test_failing_gate_stops_before_marts(spark, scratch):
         pipeline.run_batch(spark, paths, NOW1)
     assert any(f[2] == "transaction_date" for f in err.value.failures)
     assert not os.path.exists(paths.mart("dim_customers"))
+
+
+def test_snapshot_across_runs(spark, scratch):
+    """Run 1 sees events before 01-15, run 2 all of them: changed customers
+    get one closed and one open version; the history is closed deltas of
+    every run plus the newest open set."""
+    from quayside.operators import snapshot
+
+    paths = pipeline.Paths(lake=os.path.join(scratch, "lake"), warehouse=os.path.join(scratch, "wh"))
+    cut = dt.datetime(2024, 1, 15)
+    events = testdata.transactions(spark, SF_SMALL, with_event_id=True)
+    early = events.filter(F.col("sent_at") < F.lit(cut)).drop("event_id", "sent_at")
+    late = events.filter(F.col("sent_at") >= F.lit(cut)).drop("event_id", "sent_at")
+    _lake_batch(spark, encode_events(early), paths.lake, "t-0")
+    pipeline.run_batch(spark, paths, NOW1)
+    dim1 = pipeline.read_mart(spark, paths, "dim_customers")
+    n1 = dim1.count()
+    _lake_batch(spark, encode_events(late), paths.lake, "t-1")
+    pipeline.run_batch(spark, paths, NOW2)
+    dim2 = pipeline.read_mart(spark, paths, "dim_customers")
+
+    changes = dict(
+        snapshot.snapshot_changes(
+            snapshot.open_versions(dim1, "customer_id", NOW1), dim2, "customer_id", pipeline.SNAPSHOT_CHECK_COLS
+        )
+        .groupBy("change_type")
+        .count()
+        .collect()
+    )
+    hist, _ = pipeline.snapshot_history(spark, paths)
+    n_closed = hist.filter("valid_to IS NOT NULL").count()
+    assert n_closed == changes.get("change", 0) > 0
+    assert hist.filter("valid_to IS NULL").count() == dim2.count()
+    assert hist.count() == n1 + changes.get("insert", 0) + changes.get("change", 0)
+    assert hist.select("scd_id").distinct().count() == hist.count()
+
+
+def _lake_batch(spark, messages, lake, key):
+    valid, _ = split_valid_invalid(parse_transactions(messages))
+    write_lake_batch(valid, lake, key)
