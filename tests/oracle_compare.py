@@ -48,11 +48,26 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+SPARK_TO_DUCK = {
+    "string": "VARCHAR",
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp": "TIMESTAMP",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.9g}")
+        return v if EXACT else float(f"{v:.9g}")
     if isinstance(v, decimal.Decimal):
         return float(f"{float(v):.9g}")
     if isinstance(v, dt.datetime):
@@ -76,11 +91,16 @@ def compare(spark, name: str, sf_dir: str, con=None) -> tuple[bool, str]:
     sql = oracle_sql().get(name)
     if sql is None:
         return True, f"{name}: {len(srows)} rows (no oracle) {t1 - t0:.2f}s"
-    rel = con.execute(sql)
-    dcols = [d[0] for d in rel.description]
+    rel = con.sql(sql)
+    dcols = list(rel.columns)
+    dtypes = dict(zip(dcols, [str(t) for t in rel.types]))
     drows_raw = rel.fetchall()
     if sorted(dcols) != cols:
         return False, f"{name}: columns differ spark={cols} duck={sorted(dcols)}"
+    stypes = dict(sdf.dtypes)
+    bad = [(c, stypes[c], dtypes[c]) for c in cols if SPARK_TO_DUCK.get(stypes[c], stypes[c]) != dtypes[c]]
+    if bad:
+        return False, f"{name}: types differ (column, spark, duckdb): {bad}"
     idx = [dcols.index(c) for c in cols]
     drows = [tuple(_norm(r[i]) for i in idx) for r in drows_raw]
     if len(srows) != len(drows):
