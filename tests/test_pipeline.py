@@ -108,3 +108,13 @@ def test_snapshot_across_runs(spark, scratch):
 def _lake_batch(spark, messages, lake, key):
     valid, _ = split_valid_invalid(parse_transactions(messages))
     write_lake_batch(valid, lake, key)
+
+
+def test_jobs_cli_batch(spark, scratch, capsys):
+    from quayside import jobs
+
+    lake, wh = os.path.join(scratch, "lake"), os.path.join(scratch, "wh")
+    _lake_batch(spark, encode_events(testdata.transactions(spark, SF_SMALL)), lake, "t-0")
+    jobs.main(["batch", "--lake", lake, "--warehouse", wh, "--now", "2024-01-31T00:00:00"])
+    out = capsys.readouterr().out.strip().splitlines()[-1]
+    assert '"inserted": 1000' in out and "mart tests passed" in out

@@ -51,3 +51,30 @@ def test_ingest_two_files_then_replay(spark, scratch):
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan
     msgs.unpersist()
+
+
+def test_restart_from_checkpoint_reads_only_new_files(spark, scratch):
+    msgs = testdata.wire_messages(spark, SF_SMALL).cache()
+    src = os.path.join(scratch, "bus")
+    lake, ckpt = os.path.join(scratch, "lake"), os.path.join(scratch, "ckpt")
+    early = msgs.filter(F.col("sent_at") < F.lit("2024-01-15"))
+    late = msgs.filter(F.col("sent_at") >= F.lit("2024-01-15"))
+    _write_messages(early, os.path.join(src, "a"))
+
+    def run():
+        stream = message_stream(spark, "text", os.path.join(src, "*"))
+        q = run_ingest(spark, stream, lake, ckpt, "s9", dlq_path=os.path.join(scratch, "dlq"), trigger={"availableNow": True})
+        q.awaitTermination(300)
+        assert q.exception() is None
+
+    run()
+    n_early = read_lake(spark, lake).count()
+    assert n_early == split_valid_invalid(parse_transactions(early))[0].count()
+    run()  # nothing new: no new batch
+    assert read_lake(spark, lake).count() == n_early
+    _write_messages(late, os.path.join(src, "b"))
+    run()  # the restarted query picks up only the new file
+    assert read_lake(spark, lake).count() == split_valid_invalid(parse_transactions(msgs))[0].count()
+    keys = {r[0] for r in spark.read.parquet(lake).select("batch_key").distinct().collect()}
+    assert keys == {"s9-0", "s9-1"}
+    msgs.unpersist()
