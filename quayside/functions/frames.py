@@ -1,0 +1,17 @@
+"""DataFrame-level helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` only after checking it holds at most ``max_rows``
+    rows; otherwise return it unhinted, so Spark's own size rules (and AQE
+    at run time) choose the join. The check stops reading after
+    ``max_rows + 1`` rows, so it costs a tiny job even on a large input.
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
