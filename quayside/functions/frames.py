@@ -5,13 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Verdicts of earlier bound checks, keyed by the plan and the exact input
+# files (path, length, modification time): a rewritten file is a new key.
+_CHECKED: dict[tuple, bool] = {}
+_MAX_FINGERPRINT_FILES = 64
+
+
+def _fingerprint(df: DataFrame, max_rows: int) -> tuple | None:
+    try:
+        files = df.inputFiles()
+        if not files or len(files) > _MAX_FINGERPRINT_FILES:
+            return None
+        sc = df.sparkSession.sparkContext
+        jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
+        stats = []
+        for f in sorted(files):
+            path = jvm.org.apache.hadoop.fs.Path(f)
+            st = path.getFileSystem(conf).getFileStatus(path)
+            stats.append((f, st.getLen(), st.getModificationTime()))
+        return (df.semanticHash(), max_rows, tuple(stats))
+    except Exception:  # no local context or unusual source: no memo
+        return None
+
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only after checking it holds at most ``max_rows``
     rows; otherwise return it unhinted, so Spark's own size rules (and AQE
     at run time) choose the join. The check stops reading after
-    ``max_rows + 1`` rows, so it costs a tiny job even on a large input.
+    ``max_rows + 1`` rows, so it costs a tiny job even on a large input,
+    and its verdict is reused while the input files are unchanged.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    key = _fingerprint(df, max_rows)
+    ok = _CHECKED.get(key) if key is not None else None
+    if ok is None:
+        ok = df.limit(max_rows + 1).count() <= max_rows
+        if key is not None:
+            _CHECKED[key] = ok
+    return F.broadcast(df) if ok else df

@@ -1,0 +1,20 @@
+"""Size-checked broadcast."""
+
+from __future__ import annotations
+
+from conftest import SF_SMALL
+
+from quayside.functions.frames import bounded_broadcast
+from quayside.sources import testdata
+
+
+def _hinted(df) -> bool:
+    return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_small_side_is_broadcast_large_side_is_not(spark):
+    nation = testdata.read_table(spark, SF_SMALL, "nation")
+    assert _hinted(bounded_broadcast(nation, 25))
+    assert not _hinted(bounded_broadcast(nation, 24))
+    events = testdata.read_table(spark, SF_SMALL, "events")
+    assert not _hinted(bounded_broadcast(events, 100))
