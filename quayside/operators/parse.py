@@ -33,16 +33,22 @@ DEFAULT_RULES: list[Rule] = [
 ]
 
 
-def encode_events(events: DataFrame, key: str = "customer_id") -> DataFrame:
+def encode_events(events: DataFrame, key: str = "customer_id", order_by: str | None = None) -> DataFrame:
     """Producer encoding: ``(key, value)`` with value = the event as JSON.
 
     Null fields are written out as ``null`` (as a JSON encoder does). The
-    bus keeps one key's messages in one partition, in order; the batch
-    equivalent is ``repartition(key).sortWithinPartitions(time)``, left to
-    the caller because most consumers do not need it.
+    bus keeps one key's messages in one partition, in order. ``order_by``
+    reproduces that before a write to the bus: rows are hash-partitioned on
+    the key and sorted by ``order_by`` within each task. Per-key order puts
+    a hot key in one task, as it puts it in one bus partition, so it is
+    opt-in; without it the encoding is a map-only projection.
     """
     payload = F.to_json(F.struct(*[F.col(c) for c in EVENT_FIELDS]), {"ignoreNullFields": "false"})
-    return events.select(F.col(key).cast("string").alias("key"), payload.alias("value"))
+    cols = [F.col(key).cast("string").alias("key"), payload.alias("value")]
+    if order_by is None:
+        return events.select(*cols)
+    ordered = events.select(*cols, F.col(order_by).alias("_order"))
+    return ordered.repartition("key").sortWithinPartitions("key", "_order").drop("_order")
 
 
 def classify(rules: Sequence[Rule] = DEFAULT_RULES) -> Column:

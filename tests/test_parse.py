@@ -155,3 +155,24 @@ def test_encode_parse_round_trip(spark):
     assert row["key"] == EVENT["customer_id"] and json.loads(row["value"]) == EVENT
     again = parse_transactions(encoded).collect()[0]
     assert again["amount"] == EVENT["amount"] and again["dlq_reason"] is None
+
+
+def test_encode_in_key_order(spark):
+    from conftest import SF_SMALL
+    from pyspark.sql import functions as F
+
+    from quayside.sources import testdata
+
+    tx = testdata.transactions(spark, SF_SMALL)
+    enc = encode_events(tx, order_by="timestamp")
+    assert enc.count() == tx.count()
+    per_task = enc.withColumn("task", F.spark_partition_id()).withColumn(
+        "ts", F.get_json_object("value", "$.timestamp")
+    )
+    # every key lives in one task, and its messages are in time order there
+    assert per_task.groupBy("key").agg(F.countDistinct("task").alias("n")).filter("n > 1").count() == 0
+    rows = per_task.collect()
+    last: dict = {}
+    for r in rows:
+        assert r["ts"] >= last.get(r["key"], "")
+        last[r["key"]] = r["ts"]
