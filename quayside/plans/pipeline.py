@@ -35,6 +35,14 @@ from quayside.sources.lake import (
 )
 
 SNAPSHOT_CHECK_COLS = ["customer_segment", "total_spend", "total_transactions", "failure_rate_pct"]
+# Storage partition of the raw table: the event's day; events whose time
+# did not parse go to one fixed day, so the column is never null.
+RAW_PARTITION = "event_day"
+UNKNOWN_DAY = "1900-01-01"
+
+
+def event_day() -> F.Column:
+    return F.coalesce(F.to_date("event_timestamp"), F.to_date(F.lit(UNKNOWN_DAY))).alias(RAW_PARTITION)
 
 
 @dataclass
@@ -73,7 +81,7 @@ def run_id(now: dt.datetime) -> str:
     return now.strftime("%Y%m%dT%H%M%S%f")
 
 
-def load_raw(spark: SparkSession, paths: Paths) -> tuple[bool, int]:
+def load_raw(spark: SparkSession, paths: Paths, merge_scope: str = RAW_PARTITION) -> tuple[bool, int]:
     """Lake -> raw warehouse table (insert-only, idempotent, incremental).
 
     Only lake batches missing from the manifest are read (the reference
@@ -85,6 +93,14 @@ def load_raw(spark: SparkSession, paths: Paths) -> tuple[bool, int]:
     manifest: a crash between the two re-reads those batches next time and
     the anti join inserts nothing twice. Late events arrive in new batches,
     so they are never skipped.
+
+    ``merge_scope``: with ``"event_day"`` (default) the merge compares keys
+    within the event days present in the load, so only those partitions of
+    the raw table are read; duplicates from redelivery or replay are copies
+    with the same event time, hence the same day. An id reused on another
+    day would be inserted and then fail the staging uniqueness gate.
+    ``"global"`` compares against every key of the table (exact MERGE
+    semantics, a full scan of the key column per run).
     """
     batches = lake_batches(spark, paths.lake)
     manifest = read_table_or_none(spark, paths.loaded_batches)
@@ -95,11 +111,12 @@ def load_raw(spark: SparkSession, paths: Paths) -> tuple[bool, int]:
     lake = read_lake_batches(spark, paths.lake, [f for k in new_keys for f in batches[k]])
     if not merge.load_guard(lake):
         return False, 0
-    load = merge.dedupe_by_key(lake, "transaction_id", ["event_timestamp"])
+    load = merge.dedupe_by_key(lake, "transaction_id", ["event_timestamp"]).withColumn(RAW_PARTITION, event_day())
     target = read_table_or_none(spark, paths.raw)
     before = target.count() if target is not None else 0
-    new = merge.insert_if_absent(target, load, "transaction_id")
-    new.write.mode("append").parquet(paths.raw)
+    scope = [RAW_PARTITION] if merge_scope == RAW_PARTITION else []
+    new = merge.insert_if_absent(target, load, "transaction_id", scope)
+    new.write.mode("append").partitionBy(RAW_PARTITION).parquet(paths.raw)
     spark.createDataFrame([(k,) for k in new_keys], "batch_key string").write.mode("append").parquet(
         paths.loaded_batches
     )
@@ -144,8 +161,8 @@ def write_snapshot_run(rows: DataFrame, paths: Paths, version: str) -> None:
     )
 
 
-def run_batch(spark: SparkSession, paths: Paths, now: dt.datetime) -> BatchResult:
-    loaded, inserted = load_raw(spark, paths)
+def run_batch(spark: SparkSession, paths: Paths, now: dt.datetime, merge_scope: str = RAW_PARTITION) -> BatchResult:
+    loaded, inserted = load_raw(spark, paths, merge_scope)
     result = BatchResult(loaded=loaded, inserted=inserted)
     if not loaded:
         result.stages.append("skipped: empty lake")
