@@ -102,3 +102,19 @@ def test_new_checkpoint_with_new_sink_id_keeps_old_batches(spark, scratch):
     keys = {r[0] for r in spark.read.parquet(lake).select("batch_key").distinct().collect()}
     assert keys == {"first-0", "second-0"}
     assert read_lake(spark, lake).count() == split_valid_invalid(parse_transactions(msgs))[0].count()
+
+
+def test_jobs_cli_ingest(spark, scratch):
+    from quayside import jobs
+
+    msgs = testdata.wire_messages(spark, SF_SMALL)
+    src = os.path.join(scratch, "bus")
+    _write_messages(msgs, src)
+    lake, dlq = os.path.join(scratch, "lake"), os.path.join(scratch, "dlq")
+    jobs.main(
+        ["ingest", "--format", "text", "--path", src, "--lake", lake, "--dlq", dlq,
+         "--checkpoint", os.path.join(scratch, "ckpt"), "--sink-id", "cli", "--trigger", "available-now"]
+    )
+    valid, invalid = split_valid_invalid(parse_transactions(msgs))
+    assert read_lake(spark, lake).count() == valid.count()
+    assert spark.read.parquet(dlq).count() == invalid.count()
