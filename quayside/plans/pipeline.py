@@ -20,6 +20,7 @@ import datetime as dt
 import os
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -123,11 +124,12 @@ def load_raw(
         return False, 0
     scope = [RAW_PARTITION] if merge_scope == RAW_PARTITION else []
     load = merge.dedupe_by_key(lake, "transaction_id", ["event_timestamp"]).withColumn(RAW_PARTITION, event_day())
-    target = read_table_or_none(spark, paths.raw)
-    before = target.count() if target is not None else 0
-    new = merge.insert_if_absent(target, load, "transaction_id", scope)
+    # The increment is computed once (persisted), counted and appended.
+    new = merge.insert_if_absent(read_table_or_none(spark, paths.raw), load, "transaction_id", scope)
+    new = new.persist(StorageLevel.MEMORY_AND_DISK)
+    inserted = new.count()
     new.write.mode("append").partitionBy(RAW_PARTITION).parquet(paths.raw)
-    inserted = spark.read.parquet(paths.raw).count() - before
+    new.unpersist()
 
     staged_rows = staging.stg_transactions(load).withColumn(RAW_PARTITION, event_day())
     staged = read_table_or_none(spark, paths.staged)
