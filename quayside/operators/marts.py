@@ -102,7 +102,10 @@ def dim_customers(
         latest_non_null("customer_email", *order).alias("customer_email"),
         latest_non_null("customer_country", *order).alias("customer_country"),
     )
-    m = metrics.join(names, "customer_id")
+    return _dim_output(metrics.join(names, "customer_id"), now, vip, regular)
+
+
+def _dim_output(m: DataFrame, now: dt.datetime, vip: float, regular: float) -> DataFrame:
     return m.select(
         "customer_id",
         "customer_name",
@@ -123,6 +126,65 @@ def dim_customers(
     )
 
 
+NAME_COLUMNS = ("customer_name", "customer_email", "customer_country")
+
+
+def customer_day_groups(stg: DataFrame) -> DataFrame:
+    """State rows of the incremental dimension: one per (customer, date,
+    category) with every decomposable measure, the transaction count, and
+    for each name column the latest non-null value with its (time, id) key.
+
+    Every column combines associatively across groups, so the groups of one
+    day can be recomputed from that day's rows alone and the dimension
+    rebuilt from all groups (:func:`dim_from_groups`) equals
+    :func:`dim_customers` over all rows. Transaction ids must be unique
+    (the staging gate), as the count is not distinct.
+    """
+    success = F.col("status") == "success"
+    amount = F.col("amount")
+    order = F.struct(F.col("event_timestamp"), F.col("transaction_id"))
+    latest = []
+    for c in NAME_COLUMNS:
+        key = F.when(F.col(c).isNotNull(), order)
+        latest += [F.max(key).alias(f"{c}_key"), F.max_by(F.col(c), key).alias(c)]
+    return stg.groupBy("customer_id", "transaction_date", "product_category").agg(
+        F.sum(F.when(success, amount).otherwise(F.lit(0))).alias("spend"),
+        F.sum(F.when(success, amount)).alias("success_amount"),
+        F.count(F.when(success, amount)).alias("success_n"),
+        F.min("event_timestamp").alias("first_seen_at"),
+        F.max("event_timestamp").alias("last_seen_at"),
+        F.count_if(F.col("status") == "failed").alias("failed_transactions"),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("transaction_id").alias("n_ids"),
+        *latest,
+    )
+
+
+def dim_from_groups(
+    groups: DataFrame, now: dt.datetime, vip: float = VIP_SPEND, regular: float = REGULAR_SPEND
+) -> DataFrame:
+    """The customer dimension from :func:`customer_day_groups` rows: sums
+    and extremes of the groups, distinct days and categories over them,
+    and the value with the greatest key per name column (a narrow separate
+    aggregate, since string buffers sort)."""
+    metrics = groups.groupBy("customer_id").agg(
+        F.sum("spend").alias("spend"),
+        F.sum("success_amount").alias("success_amount"),
+        F.sum("success_n").alias("success_n"),
+        F.min("first_seen_at").alias("first_seen_at"),
+        F.max("last_seen_at").alias("last_seen_at"),
+        F.sum("failed_transactions").alias("failed_transactions"),
+        F.sum("n_rows").alias("n_rows"),
+        F.count_distinct("transaction_date").alias("active_days"),
+        F.count_distinct("product_category").alias("categories_purchased"),
+        F.sum("n_ids").alias("total_transactions"),
+    )
+    names = groups.groupBy("customer_id").agg(
+        *[F.max_by(F.col(c), F.col(f"{c}_key")).alias(c) for c in NAME_COLUMNS]
+    )
+    return _dim_output(metrics.join(names, "customer_id"), now, vip, regular)
+
+
 FCT_COLUMNS = [
     "transaction_id",
     "customer_id",

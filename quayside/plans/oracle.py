@@ -415,6 +415,7 @@ LATERAL (SELECT CAST([type_object, additional_properties, rq_transaction_id, rq_
 ORACLE: dict[str, str] = {
     "stg_transactions": w(MARTS, STG_OUT.format(src="stg")),
     "dim_customers": w(MARTS, DIM_OUT.format(src="dim")),
+    "dim_customers_from_day_groups": w(MARTS, DIM_OUT.format(src="dim")),
     "fct_transactions": w(
         MARTS,
         """

@@ -179,6 +179,9 @@ _QUERIES: dict[str, Query] = {
     # marts
     "stg_transactions": lambda s, sf: present(stg(s, sf)),
     "dim_customers": lambda s, sf: present(dim(s, sf)),
+    "dim_customers_from_day_groups": lambda s, sf: present(
+        marts.dim_from_groups(materialize(marts.customer_day_groups(stg(s, sf)), "groups"), NOW)
+    ),
     "fct_transactions": lambda s, sf: present(fct(s, sf)),
     "fct_daily_revenue": lambda s, sf: present(daily(s, sf)),
     # analytics queries
