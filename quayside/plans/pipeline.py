@@ -76,10 +76,9 @@ class Paths:
         """(event_day, run): days a run's load touched."""
         return os.path.join(self.warehouse, "state", "_pending_days")
 
-    @property
-    def groups_done(self) -> str:
-        """Runs whose touched days are reflected in the day groups."""
-        return os.path.join(self.warehouse, "state", "_groups_done")
+    def done(self, consumer: str) -> str:
+        """Runs whose touched days ``consumer`` already reflects."""
+        return os.path.join(self.warehouse, "state", f"_done_{consumer}")
 
     @property
     def loaded_batches(self) -> str:
@@ -166,30 +165,65 @@ def load_raw(
     return True, inserted
 
 
-def update_day_groups(spark: SparkSession, paths: Paths) -> int:
-    """Recompute the day groups of every day touched by a run not yet
-    reflected, from that day's staged rows (partition-pruned), and replace
-    those day partitions. Recomputing whole days is idempotent, so a crash
-    at any point is repaired by the next run. Returns the number of days."""
+def pending_days(spark: SparkSession, paths: Paths, consumer: str) -> tuple[list, list[str]]:
+    """(days, runs) touched by loads that ``consumer`` has not reflected.
+    One row per (day, run): metadata-sized."""
     pending = read_table_or_none(spark, paths.pending_days)
     if pending is None:
-        return 0
-    done = read_table_or_none(spark, paths.groups_done)
+        return [], []
+    done = read_table_or_none(spark, paths.done(consumer))
     if done is not None:
         pending = pending.join(done, "run", "left_anti")
-    rows = pending.select(RAW_PARTITION, "run").distinct().collect()  # one row per (day, run): metadata-sized
-    days = sorted({r[0] for r in rows})
+    rows = pending.select(RAW_PARTITION, "run").distinct().collect()
+    return sorted({r[0] for r in rows}), sorted({r[1] for r in rows})
+
+
+def mark_done(spark: SparkSession, paths: Paths, consumer: str, runs: list[str]) -> None:
+    if runs:
+        spark.createDataFrame([(r,) for r in runs], "run string").write.mode("append").parquet(paths.done(consumer))
+
+
+def staged_days(spark: SparkSession, paths: Paths, days: list) -> DataFrame:
+    """Staged rows of the given event days (partition-pruned read)."""
+    return spark.read.parquet(paths.staged).filter(F.col(RAW_PARTITION).isin(days)).drop(RAW_PARTITION)
+
+
+def update_day_groups(spark: SparkSession, paths: Paths) -> int:
+    """Recompute the day groups of every day touched by a run not yet
+    reflected, from that day's staged rows, and replace those day
+    partitions. Recomputing whole days is idempotent, so a crash at any
+    point is repaired by the next run. Returns the number of days."""
+    days, runs = pending_days(spark, paths, "day_groups")
     if not days:
         return 0
-    day_rows = spark.read.parquet(paths.staged).filter(F.col(RAW_PARTITION).isin(days))
-    groups = marts.customer_day_groups(day_rows.drop(RAW_PARTITION)).withColumn(RAW_PARTITION, event_day_of_group())
+    groups = marts.customer_day_groups(staged_days(spark, paths, days)).withColumn(RAW_PARTITION, event_day_of_group())
     groups.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RAW_PARTITION).parquet(
         paths.day_groups
     )
-    spark.createDataFrame(sorted({(r[1],) for r in rows}), "run string").write.mode("append").parquet(paths.groups_done)
+    mark_done(spark, paths, "day_groups", runs)
     return len(days)
 
 
+def daily_rollup(spark: SparkSession, paths: Paths, dim: DataFrame, now: dt.datetime) -> tuple[DataFrame, list[str], int]:
+    """The daily rollup as a full refresh would compute it, recomputing only
+    the days touched since the last published rollup: other days are
+    carried over from the previous version (re-stamped with ``now``; their
+    rows cannot have changed, since the rollup reads no dimension column).
+    Returns (rollup, runs to mark done, days recomputed)."""
+    days, runs = pending_days(spark, paths, "daily")
+    previous, _ = read_latest(spark, paths.mart("fct_daily_revenue"))
+    if previous is None:
+        fresh = marts.fct_daily_revenue(marts.fct_transactions(read_staged(spark, paths), dim, now), now)
+        return fresh, runs, -1
+    fresh = marts.fct_daily_revenue(marts.fct_transactions(staged_days(spark, paths, days), dim, now), now)
+    dates = [d for d in days if str(d) != UNKNOWN_DAY]
+    unknown = len(dates) < len(days)
+    touched = F.col("transaction_date").isin(dates) | (F.col("transaction_date").isNull() if unknown else F.lit(False))
+    kept = previous.filter(~touched | F.col("transaction_date").isNull() & F.lit(not unknown))
+    kept = kept.withColumn("loaded_at", F.lit(now).cast("timestamp")).select(*fresh.columns)
+    return kept.unionByName(fresh), runs, len(days)
+
+
 def event_day_of_group() -> F.Column:
     return F.coalesce(F.col("transaction_date"), F.to_date(F.lit(UNKNOWN_DAY))).alias(RAW_PARTITION)
 
@@ -273,14 +307,12 @@ def run_batch(spark: SparkSession, paths: Paths, now: dt.datetime, merge_scope:
     result.stages.append(f"day groups recomputed for {n_days} days")
     dim = publish("dim_customers", marts.dim_from_groups(spark.read.parquet(paths.day_groups), now))
     fct = marts.fct_transactions(stg, dim, now)
-    # The rollup reads no dimension column: Catalyst drops the join and it
-    # is one aggregate over the staged rows.
-    daily = publish(
-        "fct_daily_revenue",
-        marts.fct_daily_revenue(fct, now),
-        partition_by="transaction_date",
-        cluster_by=["product_category"],
-    )
+    # The rollup reads no dimension column (Catalyst drops the join); only
+    # the touched days are re-aggregated.
+    rollup, daily_runs, n_daily = daily_rollup(spark, paths, dim, now)
+    daily = publish("fct_daily_revenue", rollup, partition_by="transaction_date", cluster_by=["product_category"])
+    mark_done(spark, paths, "daily", daily_runs)
+    result.stages.append(f"daily rollup recomputed for {n_daily if n_daily >= 0 else 'all'} days")
     quality.gate({"dim_customers": dim, "fct_transactions": fct, "fct_daily_revenue": daily})
     result.stages.append("mart tests passed")
 
