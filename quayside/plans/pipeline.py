@@ -152,12 +152,24 @@ def load_raw(
 
     staged_rows = staging.stg_transactions(load).withColumn(RAW_PARTITION, event_day())
     staged = read_table_or_none(spark, paths.staged)
-    add = merge.insert_if_absent(staged, staged_rows, "transaction_id", scope)
+    add = merge.insert_if_absent(staged, staged_rows, "transaction_id", scope).persist(StorageLevel.MEMORY_AND_DISK)
+    # Staging tests gate the increment before it is appended, so the staged
+    # table only ever holds rows that passed: the table-wide result is the
+    # increment's (see quality.increment_report). The fact's declared tests
+    # are on staged columns of the same rows, so they are checked here too.
+    existing = staged.drop(RAW_PARTITION) if staged is not None else None
+    increment = add.drop(RAW_PARTITION)
+    quality.raise_on_failures(
+        quality.increment_report(increment, existing, "stg_transactions").unionByName(
+            quality.increment_report(increment, existing, "fct_transactions")
+        )
+    )
     # Rows sorted by the fact's cluster columns within each file: min/max
     # statistics then skip row groups for category / status predicates.
     add.sortWithinPartitions(RAW_PARTITION, "product_category", "status").write.mode("append").partitionBy(
         RAW_PARTITION
     ).parquet(paths.staged)
+    add.unpersist()
 
     spark.createDataFrame([(k, version) for k in new_keys], "batch_key string, run string").write.mode(
         "append"
@@ -292,7 +304,7 @@ def run_batch(spark: SparkSession, paths: Paths, now: dt.datetime, merge_scope:
         result.stages.append("skipped: no new lake batch")
         return result
     stg = read_staged(spark, paths)
-    quality.gate({"stg_transactions": stg})
+    # The staging (and fact) tests ran on the increment inside load_raw.
     result.stages.append("staging tests passed")
 
     def publish(name: str, df: DataFrame, **layout) -> DataFrame:
@@ -313,7 +325,7 @@ def run_batch(spark: SparkSession, paths: Paths, now: dt.datetime, merge_scope:
     daily = publish("fct_daily_revenue", rollup, partition_by="transaction_date", cluster_by=["product_category"])
     mark_done(spark, paths, "daily", daily_runs)
     result.stages.append(f"daily rollup recomputed for {n_daily if n_daily >= 0 else 'all'} days")
-    quality.gate({"dim_customers": dim, "fct_transactions": fct, "fct_daily_revenue": daily})
+    quality.gate({"dim_customers": dim, "fct_daily_revenue": daily})
     result.stages.append("mart tests passed")
 
     current, _ = open_versions(spark, paths, before=version)

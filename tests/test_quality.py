@@ -40,3 +40,23 @@ def test_semantics_on_small_frame(spark):
     assert rep == {("t", "unique", "k"): 1, ("t", "not_null", "k"): 1, ("t", "accepted_values", "status"): 2}
     with pytest.raises(quality.DataQualityError):
         quality.gate({"t": df}, suite)
+
+
+def test_increment_report_equals_whole_table_report(spark):
+    from pyspark.sql import functions as F
+
+    stg = registry.stg(spark, SF_SMALL)
+    old = stg.filter(F.col("event_timestamp") < F.lit("2024-01-20"))
+    new = stg.filter(F.col("event_timestamp") >= F.lit("2024-01-20"))
+
+    def rep(df):
+        return {(r["table"], r["test"], r["column"]): r["failures"] for r in df.collect()}
+
+    whole = rep(quality.dq_report({"stg_transactions": old.unionByName(new)}))
+    assert rep(quality.increment_report(new, old, "stg_transactions")) == whole
+    # an id already present (on another day) is a uniqueness failure
+    reused = new.limit(1).withColumn("transaction_id", F.lit(old.first()["transaction_id"]))
+    got = rep(quality.increment_report(new.unionByName(reused), old, "stg_transactions"))
+    assert got[("stg_transactions", "unique", "transaction_id")] == 1
+    with pytest.raises(quality.DataQualityError):
+        quality.raise_on_failures(quality.increment_report(new.unionByName(reused), old, "stg_transactions"))
