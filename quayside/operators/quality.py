@@ -146,6 +146,20 @@ def increment_report(new: DataFrame, existing: DataFrame | None, table: str, sui
     return out
 
 
+def with_implied(report: DataFrame, source: str, target: str, suite: list[Check] = SUITE) -> DataFrame:
+    """Add the checks of ``target`` that are identical checks of ``source``
+    on the same rows (same test, same column), relabelled, instead of
+    running them again. The report (one row per check) is computed once.
+    Raises if ``target`` has a check ``source`` lacks."""
+    have = {(c.test, c.column) for c in suite if c.table == source}
+    wanted = {(c.test, c.column) for c in suite if c.table == target}
+    if wanted - have:
+        raise ValueError(f"{target} checks not implied by {source}: {sorted(wanted - have)}")
+    rows = [tuple(r) for r in report.select("table", "test", "column", "failures").collect()]
+    rows += [(target, t, c, n) for (tb, t, c, n) in rows if tb == source and (t, c) in wanted]
+    return report.sparkSession.createDataFrame(rows, REPORT_SCHEMA)
+
+
 def raise_on_failures(report: DataFrame) -> None:
     failed = [
         (r["table"], r["test"], r["column"], r["failures"]) for r in report.filter(F.col("failures") > 0).collect()

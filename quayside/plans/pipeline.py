@@ -137,7 +137,10 @@ def load_raw(
     if not merge.load_guard(lake):
         return False, 0
     scope = [RAW_PARTITION] if merge_scope == RAW_PARTITION else []
+    # The de-duplicated load (the new batches only) feeds four steps below:
+    # computed once, kept in memory or on local disk for this run.
     load = merge.dedupe_by_key(lake, "transaction_id", ["event_timestamp"]).withColumn(RAW_PARTITION, event_day())
+    load = load.persist(StorageLevel.MEMORY_AND_DISK)
     # Days this load touches, recorded before anything is appended: after a
     # crash anywhere below, the re-run records them again (idempotent).
     load.select(RAW_PARTITION).distinct().withColumn("run", F.lit(version)).write.mode("append").parquet(
@@ -158,18 +161,15 @@ def load_raw(
     # increment's (see quality.increment_report). The fact's declared tests
     # are on staged columns of the same rows, so they are checked here too.
     existing = staged.drop(RAW_PARTITION) if staged is not None else None
-    increment = add.drop(RAW_PARTITION)
-    quality.raise_on_failures(
-        quality.increment_report(increment, existing, "stg_transactions").unionByName(
-            quality.increment_report(increment, existing, "fct_transactions")
-        )
-    )
+    report = quality.increment_report(add.drop(RAW_PARTITION), existing, "stg_transactions")
+    quality.raise_on_failures(quality.with_implied(report, "stg_transactions", "fct_transactions"))
     # Rows sorted by the fact's cluster columns within each file: min/max
     # statistics then skip row groups for category / status predicates.
     add.sortWithinPartitions(RAW_PARTITION, "product_category", "status").write.mode("append").partitionBy(
         RAW_PARTITION
     ).parquet(paths.staged)
     add.unpersist()
+    load.unpersist()
 
     spark.createDataFrame([(k, version) for k in new_keys], "batch_key string, run string").write.mode(
         "append"

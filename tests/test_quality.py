@@ -60,3 +60,10 @@ def test_increment_report_equals_whole_table_report(spark):
     assert got[("stg_transactions", "unique", "transaction_id")] == 1
     with pytest.raises(quality.DataQualityError):
         quality.raise_on_failures(quality.increment_report(new.unionByName(reused), old, "stg_transactions"))
+
+
+def test_fact_checks_are_implied_by_staging_checks(spark):
+    stg = registry.stg(spark, SF_SMALL)
+    rep = quality.with_implied(quality.increment_report(stg, None, "stg_transactions"), "stg_transactions", "fct_transactions")
+    fct_rows = {(r["test"], r["column"]) for r in rep.filter("table = 'fct_transactions'").collect()}
+    assert fct_rows == {(c.test, c.column) for c in quality.SUITE if c.table == "fct_transactions"}
