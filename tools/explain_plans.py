@@ -19,6 +19,7 @@ sys.path.insert(0, ROOT)
 
 KEY_QUERIES = [
     "dim_customers",
+    "dim_customers_from_day_groups",
     "fct_transactions",
     "fct_daily_revenue",
     "q2_category_7d",
