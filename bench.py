@@ -7,7 +7,7 @@ Prints ONE JSON line: {"metric", "value" (sum of query seconds), "unit",
 through the ``noop`` sink (the whole plan executes, nothing is collected).
 After one untimed warm-up, each query runs once cold, then its best of
 ``BENCH_REPEATS`` (default 2) warm runs is reported;
-"pipeline_batch" times lake -> warehouse -> marts -> tests -> snapshot on a
+"batch_run" times lake -> warehouse -> marts -> tests -> snapshot on a
 lake written from the same tables.
 """
 
@@ -32,7 +32,7 @@ def main() -> None:
     repeats = int(os.environ.get("BENCH_REPEATS", "2"))
 
     from quayside.operators.parse import encode_events, parse_transactions, split_valid_invalid
-    from quayside.plans import pipeline
+    from quayside.plans import batch
     from quayside.plans.registry import REGISTRY
     from quayside.session import checkpoint_dir, local_session
     from quayside.sources import testdata
@@ -58,14 +58,14 @@ def main() -> None:
         times[name] = round(min(run(name) for _ in range(repeats)), 3)
 
     if not only:
-        paths = pipeline.Paths(lake=os.path.join(scratch, "lake"), warehouse=os.path.join(scratch, "wh"))
+        paths = batch.Paths(lake=os.path.join(scratch, "lake"), warehouse=os.path.join(scratch, "wh"))
         valid, _ = split_valid_invalid(parse_transactions(encode_events(testdata.transactions(spark, sf_dir))))
         t0 = time.perf_counter()
         write_lake_batch(valid, paths.lake, "bench-0")
         times["ingest_lake_write"] = round(time.perf_counter() - t0, 3)
         t0 = time.perf_counter()
-        pipeline.run_batch(spark, paths, dt.datetime(2024, 1, 31))
-        times["pipeline_batch"] = round(time.perf_counter() - t0, 3)
+        batch.run_batch(spark, paths, dt.datetime(2024, 1, 31))
+        times["batch_run"] = round(time.perf_counter() - t0, 3)
 
     sf = re.search(r"sf([0-9.]+)", sf_dir)
     out = {

@@ -20,7 +20,7 @@ import json
 
 from pyspark.sql import SparkSession
 
-from quayside.plans import pipeline
+from quayside.plans import batch
 from quayside.plans.registry import prepare
 from quayside.session import apply_base_conf
 from quayside.streaming.ingest import DEFAULT_TRIGGER, message_stream, run_ingest
@@ -75,7 +75,7 @@ def main(argv: list[str] | None = None) -> None:
         q.awaitTermination()
     else:
         now = dt.datetime.fromisoformat(args.now) if args.now else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        result = pipeline.run_batch(spark, pipeline.Paths(lake=args.lake, warehouse=args.warehouse), now)
+        result = batch.run_batch(spark, batch.Paths(lake=args.lake, warehouse=args.warehouse), now)
         print(json.dumps({"loaded": result.loaded, "inserted": result.inserted, "stages": result.stages}))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quayside.operators import quality
 from quayside.operators.parse import encode_events, parse_transactions, split_valid_invalid
-from quayside.plans import pipeline, registry
+from quayside.plans import batch, registry
 from quayside.sources import testdata
 from quayside.sources.lake import write_lake_batch
 
@@ -26,14 +26,14 @@ def _lake_from(spark, messages, lake):
 
 
 def test_end_to_end_and_rerun(spark, scratch):
-    paths = pipeline.Paths(lake=os.path.join(scratch, "lake"), warehouse=os.path.join(scratch, "wh"))
-    assert not pipeline.run_batch(spark, paths, NOW1).loaded  # empty lake is a no-op
+    paths = batch.Paths(lake=os.path.join(scratch, "lake"), warehouse=os.path.join(scratch, "wh"))
+    assert not batch.run_batch(spark, paths, NOW1).loaded  # empty lake is a no-op
 
     _lake_from(spark, encode_events(testdata.transactions(spark, SF_SMALL)), paths.lake)
-    r1 = pipeline.run_batch(spark, paths, NOW1)
+    r1 = batch.run_batch(spark, paths, NOW1)
     assert r1.loaded and r1.inserted == 1000 and "mart tests passed" in r1.stages
 
-    built = pipeline.marts_from_warehouse(spark, paths)
+    built = batch.marts_from_warehouse(spark, paths)
     expect = registry.layers(registry.stg(spark, SF_SMALL), NOW1)
     for name in ("dim_customers", "fct_daily_revenue"):
         assert built[name].count() == expect[name].count()
@@ -46,35 +46,35 @@ def test_end_to_end_and_rerun(spark, scratch):
     assert sorted(fct.columns) == sorted(expect["fct_transactions"].columns)
     cols = ["transaction_id", "customer_segment", "is_potential_fraud", "total_line_value"]
     assert fct.select(*cols).exceptAll(expect["fct_transactions"].select(*cols)).count() == 0
-    window = pipeline.fact_view(spark, paths, since=dt.date(2024, 1, 28))
+    window = batch.fact_view(spark, paths, since=dt.date(2024, 1, 28))
     explained = spark._jvm.PythonSQLUtils.explainString(window._jdf.queryExecution(), "formatted")
     staged_scans = [b for b in explained.split("\n\n") if "Scan parquet" in b and "stg_transactions" in b]
     assert staged_scans and all("PartitionFilters: [(event_day" in b and "2024-01-28" in b for b in staged_scans)
     assert window.count() == expect["fct_transactions"].filter("transaction_date >= '2024-01-28'").count()
 
-    r2 = pipeline.run_batch(spark, paths, NOW2)
+    r2 = batch.run_batch(spark, paths, NOW2)
     assert not r2.loaded and r2.inserted == 0  # no new lake batch: nothing read
 
     # A new batch redelivering part of the first one: read alone, inserts only new ids.
     again = encode_events(testdata.transactions(spark, SF_SMALL)).limit(10)
     valid, _ = split_valid_invalid(parse_transactions(again))
     write_lake_batch(valid, paths.lake, "t-1")
-    r2 = pipeline.run_batch(spark, paths, NOW2)
+    r2 = batch.run_batch(spark, paths, NOW2)
     assert r2.loaded and r2.inserted == 0
-    hist, version = pipeline.snapshot_history(spark, paths)
+    hist, version = batch.snapshot_history(spark, paths)
     n_dim = built["dim_customers"].count()
     # run 2 saw the same data: nothing closed, nothing opened
-    assert version == pipeline.run_id(NOW2) and hist.count() == n_dim
+    assert version == batch.run_id(NOW2) and hist.count() == n_dim
     assert hist.filter("valid_to IS NULL").count() == n_dim
     # the first run's mart version is still readable after the refresh
     assert built["dim_customers"].count() == expect["dim_customers"].count()
 
 
 def test_failing_gate_stops_before_marts(spark, scratch):
-    paths = pipeline.Paths(lake=os.path.join(scratch, "lake"), warehouse=os.path.join(scratch, "wh"))
+    paths = batch.Paths(lake=os.path.join(scratch, "lake"), warehouse=os.path.join(scratch, "wh"))
     _lake_from(spark, testdata.wire_messages(spark, SF_SMALL), paths.lake)  # has unparsable times
     with pytest.raises(quality.DataQualityError) as err:
-        pipeline.run_batch(spark, paths, NOW1)
+        batch.run_batch(spark, paths, NOW1)
     assert any(f[2] == "transaction_date" for f in err.value.failures)
     assert not os.path.exists(paths.mart("dim_customers"))
 
@@ -85,41 +85,41 @@ def test_snapshot_across_runs(spark, scratch):
     every run plus the newest open set."""
     from quayside.operators import snapshot
 
-    paths = pipeline.Paths(lake=os.path.join(scratch, "lake"), warehouse=os.path.join(scratch, "wh"))
+    paths = batch.Paths(lake=os.path.join(scratch, "lake"), warehouse=os.path.join(scratch, "wh"))
     cut = dt.datetime(2024, 1, 15, 12)  # day 01-15 is split between the two loads
     events = testdata.transactions(spark, SF_SMALL, with_event_id=True)
     early = events.filter(F.col("sent_at") < F.lit(cut)).drop("event_id", "sent_at")
     late = events.filter(F.col("sent_at") >= F.lit(cut)).drop("event_id", "sent_at")
     _lake_batch(spark, encode_events(early), paths.lake, "t-0")
-    pipeline.run_batch(spark, paths, NOW1)
-    dim1 = pipeline.read_mart(spark, paths, "dim_customers")
+    batch.run_batch(spark, paths, NOW1)
+    dim1 = batch.read_mart(spark, paths, "dim_customers")
     n1 = dim1.count()
     _lake_batch(spark, encode_events(late), paths.lake, "t-1")
-    pipeline.run_batch(spark, paths, NOW2)
-    dim2 = pipeline.read_mart(spark, paths, "dim_customers")
+    batch.run_batch(spark, paths, NOW2)
+    dim2 = batch.read_mart(spark, paths, "dim_customers")
 
     # incremental dimension (day groups of touched days only) == full recompute
     from quayside.operators import marts
 
-    full = marts.dim_customers(pipeline.read_staged(spark, paths), NOW2)
+    full = marts.dim_customers(batch.read_staged(spark, paths), NOW2)
     cols = [c for c in full.columns if c != "loaded_at"]
     assert dim2.select(*cols).exceptAll(full.select(*cols)).count() == 0
     assert full.select(*cols).exceptAll(dim2.select(*cols)).count() == 0
     # incremental daily rollup (touched days re-aggregated) == full recompute
-    daily = pipeline.read_mart(spark, paths, "fct_daily_revenue")
-    full_daily = marts.fct_daily_revenue(marts.fct_transactions(pipeline.read_staged(spark, paths), dim2, NOW2), NOW2)
+    daily = batch.read_mart(spark, paths, "fct_daily_revenue")
+    full_daily = marts.fct_daily_revenue(marts.fct_transactions(batch.read_staged(spark, paths), dim2, NOW2), NOW2)
     assert daily.exceptAll(full_daily.select(*daily.columns)).count() == 0
     assert full_daily.select(*daily.columns).exceptAll(daily).count() == 0
 
     changes = dict(
         snapshot.snapshot_changes(
-            snapshot.open_versions(dim1, "customer_id", NOW1), dim2, "customer_id", pipeline.SNAPSHOT_CHECK_COLS
+            snapshot.open_versions(dim1, "customer_id", NOW1), dim2, "customer_id", batch.SNAPSHOT_CHECK_COLS
         )
         .groupBy("change_type")
         .count()
         .collect()
     )
-    hist, _ = pipeline.snapshot_history(spark, paths)
+    hist, _ = batch.snapshot_history(spark, paths)
     n_closed = hist.filter("valid_to IS NOT NULL").count()
     assert n_closed == changes.get("change", 0) > 0
     assert hist.filter("valid_to IS NULL").count() == dim2.count()
@@ -145,11 +145,11 @@ def test_jobs_cli_batch(spark, scratch, capsys):
 def test_run_after_crash_before_marts_publishes_them(spark, scratch):
     """The load committed (manifest written) but the run died before the
     marts: the next run has no new batch, yet publishes the marts."""
-    paths = pipeline.Paths(lake=os.path.join(scratch, "lake"), warehouse=os.path.join(scratch, "wh"))
+    paths = batch.Paths(lake=os.path.join(scratch, "lake"), warehouse=os.path.join(scratch, "wh"))
     _lake_batch(spark, encode_events(testdata.transactions(spark, SF_SMALL)), paths.lake, "t-0")
-    assert pipeline.load_raw(spark, paths, pipeline.run_id(NOW1)) == (True, 1000)
-    assert pipeline.marts_stale(spark, paths)
-    r = pipeline.run_batch(spark, paths, NOW2)
+    assert batch.load_raw(spark, paths, batch.run_id(NOW1)) == (True, 1000)
+    assert batch.marts_stale(spark, paths)
+    r = batch.run_batch(spark, paths, NOW2)
     assert not r.loaded and "mart tests passed" in r.stages
-    assert not pipeline.marts_stale(spark, paths)
-    assert pipeline.read_mart(spark, paths, "dim_customers").count() > 0
+    assert not batch.marts_stale(spark, paths)
+    assert batch.read_mart(spark, paths, "dim_customers").count() > 0
