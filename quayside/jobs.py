@@ -1,15 +1,17 @@
 """Command-line entry points for the two long-running jobs.
 
-    spark-submit -m quayside.jobs ingest --format kafka \
+    spark-submit --py-files quayside.zip quayside/jobs.py ingest --format kafka \
         --option kafka.bootstrap.servers=host:9092 --option subscribe=transactions \
         --lake s3a://bucket/lake --dlq s3a://bucket/dlq \
         --checkpoint s3a://bucket/checkpoints/ingest --sink-id ingest-a
 
-    spark-submit -m quayside.jobs batch --lake s3a://bucket/lake \
+    spark-submit --py-files quayside.zip quayside/jobs.py batch --lake s3a://bucket/lake \
         --warehouse s3a://bucket/warehouse [--now 2024-01-31T00:00:00]
 
-The session (master, executors, ``spark.checkpoint.dir``) comes from
-``spark-submit``; only the SQL settings the plans rely on are applied.
+(``quayside.zip`` = the ``quayside`` package zipped; locally,
+``python -m quayside.jobs ...`` works the same.) The session (master,
+executors, ``spark.checkpoint.dir``) comes from ``spark-submit``; only
+the SQL settings the plans rely on are applied.
 """
 
 from __future__ import annotations
