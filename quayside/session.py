@@ -76,10 +76,11 @@ def _context(spark: SparkSession):
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    The setting is read from the session. Only when it is unset (tests, a
-    laptop) is a fallback used: the given folder, else a fresh scratch
-    folder. On a cluster the setting must point at shared storage, never at
-    a machine-local folder.
+    The setting is read from the session. Only when it is unset in local
+    mode (tests, a laptop) is a fallback used: the given folder, else a
+    fresh scratch folder. With any other master an unset setting is an
+    error: on a cluster it must point at shared storage, never at a
+    machine-local folder.
     """
     sc = _context(spark)
     if sc is not None and sc.getCheckpointDir():
@@ -88,6 +89,12 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not str(master).startswith("local"):
+            raise ValueError(
+                "spark.checkpoint.dir is unset: set it to shared storage; a machine-local "
+                "folder cannot hold intermediates on a cluster"
+            )
         configured = fallback or tempfile.mkdtemp(prefix="quayside-ckpt-")
     if sc is None:
         return configured

@@ -18,3 +18,10 @@ def test_small_side_is_broadcast_large_side_is_not(spark):
     assert not _hinted(bounded_broadcast(nation, 24))
     events = testdata.read_table(spark, SF_SMALL, "events")
     assert not _hinted(bounded_broadcast(events, 100))
+
+
+def test_checkpoint_dir_is_read_from_the_session(spark):
+    from quayside.session import checkpoint_dir
+
+    d = checkpoint_dir(spark)
+    assert d and d == checkpoint_dir(spark)  # set once (tests only, local mode), then reused
