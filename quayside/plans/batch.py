@@ -361,3 +361,39 @@ def marts_from_warehouse(spark: SparkSession, paths: Paths) -> dict[str, DataFra
         "fct_transactions": fact_view(spark, paths),
         "fct_daily_revenue": read_mart(spark, paths, "fct_daily_revenue"),
     }
+
+
+# Query name -> (input, days of fact history its window reaches back (None
+# = all), whether it takes the as-of date).
+_QUERY_INPUTS = {
+    "q1_revenue_today": ("fct", 0, True),
+    "q2_category_7d": ("fct", 7, True),
+    "q3_top_customers": ("dim", None, False),
+    "q4_hourly_today": ("fct", 0, True),
+    "q5_failure_by_payment_30d": ("fct", 30, True),
+    "q6_flagged": ("fct", None, False),
+    "q7_segments": ("dim", None, False),
+    "q8_daily_trend_30d": ("fct", 30, True),
+    "d1_kpis_today": ("daily", None, True),
+    "d2_revenue_trend": ("daily", None, True),
+    "d3_category_breakdown": ("daily", None, True),
+    "d4_top_customers": ("dim", None, False),
+    "d5_payment_failure": ("fct", 30, True),
+    "d6_segments": ("dim", None, False),
+}
+
+
+def warehouse_query(spark: SparkSession, paths: Paths, name: str, as_of: dt.date) -> DataFrame:
+    """Answer a named analytics / dashboard query from the warehouse this
+    job maintains: the newest mart versions, and for fact queries the fact
+    view restricted to the days the query's window can reach, so only those
+    staged partitions are scanned."""
+    from quayside.plans import queries as Q
+
+    source, days, dated = _QUERY_INPUTS[name]
+    if source == "fct":
+        data = fact_view(spark, paths, since=None if days is None else as_of - dt.timedelta(days=days))
+    else:
+        data = read_mart(spark, paths, "dim_customers" if source == "dim" else "fct_daily_revenue")
+    fn = getattr(Q, name)
+    return fn(data, as_of) if dated else fn(data)
