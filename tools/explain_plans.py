@@ -62,6 +62,38 @@ def main(argv: list[str]) -> None:
         plan = df._jdf.queryExecution().executedPlan().toString()
         final = plan.split("== Initial Plan ==")[0]
         parts += [f"## `{name}`", "", "```", condense(final).rstrip(), "```", ""]
+    # The serving path: a windowed query answered from the warehouse the
+    # batch job maintains reads only the staged partitions of its window.
+    import datetime as dt
+
+    from quayside.operators.parse import encode_events, parse_transactions, split_valid_invalid
+    from quayside.plans import batch
+    from quayside.sources import testdata
+    from quayside.sources.lake import write_lake_batch
+
+    wh = tempfile.mkdtemp(prefix="quayside-plans-wh-")
+    paths = batch.Paths(lake=os.path.join(wh, "lake"), warehouse=os.path.join(wh, "wh"))
+    valid, _ = split_valid_invalid(parse_transactions(encode_events(testdata.transactions(spark, sf_dir))))
+    write_lake_batch(valid, paths.lake, "plans-0")
+    batch.run_batch(spark, paths, dt.datetime(2024, 1, 31))
+    df = batch.warehouse_query(spark, paths, "q2_category_7d", dt.date(2024, 1, 30))
+    df.collect()
+    formatted = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    scans = [b.strip() for b in formatted.split("\n\n") if b.strip().startswith("(") and "Scan parquet" in b]
+    parts += [
+        "## `q2_category_7d` served from the warehouse (`plans.batch.warehouse_query`)",
+        "",
+        "Scan nodes of the formatted plan: the staged table is read only for the",
+        "days of the 7-day window (`PartitionFilters`), the date predicate is also",
+        "pushed into Parquet, and only the key column of the dimension is read: a",
+        "stored key is not provably unique to Catalyst, so the left join stays, but",
+        "as a join against one small column.",
+        "",
+        "```",
+        condense("\n\n".join(scans)).rstrip(),
+        "```",
+        "",
+    ]
     os.makedirs(os.path.join(ROOT, "docs"), exist_ok=True)
     with open(os.path.join(ROOT, "docs", "PLANS.md"), "w") as fh:
         fh.write("\n".join(parts))
