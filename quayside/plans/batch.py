@@ -246,13 +246,17 @@ def read_staged(spark: SparkSession, paths: Paths) -> DataFrame:
 
 
 def marts_stale(spark: SparkSession, paths: Paths) -> bool:
-    """True when a run loaded data but did not finish publishing marts."""
+    """True when a run loaded data but did not finish publishing its marts
+    or its snapshot (the last steps of a run)."""
     manifest = read_table_or_none(spark, paths.loaded_batches)
     if manifest is None:
         return False
     last_load = manifest.agg(F.max("run")).collect()[0][0]
-    versions = complete_versions(spark, paths.mart("fct_daily_revenue"))
-    return not versions or versions[-1] < last_load
+    for root in (paths.mart("fct_daily_revenue"), paths.snapshot):
+        versions = complete_versions(spark, root)
+        if not versions or versions[-1] < last_load:
+            return True
+    return False
 
 
 def read_mart(spark: SparkSession, paths: Paths, name: str) -> DataFrame | None:
