@@ -5,8 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, piece_codec, secret_scan, simhash, toxicity
-from quayside.llm.store import prepare
+from quayside.llm import (
+    ann,
+    chat_format,
+    decontaminate,
+    piece_codec,
+    secret_scan,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    token_files,
+    toxicity,
+)
+from quayside.llm.store import fresh_path, prepare, written
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +65,36 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], chats.schema)
+    return chat_format.read_back(written(chat_format.format_chats(chats.union(extra)), "formatted"))
+
+
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(docs, tokenizer("byte_bpe_50k.json"), fresh_path(spark, "token-cache"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = fresh_path(spark, "token-files")
+    token_files.write_token_files(docs, tokenizer("word_bpe_49k.json"), 2, path)
+    return token_files.read_token_files(spark, path)
+
+
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -73,8 +114,13 @@ QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_simhash": op3_simhash,
+    "op4_chat_format": op4_chat_format,
     "op5_decontaminate": op5_decontaminate,
+    "op6_ann": op6_ann,
+    "op7_token_counts": op7_token_counts,
+    "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLES: dict[str, str] = {}

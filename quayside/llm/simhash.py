@@ -135,13 +135,14 @@ def _signed(v: int) -> int:
 
 def _split(rows: DataFrame, far: int) -> DataFrame:
     """Each (mask, fp) once for every block of the bits its mask leaves."""
-    spark = rows.sparkSession
     # masks come from the splitting rule alone: five to the power of the depth at most
     masks = [r.mask for r in rows.select("mask").distinct().collect()]
-    finer = spark.createDataFrame(
-        [(m, _signed(b)) for m in masks for b in _blocks(m & (1 << 64) - 1, far + 1)], "mask bigint, finer bigint"
+    if not masks:
+        return rows.select("mask", "fp")
+    finer = ", ".join(
+        f"{m}L, array({', '.join(f'{_signed(b)}L' for b in _blocks(m & (1 << 64) - 1, far + 1))})" for m in masks
     )
-    return rows.join(F.broadcast(finer), "mask").select(F.col("finer").alias("mask"), "fp")
+    return rows.select(F.explode(F.expr(f"element_at(map({finer}), mask)")).alias("mask"), "fp")
 
 
 def links(prints: DataFrame, far: int = DISTANCE, shard: int = SHARD) -> DataFrame:
