@@ -9,10 +9,10 @@ A text is cut into units before each run of spaces: no piece holds a space after
 character (checked at load), so units never share a piece, the best path of the text is the
 paths of its units, and a unit seen before is looked up.
 
-Scores are the model's own. For a model of type unigram this is the library's segmentation.
-A model of type BPE keeps its pieces and scores, and its text is encoded as the
-unigram model of the same pieces (the library gives the same ids once the model's type field
-says unigram); merges by rank are no Viterbi path. Ties go to the longer last piece.
+Scores are the model's own. A model of type BPE keeps its pieces and scores, and its text is
+encoded as the unigram model of the same pieces (the best of the library's exact n-best search once
+the model's type field says unigram); merges by rank are no Viterbi path. Ties go to
+the longer last piece.
 
 Defined results: null and empty texts have no ids. Characters without a piece become their
 UTF-8 bytes' pieces. Decoding gives the text back, except that U+2581 becomes the space it

@@ -42,7 +42,7 @@ from quayside.llm.store import written
 
 WORDS = 4
 DISTANCE = 4
-SHARD = 4096
+SHARD = 1 << 14
 LEAF = 48
 _STEP = 1 << 15  # shingles whose hashes are held at a time
 
@@ -137,12 +137,11 @@ def _split(rows: DataFrame, far: int) -> DataFrame:
     """Each (mask, fp) once for every block of the bits its mask leaves."""
     # masks come from the splitting rule alone: five to the power of the depth at most
     masks = [r.mask for r in rows.select("mask").distinct().collect()]
-    if not masks:
-        return rows.select("mask", "fp")
-    finer = ", ".join(
-        f"{m}L, array({', '.join(f'{_signed(b)}L' for b in _blocks(m & (1 << 64) - 1, far + 1))})" for m in masks
-    )
-    return rows.select(F.explode(F.expr(f"element_at(map({finer}), mask)")).alias("mask"), "fp")
+    finer = [(m, _signed(b)) for m in masks for b in _blocks(m & (1 << 64) - 1, far + 1)]
+    if masks in ([], [0]):
+        return rows.select(F.explode(F.array(*[F.lit(b).cast("bigint") for _, b in finer] or [F.col("mask")])).alias("mask"), "fp")
+    table = rows.sparkSession.createDataFrame(finer, "mask bigint, finer bigint")
+    return rows.join(F.broadcast(table), "mask").select(F.col("finer").alias("mask"), "fp")
 
 
 def links(prints: DataFrame, far: int = DISTANCE, shard: int = SHARD) -> DataFrame:

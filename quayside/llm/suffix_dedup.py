@@ -448,7 +448,8 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with n_bytes, n_removed, n_spans, kept_sha256 and kept (binary: the remaining bytes; null where nothing was removed)."""
+    """``docs`` with n_bytes, n_removed, n_spans, kept_sha256 and kept (binary: the remaining bytes; null where nothing was removed).
+    Columns of ``docs`` with these names are replaced."""
     content = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     digested = docs.withColumns({"__digest": F.unhex(F.sha2(content, 256)), "n_bytes": F.octet_length(content).cast("bigint")})
     texts = distinct_texts(docs, text)
@@ -475,18 +476,18 @@ def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
                         edge = end
                     rest = b"".join([*kept, raw[end:]])
                     out.append((digest, removed, runs, hashlib.sha256(rest).hexdigest(), rest))
-                yield pd.DataFrame(out, columns=["d", "removed", "runs", "sha", "kept"])
+                yield pd.DataFrame(out, columns=["__d", "__removed", "__runs", "__sha", "__kept"])
 
     done = (
         spans.join(texts, "digest").select("digest", "packed", "spans")
-        .mapInPandas(cut, "d binary, removed long, runs long, sha string, kept binary")
+        .mapInPandas(cut, "__d binary, __removed long, __runs long, __sha string, __kept binary")
     )
-    kept = [F.col(f"`{c}`") for c in docs.columns]
-    return digested.join(done, F.col("__digest") == F.col("d"), "left").select(
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")]
+    return digested.join(done, F.col("__digest") == F.col("__d"), "left").select(
         *kept,
         "n_bytes",
-        F.coalesce("removed", F.lit(0)).cast("bigint").alias("n_removed"),
-        F.coalesce("runs", F.lit(0)).cast("bigint").alias("n_spans"),
-        F.coalesce("sha", F.lower(F.hex("__digest"))).alias("kept_sha256"),
-        "kept",
+        F.coalesce("__removed", F.lit(0)).cast("bigint").alias("n_removed"),
+        F.coalesce("__runs", F.lit(0)).cast("bigint").alias("n_spans"),
+        F.coalesce("__sha", F.lower(F.hex("__digest"))).alias("kept_sha256"),
+        F.col("__kept").alias("kept"),
     )
