@@ -17,6 +17,7 @@ from quayside.llm import (
     token_files,
     toxicity,
 )
+from quayside.llm.oracle import ORACLES  # noqa: F401
 from quayside.llm.store import fresh_path, prepare, written
 
 
@@ -122,5 +123,3 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
-
-ORACLES: dict[str, str] = {}
