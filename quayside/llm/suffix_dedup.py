@@ -9,17 +9,18 @@ is therefore over the suffixes at anchors, chosen by content so that no repeat e
    strings with the smallest hash. Equal windows have equal anchors at equal offsets. Windows
    that share an anchor form one record: the text right of the anchor (a suffix,
    as far as the windows reach) and the text left of it. Anchors whose gram occurs once are dropped: their windows are unique.
-3. The records are merge-sorted twice, by right and by reversed left text: each task sorts
+3. The records are merge-sorted by right text: each task sorts
    runs, front-codes them (length of the prefix shared with the record before, then the rest) and cuts
    them at the splitters; the runs of one range meet in a task and a loser tree merges them. The
    tree keeps, for each waiting record, how much it shares with the last one out; two records that share
    unequal amounts are ordered without a look at their bytes, equal amounts are compared beyond the known prefix only.
    Each run also sends the records next to its cut, so neighbours across ranges are seen.
-4. A record's greatest match to the right (R) stands next to it in the first order, to the left (L) in the second. A
-   window reaching l left of its anchor repeats exactly if some other record matches l to
-   the left and LENGTH - l to the right; so only l from LENGTH - R to L can. What the neighbours prove
-   is settled; where their proofs leave a gap in that range, the windows of the gap (of all records with that
-   gram) are themselves merge-sorted in a third round.
+4. A window reaching l left of its anchor repeats exactly if some other record matches l to the
+left and LENGTH - l to the right. Partners that match enough to the right stand next to a record in the first
+order, so a record looks outward until the right match is too short; what it has found then is all there is. Only a record with
+more than ``REACH`` such partners on a side stays open (a passage that very many texts share): its group is also sorted by left text and
+looked at the same way. The greatest right and left matches bound what is possible; windows that
+are possible but proved by no partner looked at are themselves merge-sorted in a third round.
 
 Defined results: null texts count as empty; texts shorter than ``LENGTH`` keep all bytes. Texts are
 whole UTF-8 bytes and matches never cross documents. Repeated rows are documents of their own, so each
@@ -47,7 +48,8 @@ GRAM = 128
 CHUNK = 1 << 20  # windows hashed at a time
 RUN_ROWS, RUN_BYTES = 50_000, 24 << 20
 SEEN = 200_000
-SPLIT_SAMPLE = 64  # sampled records for each range
+SPLIT_SAMPLE = 16  # sampled records for each range
+REACH = 24  # neighbours looked at on each side
 
 _B = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
@@ -213,14 +215,18 @@ def _opened(row: dict) -> tuple[list[tuple], list[int]]:
     return out, shares
 
 
+_LOOKED = "digest binary, a long, p1 long, l1 long, l2 long, best long, settled boolean, pairs array<struct<k:int,o:int>>"
+
+
 def neighbours(records: DataFrame, key: str, other: str, length: int = LENGTH) -> DataFrame:
     """For each record (digest, a, p1, l1, l2 and two strings): ``best``, the longest prefix of ``key`` it
-    shares with any other record, and for both neighbours in the order what keys and others share."""
+    shares with any other record; ``pairs``, what keys (k) and others (o) share with partners, as far as they reach ``length``
+    together and no nearer partner has more of both; ``settled``, whether every such partner was looked at."""
     spark = records.sparkSession
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = records.select(F.col(key).alias("key"), F.col(other).alias("other"), "digest", *_MARKS)
-    # splitters: a bounded sample (ranges x SPLIT_SAMPLE records, 8,192 at most) only decides where ranges meet
-    picked = rows.orderBy(F.xxhash64("digest", "p1")).limit(min(ranges * SPLIT_SAMPLE, 8192)).select("key", "other").collect()
+    # splitters: a bounded sample (ranges x SPLIT_SAMPLE records, 4,096 at most) only decides where ranges meet
+    picked = rows.orderBy(F.xxhash64("digest", "p1")).limit(min(ranges * SPLIT_SAMPLE, 4096)).select("key", "other").collect()
     picked = sorted((bytes(r.key), bytes(r.other)) for r in picked)
     cuts = sorted({picked[len(picked) * i // ranges] for i in range(1, ranges)}) if picked else []
 
@@ -252,7 +258,9 @@ def neighbours(records: DataFrame, key: str, other: str, length: int = LENGTH) -
         if run:
             yield from flush()
 
-    names = ["digest", *_MARKS, "best", "key0", "other0", "key1", "other1"]
+    pair = pa.list_(pa.struct([("k", pa.int32()), ("o", pa.int32())]))
+    kinds = [pa.binary(), *[pa.int64()] * 5, pa.bool_(), pair]
+    names = ["digest", *_MARKS, "best", "settled", "pairs"]
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dest, held = None, []
@@ -268,40 +276,59 @@ def neighbours(records: DataFrame, key: str, other: str, length: int = LENGTH) -
 
     def merge(runs: list) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
-        last, last_share, last_other = None, 0, 0
-
-        def done(share: int, other_share: int) -> None:
-            if not last[7]:
-                out.append((*last[2:7], max(last_share, share), last_share, last_other, share, other_share))
-
+        near: list[tuple] = []  # (record, length its key shares with the one before)
+
+        def look(at: int, step: int) -> tuple[list, bool]:
+            own, pairs, most = near[at][0], [], -1
+            share, i = len(own[0]), at
+            for _ in range(REACH):
+                i += step
+                if not 0 <= i < len(near):
+                    return pairs, True
+                share = min(share, near[i + (step < 0)][1])
+                if share + len(own[1]) < length:
+                    return pairs, True
+                got = shared(own[1], near[i][0][1])
+                if got > most and got + share >= length:
+                    pairs.append({"k": share, "o": got})
+                most = max(most, got)
+                if most == len(own[1]):
+                    return pairs, True
+            return pairs, False
+
+        def done(at: int) -> None:
+            record = near[at][0]
+            if not record[7]:
+                before, all_before = look(at, -1)
+                after, all_after = look(at, 1)
+                best = max(near[at][1] if at else 0, near[at + 1][1] if at + 1 < len(near) else 0)
+                out.append((*record[2:7], best, all_before and all_after, before + after))
+
+        at = 0  # the next record to finish: it needs REACH records behind it
         for record, _, share in LoserTree(runs):
-            other_share = 0
-            if last is not None:
-                # what the others share matters only where the keys reach a whole window
-                if share + len(record[1]) >= length or share + len(last[1]) >= length:
-                    other_share = shared(last[1], record[1])
-                done(share, other_share)
-            else:
-                share = 0
-            last, last_share, last_other = record, share, other_share
-            if len(out) >= 20_000:
+            near.append((record, share if near else 0))
+            if len(near) - at > REACH + 1:
+                done(at)
+                at += 1
+                if at > 4096:
+                    del near[: at - REACH - 1]
+                    at = REACH + 1
+            if len(out) >= 10_000:
                 yield _batch(out)
                 out = []
-        if last is not None:
-            done(0, 0)
+        for i in range(at, len(near)):
+            done(i)
         if out:
             yield _batch(out)
 
     def _batch(out: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r[i] for r in out], pa.binary() if i == 0 else pa.int64()) for i in range(len(names))], names
-        )
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names)
 
     return (
         rows.mapInArrow(to_runs, _SEGMENT)
         .repartition("dest")
         .sortWithinPartitions("dest")
-        .mapInArrow(merged, "digest binary, " + ", ".join(f"{n} long" for n in names[1:]))
+        .mapInArrow(merged, _LOOKED)
     )
 
 
@@ -362,27 +389,19 @@ def _records(live: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
-def _proved(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """From both orders' neighbours: window intervals that repeat (kind 0) and gaps to look into (kind 1)."""
+def _gaps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Window intervals that the greatest matches allow and no partner looked at proves."""
     for batch in batches:
         rows = []
-        for digest, a, p1, l1, l2, right, left, pairs in batch.itertuples(index=False, name=None):
-            # (right, left) matched with four neighbours
-            lo, hi = max(l1, LENGTH - right), min(l2, left)
-            if lo > hi:
-                continue
-            at = lo
-            for r, s in sorted(((p["r"], p["l"]) for p in pairs), key=lambda p: -p[0]):
-                x, y = max(lo, LENGTH - r), min(hi, s)
-                if x > y or y < at:
-                    continue
-                if x > at:
-                    rows.append((digest, a, p1, 1, at, x - 1))
-                rows.append((digest, a, p1, 0, max(x, at), y))
-                at = y + 1
+        for digest, a, p1, l1, l2, right, left, proofs in batch.itertuples(index=False, name=None):
+            at, hi = max(l1, LENGTH - right), min(l2, left)
+            for x, y in sorted((LENGTH - p["r"], p["l"]) for p in proofs):
+                if x > at and at <= hi:
+                    rows.append((digest, a, p1, at, min(x - 1, hi)))
+                at = max(at, y + 1)
             if at <= hi:
-                rows.append((digest, a, p1, 1, at, hi))
-        yield pd.DataFrame(rows, columns=["digest", "a", "p1", "kind", "lo", "hi"])
+                rows.append((digest, a, p1, at, hi))
+        yield pd.DataFrame(rows, columns=["digest", "a", "p1", "lo", "hi"])
 
 
 def _windows(records: DataFrame) -> DataFrame:
@@ -425,26 +444,43 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
     found = written(texts.select("digest", "packed").mapInArrow(anchored, "digest binary, a int, p1 int, p2 int, h long"), "anchors")
     twice = found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
     records = written(_records(found.join(twice, "h"), texts), "records")
-    right = neighbours(records, "right", "left").select(
-        "digest", *_MARKS, F.col("best").alias("right"), F.lit(0).alias("left"),
-        F.expr("array(named_struct('r', key0, 'l', other0), named_struct('r', key1, 'l', other1))").alias("pairs"),
-    )
-    left = neighbours(records, "left", "right").select(
-        "digest", *_MARKS, F.lit(0).alias("right"), F.col("best").alias("left"),
-        F.expr("array(named_struct('r', other0, 'l', key0), named_struct('r', other1, 'l', key1))").alias("pairs"),
-    )
-    both = right.union(left).groupBy("digest", *_MARKS).agg(
-        F.max("right").alias("right"), F.max("left").alias("left"), F.flatten(F.collect_list("pairs")).alias("pairs")
+    ordered = written(neighbours(records, "right", "left"), "right-order")
+    covered = _covered(ordered.selectExpr("digest", "a", "l1", "l2", "explode(pairs) as p"), "p.k", "p.o")
+    unsettled = ordered.filter("not settled")
+    if unsettled.isEmpty():
+        return covered
+    place = ["digest", "a", "p1"]
+    groups = records.join(unsettled.select(*place), place).select("h").distinct()
+    group = written(records.join(groups, "h"), "open-groups")
+    by_left = written(neighbours(group, "left", "right").join(unsettled.select(*place), place, "left_semi"), "left-order")
+    covered = covered.union(_covered(by_left.selectExpr("digest", "a", "l1", "l2", "explode(pairs) as p"), "p.o", "p.k"))
+    open_still = unsettled.select(
+        *place, "l1", "l2", F.col("best").alias("right"), F.expr("transform(pairs, p -> named_struct('r', p.k, 'l', p.o))").alias("one")
+    ).join(
+        by_left.filter("not settled").select(
+            *place, F.col("best").alias("left"), F.expr("transform(pairs, p -> named_struct('r', p.o, 'l', p.k))").alias("two")
+        ),
+        place,
+    )
+    gaps = written(
+        open_still.select(*place, "l1", "l2", "right", "left", F.concat("one", "two").alias("proofs")).mapInPandas(
+            _gaps, "digest binary, a long, p1 long, lo long, hi long"
+        ),
+        "gaps",
     )
-    proved = written(both.mapInPandas(_proved, "digest binary, a long, p1 long, kind int, lo long, hi long"), "proved")
-    settled = proved.filter("kind = 0").selectExpr("digest", "a - hi as start", f"a - lo + {LENGTH} as stop")
-    gaps = proved.filter("kind = 1")
     if gaps.isEmpty():
-        return settled
-    wanted = gaps.join(records.select("digest", "a", "p1", "h"), ["digest", "a", "p1"]).groupBy("h").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    windows = written(_windows(records.join(wanted, "h")), "windows")
+        return covered
+    wanted = gaps.join(group.select(*place, "h"), place).groupBy("h").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    windows = written(_windows(group.join(wanted, "h")), "windows")
     third = neighbours(windows, "key", "other").filter(F.col("best") >= LENGTH)
-    return settled.union(third.selectExpr("digest", "p1 as start", f"p1 + {LENGTH} as stop"))
+    return covered.union(third.selectExpr("digest", "p1 as start", f"p1 + {LENGTH} as stop"))
+
+
+def _covered(proofs: DataFrame, right: str, left: str) -> DataFrame:
+    """(digest, start, stop) covered by the windows that a partner's right and left match proves."""
+    return proofs.selectExpr(
+        "digest", "a", f"greatest(l1, {LENGTH} - {right}) as lo", f"least(l2, {left}) as hi"
+    ).filter("lo <= hi").selectExpr("digest", "a - hi as start", f"a - lo + {LENGTH} as stop")
 
 
 def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -96,16 +96,14 @@ def test_equals_brute_force(docs, seed):
     assert got.columns == [c for c in rows.columns if c != "n_spans"] + ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
 
 
-def test_gap_round_is_exact(docs, monkeypatch):
-    """Hide the neighbours' proofs: every possible window is then sorted in the third round."""
-    real = s._proved
-
-    def unproved(batches):
-        for out in real(batches):
-            yield out.assign(kind=1)
-
-    monkeypatch.setattr(s, "_proved", unproved)
-    texts = corpus(random.Random(4))[:24]
+@pytest.mark.parametrize("hidden", [False, True])
+def test_open_records_are_exact(docs, monkeypatch, hidden):
+    """Looking at one neighbour leaves records open; hiding its proof sends every possible window to the third round."""
+    real = s._gaps
+    monkeypatch.setattr(s, "REACH", 1)
+    if hidden:
+        monkeypatch.setattr(s, "_gaps", lambda batches: real(b.assign(proofs=[[]] * len(b)) for b in batches))
+    texts = corpus(random.Random(4))[:30]
     assert digest(s.remove_repeats(docs(*enumerate(texts)))) == dict(enumerate(brute(texts)))
 
 
