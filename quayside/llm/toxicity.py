@@ -1,7 +1,7 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
-A clause's words become symbols: insult, threat, target, negation, report or
-other. Four transducers are composed into one: negation rewrites an insult or threat
+A clause's words become symbols: insult, suspect, threat, target, negation, report or
+other (a suspect is a stem that toxic texts repeat and others hold now and then). Four transducers are composed into one: negation rewrites an insult, suspect or threat
 that follows a negation within three words; reported speech rewrites what follows a reporting
 word; target rewrites an insult or threat in a clause that has already
 named someone; scoring consumes what is left, emitting one weighted event per
@@ -9,8 +9,9 @@ symbol. The composed machine runs over matched clauses only: clauses that hold
 an insult or threat, found by one Aho-Corasick pass over the whole text.
 
 The grammar's closed lists (targets, negations, reports, threats, first insults) are
-fixed; further insults (words, and stems of four to six letters) and the event weights are learned from
-at most ``SAMPLE`` labelled rows (those with the smallest id hashes). Only texts
+fixed; further insults and suspects (words and stems) and the event weights are learned from
+at most ``SAMPLE`` labelled rows (those with the smallest id hashes). Suspects count as far as they exceed their
+learned rate in clean text. Only texts
 and labels take part: language, source and ids are never inputs.
 
 Defined results: null and empty texts score as a text without matched clauses.
@@ -20,9 +21,11 @@ Repeated rows repeat; other columns pass through.
 
 from __future__ import annotations
 
+import math
 import re
+import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -31,12 +34,17 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from quayside.llm.store import written
 
 SAMPLE = 8000
 THRESHOLD = 0.3
-# A learned word or stem stands in this many toxic sample rows at least, and this share of its rows is toxic.
-SUPPORT, PURITY, LEXICON = 4, 0.95, 2000
-STEMS = (4, 5, 6)
+# A word or stem may be learned if SUPPORT toxic sample rows hold it (insult) or repeat it (suspect) and PURITY of
+# such rows are toxic; at most LEXICON are looked at. Learned are those with SURE such rows, and the fewest that
+# reach the toxic rows left, each SUPPORT rows and the share GAIN of the toxic rows that the fixed lists miss.
+SUPPORT, SURE, GAIN, PURITY, LEXICON = 2, 8, 0.01, 0.85, 4000
+STEMS = (4, 5, 6, 7, 8)
 
 INSULTS = "idiot idiots moron morons scum trash loser losers pathetic worthless stupid disgusting clown clowns vermin".split()
 THREATS = "kill hurt destroy beat crush smash burn töten umbringen vernichten tuer frapper détruire matar golpear destruir".split()
@@ -45,10 +53,9 @@ NEGATIONS = "not no never isn't aren't don't nicht kein keine nie pas jamais auc
 REPORTS = "said says wrote quoted claimed called reported sagte schrieb nannte dit écrit appelé dijo escribió llamó".split()
 REACH = 3  # words a negation reaches over
 
-EVENTS = (
-    "insult", "insult@target", "threat", "threat@target",
-    "negated insult", "negated threat", "reported insult", "reported threat",
-)
+BAD = ("insult", "suspect", "threat")
+EVENTS = tuple(f"{how}{b}{at}" for b in BAD for how, at in (("", ""), ("", "@target"), ("negated ", ""), ("reported ", "")))
+SUSPECT = np.array(["suspect" in e for e in EVENTS])
 _WORD = re.compile(r"[^\W_]+(?:'[^\W_]+)?")
 _BREAK = re.compile(r"[.!?;:\n]")
 
@@ -86,8 +93,8 @@ def compose(first: Transducer, second: Transducer, symbols: set[str]) -> Transdu
 
 @lru_cache(1)
 def grammar() -> Transducer:
-    symbols = {"insult", "threat", "target", "negation", "report", "other"}
-    bad = ("insult", "threat")
+    symbols = {*BAD, "target", "negation", "report", "other"}
+    bad = BAD
     negation = Transducer(
         {(s, "negation"): (REACH, "negation", None) for s in range(REACH + 1)}
         | {(s, b): (s - 1, f"negated {b}", None) for s in range(1, REACH + 1) for b in bad},
@@ -102,22 +109,23 @@ def grammar() -> Transducer:
 
 
 class Scanner:
-    """Finds and reads the matched clauses of whole texts."""
+    """Finds and reads the matched clauses of whole texts. ``learned``: (word or stem, is it a stem, symbol)."""
 
-    def __init__(self, words: list[str], stems: list[str]) -> None:
-        self.kind = {w: k for k, names in (
-            ("report", REPORTS), ("negation", NEGATIONS), ("target", TARGETS), ("threat", THREATS), ("insult", [*INSULTS, *words]),
+    def __init__(self, learned: tuple[tuple[str, bool, str], ...] = ()) -> None:
+        words = {w: k for k, names in (
+            ("report", REPORTS), ("negation", NEGATIONS), ("target", TARGETS), ("threat", THREATS), ("insult", INSULTS),
         ) for w in names}
-        self.stems = frozenset(stems)
+        self.kind = {w: k for w, stem, k in learned if not stem} | words
+        self.stems = {w: k for w, stem, k in learned if stem}
         self.hooks = ahocorasick.Automaton()
-        for w in {*INSULTS, *THREATS, *words, *stems}:
+        for w in {*INSULTS, *THREATS, *(w for w, _, _ in learned)}:
             self.hooks.add_word(w, len(w))
         self.hooks.make_automaton()
 
     def symbol(self, word: str) -> str:
         kind = self.kind.get(word)
         if kind is None:
-            kind = "insult" if any(word[:n] in self.stems for n in STEMS) else "other"
+            kind = next((self.stems[word[:n]] for n in STEMS if word[:n] in self.stems), "other")
         return kind
 
     def events(self, text: str | None) -> np.ndarray:
@@ -142,84 +150,157 @@ class Scanner:
 
 @dataclass(frozen=True)
 class Model:
-    words: tuple[str, ...]
-    stems: tuple[str, ...]
+    learned: tuple[tuple[str, bool, str], ...]
     weights: tuple[float, ...]
     bias: float
+    rate: float  # suspects per character of clean text
+
+    def score(self, texts: Iterable[str | None], scanner: Scanner) -> np.ndarray:
+        x = _inputs([scanner.events(t) for t in texts], [len(t or "") for t in texts], self.rate)
+        return 1 / (1 + np.exp(-np.clip(x @ np.array(self.weights) + self.bias, -40, 40)))
+
+
+def _inputs(events: list[np.ndarray], lengths: list[int], rate: float) -> np.ndarray:
+    x = np.array(events, float).reshape(-1, len(EVENTS))
+    suspects = x[:, SUSPECT].sum(axis=1)
+    beyond = np.maximum(0, 1 - rate * np.array(lengths, float) / np.maximum(suspects, 1))
+    return np.log1p(np.where(SUSPECT, x * beyond[:, None], x))
+
 
-    def score(self, events: np.ndarray) -> np.ndarray:
-        z = np.log1p(events) @ np.array(self.weights) + self.bias
-        return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+def _signature(texts: pd.Series) -> pd.Series:
+    """Smallest checksum of a text's long words: near copies mostly share it, other texts hardly ever."""
+    return pd.Series([min((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in _WORD.findall((t or "").lower()) if len(w) > 7), default=-1) for t in texts])
 
 
 def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE, teach: Column | None = None) -> DataFrame:
-    """(text, toxic) of at most ``rows`` labelled documents, those of the smallest id hash."""
+    """(text, toxic) of at most ``rows`` labelled documents, those of the smallest id hash. Copies teach once:
+    rows of one signature and label count as one (texts without long words stand for themselves)."""
     own = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic is not null")
     own = own.filter(teach) if teach is not None else own
     picked = own.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     # broadcast bound: ``rows`` pairs of numbers
-    return texts.join(F.broadcast(picked), "doc_id").select("text", "toxic")
+    signed = texts.join(F.broadcast(picked), "doc_id").withColumn("copy", F.pandas_udf(_signature, "long")("text"))
+    one = signed.withColumn("copy", F.when(F.col("copy") < 0, -F.abs(F.xxhash64("text"))).otherwise(F.col("copy")))
+    first = F.row_number().over(Window.partitionBy("toxic", "copy").orderBy("text"))
+    return one.withColumn("first", first).filter("first = 1").select("text", "toxic")
+
+
+def _forms(word: str) -> list[str]:
+    """A word as a feature, and its stems."""
+    return ["w" + word] * (len(word) > 2) + ["s" + word[:n] for n in STEMS if len(word) > n]
+
+
+def _uses(text: str) -> Counter:
+    """Features of a text: what it holds ("1...") and what it repeats ("2...")."""
+    plain: Counter = Counter()
+    for word, n in Counter(_WORD.findall(text.lower())).items():
+        for f in _forms(word):
+            plain[f] += n
+    return Counter({"1" + f: n for f, n in plain.items()} | {"2" + f: n for f, n in plain.items() if n > 1})
 
 
 def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         seen: list[Counter] = [Counter(), Counter()]
         for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
-            words = {w for w in _WORD.findall(text.lower())}
-            own = {"w" + w for w in words if len(w) > 2}
-            own.update("s" + w[:n] for w in words for n in STEMS if len(w) > n)
-            seen[int(toxic)].update(own)
+            seen[int(toxic)].update(_uses(text).keys())
         rows = [(f, n, seen[0][f]) for f, n in seen[1].items()]
         # what no toxic row of this batch holds may yet be in another batch's
         rows += [(f, 0, n) for f, n in seen[0].items() if f not in seen[1]]
         yield pd.DataFrame(rows, columns=["feature", "toxic", "clean"])
 
 
-def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE, teach: Column | None = None) -> Model:
-    """Lexicon, then weights, from the bounded sample."""
-    taught = sample(docs, labels, rows, teach)
+def _cover(rows: list[list[tuple[int, int]]], known: set[int]) -> set[int]:
+    """Greedy: the feature in most rows not yet reached (ties: most often used), until none reaches enough."""
+    chosen: set[int] = set()
+    left = [dict(r) for r in rows if not known & {f for f, _ in r}]
+    least = max(SUPPORT, math.ceil(len(rows) * GAIN))
+    while left:
+        gain: Counter = Counter()
+        used: Counter = Counter()
+        for r in left:
+            gain.update(r.keys())
+            used.update(r)
+        best = max(gain, key=lambda f: (gain[f], used[f], -f), default=None)
+        if best is None or gain[best] < least:
+            break
+        chosen.add(best)
+        left = [r for r in left if best not in r]
+    return chosen
+
+
+def _lexicon(taught: DataFrame) -> tuple[tuple[str, bool, str], ...]:
+    """Words and stems learned from the sample."""
     counts = (
         taught.mapInPandas(_features, "feature string, toxic long, clean long")
         .groupBy("feature")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         .filter((F.col("toxic") >= SUPPORT) & (F.col("toxic") >= PURITY * (F.col("toxic") + F.col("clean"))))
-        .orderBy(F.desc("toxic"), "clean", "feature")
+        .orderBy(F.desc("toxic"), "clean", F.desc(F.length("feature")), "feature")
         .limit(LEXICON)
         .collect()
     )
-    # a longer entry whose shorter stem is listed adds nothing
-    stems = sorted({r.feature[1:] for r in counts if r.feature[0] == "s"}, key=lambda s: (len(s), s))
-    kept: list[str] = []
-    for s in stems:
-        if not any(s.startswith(k) for k in kept):
-            kept.append(s)
-    words = sorted(w for r in counts if r.feature[0] == "w" and not any((w := r.feature[1:]).startswith(k) and len(w) > len(k) for k in kept))
-    scanner_parts = (words, kept)
+    place = {r.feature: i for i, r in enumerate(counts)}
+
+    def present(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fixed = Scanner()
+        for batch in batches:
+            out = []
+            for text in batch["text"]:
+                if not fixed.events(text)[~SUSPECT].any():  # what the fixed lists read needs no learned word
+                    uses = {place[f]: n for f, n in _uses(text).items() if f in place}
+                    out.append((list(uses.keys()), list(uses.values())))
+            yield pd.DataFrame(out, columns=["f", "n"])
+
+    # one short list per toxic sample row
+    rows = [list(zip(r.f, r.n, strict=True)) for r in taught.filter("toxic = 1").mapInPandas(present, "f array<int>, n array<int>").collect()]
+    sure = {i for i, r in enumerate(counts) if r.toxic >= SURE}
+    kept: dict[str, int] = {}
+    for i in sorted(sure | _cover(rows, sure), key=lambda i: (-len(counts[i].feature), counts[i].feature)):
+        # of stems with equal counts the longest stands for all
+        name = counts[i].feature
+        if not any(k[:2] == name[:2] and k.startswith(name) and counts[j][1:] == counts[i][1:] for k, j in kept.items()):
+            kept[name] = i
+    out: list[tuple[str, bool, str]] = []
+    for name in sorted(kept, key=lambda f: (len(f), f)):
+        # a longer entry whose shorter stem is listed adds nothing
+        if not any(stem and name[2:].startswith(w) for w, stem, _ in out):
+            out.append((name[2:], name[1] == "s", "insult" if name[0] == "1" else "suspect"))
+    return tuple(out)
+
+
+def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE, teach: Column | None = None) -> Model:
+    """Lexicon, then weights, from the bounded sample."""
+    taught = written(sample(docs, labels, rows, teach), "taught")
+    learned = _lexicon(taught)
 
     def observed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scanner = Scanner(*scanner_parts)
+        scanner = Scanner(learned)
         for batch in batches:
-            yield pd.DataFrame({"x": [scanner.events(t).tolist() for t in batch["text"]], "y": batch["toxic"].astype(float)})
+            yield pd.DataFrame(
+                {"x": [scanner.events(t).tolist() for t in batch["text"]], "n": [len(t) for t in batch["text"]], "y": batch["toxic"].astype(float)}
+            )
 
-    grouped = taught.mapInPandas(observed, "x array<double>, y double").groupBy("x").agg(F.sum("y").alias("toxic"), F.count("*").alias("n")).orderBy("x").collect()
-    x = np.array([r.x for r in grouped], float).reshape(-1, len(EVENTS))
-    weights, bias = _fit(x, np.array([r.toxic for r in grouped], float), np.array([r.n for r in grouped], float))
-    return Model(tuple(words), tuple(kept), tuple(weights), bias)
+    seen = taught.mapInPandas(observed, "x array<double>, n long, y double").orderBy("x", "n", "y").collect()  # SAMPLE rows at most
+    x = np.array([r.x for r in seen], float).reshape(-1, len(EVENTS))
+    y, lengths = np.array([r.y for r in seen], float), [r.n for r in seen]
+    clean = y == 0
+    rate = float(x[clean][:, SUSPECT].sum() / max(1, np.array(lengths)[clean].sum())) if len(y) else 0.0
+    weights, bias = _fit(_inputs(list(x), lengths, rate), y)
+    return Model(learned, tuple(weights), bias, rate)
 
 
-def _fit(x: np.ndarray, toxic: np.ndarray, n: np.ndarray) -> tuple[list[float], float]:
-    """Ridge logistic regression by Newton steps, on grouped rows. No rows: no evidence either way."""
+def _fit(x: np.ndarray, toxic: np.ndarray) -> tuple[list[float], float]:
+    """Ridge logistic regression by Newton steps. No rows: no evidence beyond the start."""
     start = np.where(np.array([e.startswith(("negated", "reported")) for e in EVENTS]), 0.3, 2.0)
-    if not len(n):
-        return start.tolist(), -3.0
-    a = np.c_[np.log1p(x), np.ones(len(n))]
-    prior = np.r_[start, 0.0]
-    ridge = np.diag(np.r_[np.ones(len(EVENTS)), 0.01])
-    w = np.r_[start, -3.0]
-    for _ in range(30):
+    a = np.c_[x, np.ones(len(x))]
+    prior = np.r_[start, -3.0]
+    ridge = np.diag(np.r_[np.ones(len(EVENTS)), 5.0])  # a few rows do not move the rate of texts without events
+    w = prior.copy()
+    for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -40, 40)))
-        step = np.linalg.solve(a.T @ (a * (n * p * (1 - p) + 1e-9)[:, None]) + ridge, a.T @ (toxic - n * p) - ridge @ (w - prior))
+        step = np.linalg.solve(a.T @ (a * (p * (1 - p) + 1e-9)[:, None]) + ridge, a.T @ (toxic - p) - ridge @ (w - prior))
         w = w + np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-8:
             break
@@ -230,9 +311,9 @@ def with_score(docs: DataFrame, model: Model, text: str = "text", out: str = "sc
     """``docs`` with the double column ``out``: 0 to 1, higher is likelier toxic."""
 
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scanner = Scanner(list(model.words), list(model.stems))
+        scanner = Scanner(model.learned)
         for texts in batches:
-            yield pd.Series(model.score(np.array([scanner.events(t) for t in texts], float).reshape(-1, len(EVENTS))))
+            yield pd.Series(model.score(texts, scanner))
 
     return docs.withColumn(out, F.pandas_udf(scored, "double")(F.col(f"`{text}`")))
 
