@@ -5,7 +5,7 @@ spaces first and a repeated word is looked up. A cut is made only where it prova
 
 * ``lead`` tokenizers (byte-level, a space starts the next word): at a single space between two
   characters that are not white space.
-* others (white space is dropped): at every space.
+* others (white space is dropped): at every space, line break and tab.
 
 Added tokens hold no white space, so the library finds them inside a piece as it would in the text.
 """
@@ -39,6 +39,7 @@ class WordEncoder:
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.lead = "".join(self._tokens("a b")) != "".join(self._tokens("ab"))
+        self.one_case = self._tokens("Ab") == self._tokens("ab")
         self.memo: dict[str, bytes] = {}
 
     def _tokens(self, text: str) -> list[str]:
@@ -47,7 +48,7 @@ class WordEncoder:
 
     def _pieces(self, text: str) -> list[str]:
         if not self.lead:
-            return text.split(" ")
+            return text.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ")
         parts = _CUT.split(text) if _NEAR_SPACE.search(text) else text.split(" ")
         # a later part stands for itself after a space; the first one is marked
         return ["\0" + parts[0], *parts[1:]]
@@ -59,15 +60,20 @@ class WordEncoder:
 
     def _learn(self, new: set[str]) -> dict[str, bytes]:
         """Ids of pieces not remembered. A mark after a letter is a word of its own to these tokenizers, so
-        a piece that ends in marks is put together from the rest and the marks."""
+        a piece that ends in marks is put together from the rest and the marks; where case makes no difference,
+        a piece is looked up in lower case (plain ASCII letters only, whose lower case is the same everywhere)."""
         memo, parts, ask = self.memo, {}, {}
         for p in new:
             core = p.rstrip(_MARKS)
-            if core != p and core and core[-1] < "\u0250" and core[-1].isalpha():
+            whole = core == p and not (self.one_case and p.isascii() and not p.islower())
+            if not whole and core and core[-1] < "\u0250" and core[-1].isalpha() and "<|" not in core:
                 tail = "\0" + p[len(core) :]  # said without a space before it
+                if self.one_case and core.isascii():
+                    core = core.lower()
                 parts[p] = (core, tail)
                 ask[core] = None
-                ask[tail] = None
+                if len(tail) > 1:
+                    ask[tail] = None
             else:
                 ask[p] = None
         ask = [p for p in ask if p not in memo]

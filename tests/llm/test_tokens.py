@@ -19,7 +19,7 @@ from tests.conftest import SF_SMALL
 BYTE, WORD = "byte_bpe_50k.json", "word_bpe_49k.json"
 HARD = [
     "", " ", "  ", "a", " a", "a ", "a  b", "it's 's don 't x", "a\n b", "a \nb\n\n c\t d", "<|endoftext|>", "x <|endoftext|> y<|endoftext|>",
-    "<|startoftext|>Hi THERE", "É é ́x İstanbul ΣΑΣ ς", "a b   c", "\x1c a \x1f b\x85c", "日本 語", "\U0001f600 \U0001f600‍ x",
+    "<|startoftext|>Hi THERE", "x<|ENDOFTEXT|>y Z<|endoftext|>Y.", "É é ́x İstanbul ΣΑΣ ς", "a b   c", "\x1c a \x1f b\x85c", "日本 語", "\U0001f600 \U0001f600‍ x",
     "123 4567 8", "$$$ a.b,c !?", "w" * 5000, "ab " * 4000,
 ]
 
