@@ -65,7 +65,3 @@ def day_floor(as_of: dt.date, days: int) -> Column:
     ``transaction_date`` partitions of written marts.
     """
     return F.lit(as_of - dt.timedelta(days=days))
-
-
-def as_double(c: str) -> Column:
-    return F.col(c).cast("double").alias(c)

@@ -56,7 +56,7 @@ raw AS (
   FROM events e
   JOIN customer c ON e.user_id = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey
-  LEFT JOIN part p ON p.p_partkey = e.event_id % 200
+  LEFT JOIN part p ON p.p_partkey = e.event_id % (SELECT nullif(count(*), 0) FROM part)
 )"""
 
 # Messages with defects, parsed back (what from_json + the rules yield).

@@ -14,7 +14,7 @@ Mapping (same expressions in the DuckDB oracle):
   0.10, 1, 10, 100 (spreads customers over every spend segment)
 * status by event_type: view, click, purchase -> success; error -> failed;
   signup -> refunded when event_id % 3 = 0, else pending
-* category / product = p_type / p_name of part ``event_id % 200``
+* category / product = p_type / p_name of part ``event_id % (number of part rows)``
 * quantity = event_id % 10 + 1; currency USD
 * timestamp = ts as ISO-8601 text with microseconds and ``+00:00``
 * device = event_id % 3 -> mobile, desktop, tablet
@@ -30,14 +30,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.functions.frames import bounded_broadcast
 from quayside.schema import EVENT_FIELDS
 
-# Part rows a transaction can reference: keys 0..PART_KEYS-1.
-PART_KEYS = 200
-# Row bound for the explicitly broadcast lookup tables.
-MAX_BROADCAST_ROWS = 100_000
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -51,19 +45,6 @@ def zero_pad(n: Column, width: int) -> Column:
     return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the cluster when its scan has fewer splits
-    than the cluster has task slots (a small table stored as one row group
-    is read by one task). At scale the scan already has many more splits
-    than slots and this is a no-op, so no shuffle is added there."""
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no local context (remote session): leave as is
-        return df
-    return df.repartition(slots) if splits < slots else df
-
-
 def _amount(value: Column, user_id: Column) -> Column:
     factor = (
         F.when(user_id % 4 == 0, F.lit(Decimal("0.10")))
@@ -97,27 +78,21 @@ def _payment(user_id: Column, event_id: Column) -> Column:
 def transactions(spark: SparkSession, sf_dir: str, with_event_id: bool = False) -> DataFrame:
     """The 15-field transaction events, one per row of ``events``.
 
-    Join strategy: ``nation`` and the part rows a transaction can reference
-    (keys below ``PART_KEYS``; the key filter changes no result of the left
-    join, it only bounds the side) are broadcast after their row counts are
-    checked against fixed bounds; beyond a bound they join like any table.
-    ``customer`` grows with the data, so no hint: Spark broadcasts it only
-    when its measured size is under the threshold, else shuffles (AQE
-    splits a hot user).
+    Every event references one row of the whole ``part`` table, so products and
+    categories grow with it. No join hints: Spark broadcasts a side
+    whose measured size allows it and shuffles otherwise (AQE splits a hot user).
     """
-    ev = spread(read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"))
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    part = (
-        read_table(spark, sf_dir, "part")
-        .select("p_partkey", "p_name", "p_type")
-        .filter((F.col("p_partkey") >= 0) & (F.col("p_partkey") < PART_KEYS))
-    )
+    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
+    parts = part.agg(F.nullif(F.count("*"), F.lit(0))).scalar()
     eid, uid = F.col("event_id"), F.col("user_id")
     joined = (
-        ev.join(cust, ev.user_id == cust.c_custkey, "inner")
-        .join(bounded_broadcast(nation, MAX_BROADCAST_ROWS), F.col("c_nationkey") == F.col("n_nationkey"), "inner")
-        .join(bounded_broadcast(part, MAX_BROADCAST_ROWS), (eid % PART_KEYS) == F.col("p_partkey"), "left")
+        ev.withColumn("part_ref", eid % parts)
+        .join(cust, ev.user_id == cust.c_custkey, "inner")
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "inner")
+        .join(part, F.col("part_ref") == F.col("p_partkey"), "left")
     )
     cols = [
         F.concat(F.lit("txn_"), zero_pad(eid, 12)).alias("transaction_id"),
