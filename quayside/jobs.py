@@ -55,12 +55,6 @@ def main(argv: list[str] | None = None) -> None:
     bat.add_argument("--lake", required=True)
     bat.add_argument("--warehouse", required=True)
     bat.add_argument("--now", help="load time (ISO); default: now, UTC")
-    bat.add_argument(
-        "--merge-scope",
-        default=batch.RAW_PARTITION,
-        choices=[batch.RAW_PARTITION, "global"],
-        help="compare new ids within the load's event days (default) or against every existing id",
-    )
 
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"quayside-{args.job}").getOrCreate()
@@ -84,7 +78,7 @@ def main(argv: list[str] | None = None) -> None:
     else:
         now = dt.datetime.fromisoformat(args.now) if args.now else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         paths = batch.Paths(lake=args.lake, warehouse=args.warehouse)
-        result = batch.run_batch(spark, paths, now, merge_scope=args.merge_scope)
+        result = batch.run_batch(spark, paths, now)
         print(json.dumps({"loaded": result.loaded, "inserted": result.inserted, "stages": result.stages}))
 
 

@@ -15,31 +15,11 @@ from pyspark.sql import functions as F
 from quayside.functions.columns import avg_money, is_true, latest_non_null, rate_pct, ratio_money, segment
 from quayside.schema import FRAUD_FAILURE_RATE_PCT, HIGH_VALUE_AMOUNT, REGULAR_SPEND, VIP_SPEND
 
-DIM_COLUMNS = [
-    "customer_id",
-    "customer_name",
-    "customer_email",
-    "customer_country",
-    "total_transactions",
-    "total_spend",
-    "avg_transaction_value",
-    "active_days",
-    "first_seen_at",
-    "last_seen_at",
-    "categories_purchased",
-    "failed_transactions",
-    "failure_rate_pct",
-    "customer_segment",
-    "loaded_at",
-]
-
-
 def dim_customers(
     stg: DataFrame,
     now: dt.datetime,
     vip: float = VIP_SPEND,
     regular: float = REGULAR_SPEND,
-    ids_unique: bool = False,
 ) -> DataFrame:
     """One row per customer: latest known name/email/country, counts, spend,
     activity span, failure rate and a spend segment.
@@ -55,16 +35,17 @@ def dim_customers(
        day and category counts, whose ``Expand`` now multiplies the reduced
        groups instead of every transaction;
     3. the exact distinct transaction count, keyed on (customer, id) in its
-       first shuffle; skipped when the caller has proven ids unique (the
-       staging uniqueness gate passed), where a plain count in step 1 is
-       equal;
+       first shuffle;
     4. the latest non-null name, email and country over the narrow
        (customer, time, id, strings) projection: string buffers force a
        sort-based aggregate, so it is kept away from the wide steps.
 
-    The parts are joined on ``customer_id``; each is hash-partitioned on it
+    The parts are left-joined on ``customer_id``: a query that reads no column of
+    a part drops that part and its scan (every part has one row per customer, so left
+    and inner joins agree). Each part is hash-partitioned on it
     by its final aggregate, so the joins add no exchange of their own.
     """
+    stg = stg.filter(F.col("customer_id").isNotNull())
     success = F.col("status") == "success"
     amount = F.col("amount")
     per_group = [
@@ -76,8 +57,6 @@ def dim_customers(
         F.count_if(F.col("status") == "failed").alias("failed_transactions"),
         F.count(F.lit(1)).alias("n_rows"),
     ]
-    if ids_unique:
-        per_group.append(F.count("transaction_id").alias("n_ids"))
     groups = stg.groupBy("customer_id", "transaction_date", "product_category").agg(*per_group)
     totals = [
         F.sum("spend").alias("spend"),
@@ -90,19 +69,15 @@ def dim_customers(
         F.count_distinct("transaction_date").alias("active_days"),
         F.count_distinct("product_category").alias("categories_purchased"),
     ]
-    if ids_unique:
-        totals.append(F.sum("n_ids").alias("total_transactions"))
-    metrics = groups.groupBy("customer_id").agg(*totals)
-    if not ids_unique:
-        ids = stg.groupBy("customer_id").agg(F.count_distinct("transaction_id").alias("total_transactions"))
-        metrics = metrics.join(ids, "customer_id")
+    ids = stg.groupBy("customer_id").agg(F.count_distinct("transaction_id").alias("total_transactions"))
+    metrics = groups.groupBy("customer_id").agg(*totals).join(ids, "customer_id", "left")
     order = ("event_timestamp", "transaction_id")
     names = stg.groupBy("customer_id").agg(
         latest_non_null("customer_name", *order).alias("customer_name"),
         latest_non_null("customer_email", *order).alias("customer_email"),
         latest_non_null("customer_country", *order).alias("customer_country"),
     )
-    return _dim_output(metrics.join(names, "customer_id"), now, vip, regular)
+    return _dim_output(metrics.join(names, "customer_id", "left"), now, vip, regular)
 
 
 def _dim_output(m: DataFrame, now: dt.datetime, vip: float, regular: float) -> DataFrame:
@@ -167,6 +142,7 @@ def dim_from_groups(
     and extremes of the groups, distinct days and categories over them,
     and the value with the greatest key per name column (a narrow separate
     aggregate, since string buffers sort)."""
+    groups = groups.filter(F.col("customer_id").isNotNull())
     metrics = groups.groupBy("customer_id").agg(
         F.sum("spend").alias("spend"),
         F.sum("success_amount").alias("success_amount"),
@@ -182,33 +158,7 @@ def dim_from_groups(
     names = groups.groupBy("customer_id").agg(
         *[F.max_by(F.col(c), F.col(f"{c}_key")).alias(c) for c in NAME_COLUMNS]
     )
-    return _dim_output(metrics.join(names, "customer_id"), now, vip, regular)
-
-
-FCT_COLUMNS = [
-    "transaction_id",
-    "customer_id",
-    "customer_name",
-    "customer_email",
-    "customer_country",
-    "customer_segment",
-    "amount",
-    "currency",
-    "status",
-    "product_category",
-    "product_name",
-    "quantity",
-    "total_line_value",
-    "device_type",
-    "payment_method",
-    "ip_address",
-    "transaction_date",
-    "transaction_hour",
-    "event_timestamp",
-    "is_high_value",
-    "is_potential_fraud",
-    "loaded_at",
-]
+    return _dim_output(metrics.join(names, "customer_id", "left"), now, vip, regular)
 
 
 def fct_transactions(
@@ -263,6 +213,12 @@ def fct_transactions(
     )
 
 
+def with_amount_flag(stg: DataFrame, high_value: float = HIGH_VALUE_AMOUNT) -> DataFrame:
+    """Staging rows with the one flag that needs no customer: all that the daily
+    rollup and the windowed queries read of the fact, without its join."""
+    return stg.withColumn("is_high_value", is_true(F.col("amount") > high_value))
+
+
 def fct_daily_revenue(fct: DataFrame, now: dt.datetime) -> DataFrame:
     """One row per (transaction_date, product_category).
 

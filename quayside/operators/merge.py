@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 
 def dedupe_by_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """One row per non-null ``key``: the first by ``order``, ties broken by
+    """One row per non-null ``key``: the first by ``order`` (a null order value
+    comes last, so a copy whose time did not parse never wins), ties broken by
     the remaining columns, so the choice is deterministic across re-runs.
     Rows with a null key are kept as they are (they match nothing).
 
@@ -26,18 +27,19 @@ def dedupe_by_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """
     order = list(order)
     rest = [c for c in df.columns if c != key and c not in order]
-    ranked = order + rest
+    ranked = [F.isnull(c).alias(f"_null_{c}") for c in order] + [F.col(c) for c in order + rest]
     keyed = df.filter(F.col(key).isNotNull())
-    first = keyed.groupBy(key).agg(F.min(F.struct(*[F.col(c) for c in ranked])).alias("_first"))
-    kept = first.select(key, *[F.col(f"_first.{c}").alias(c) for c in ranked]).select(*df.columns)
+    first = keyed.groupBy(key).agg(F.min(F.struct(*ranked)).alias("_first"))
+    kept = first.select(key, *[F.col(f"_first.{c}").alias(c) for c in order + rest]).select(*df.columns)
     return kept.unionByName(df.filter(F.col(key).isNull()))
 
 
-def insert_if_absent(target: DataFrame | None, source: DataFrame, key: str, scope: Sequence[str] = ()) -> DataFrame:
+def insert_if_absent(target: DataFrame | None, source: DataFrame, key: str) -> DataFrame:
     """Rows of ``source`` whose ``key`` does not occur in ``target``: what a
     ``WHEN NOT MATCHED THEN INSERT`` merge appends. No target = first load =
     every source row. Null keys match nothing and are inserted; duplicates
-    inside ``source`` all survive (call :func:`dedupe_by_key` first).
+    inside ``source`` all survive (call :func:`dedupe_by_key` first). The key
+    alone decides, whatever else a returning row says.
 
     The target is the big, growing table. A plain anti join would shuffle
     every target key on every load (Spark cannot broadcast the left side of
@@ -46,32 +48,12 @@ def insert_if_absent(target: DataFrame | None, source: DataFrame, key: str, scop
     leaving only the keys that already exist; the load is then anti-joined
     to that small set. When a load is as large as the target, both joins
     fall back to sort-merge joins picked by AQE.
-
-    ``scope``: a non-null partition column of ``target`` that a duplicate
-    always shares with its original (e.g. the event day: a redelivered or
-    replayed event is a copy, with the same event time). Keys are matched
-    on (scope, key), and the target is filtered to the scope values present
-    in the load, a literal ``IN`` list that prunes the target's partitions
-    before the scan, so a load reads the few days it touches instead of
-    every key of the table. The list is one value per distinct day of the
-    load (bounded by the calendar, not by the data); past
-    ``MAX_SCOPE_VALUES`` the target is read whole, with the same result.
     """
     if target is None:
         return source
-    cols = [*scope, key]
-    if scope:
-        (col,) = scope
-        rows = source.select(col).distinct().limit(MAX_SCOPE_VALUES + 1).collect()
-        values = sorted(r[0] for r in rows if r[0] is not None)
-        if len(rows) <= MAX_SCOPE_VALUES:
-            target = target.filter(F.col(col).isin(values))
-    load_keys = source.select(*cols).filter(F.col(key).isNotNull())
-    existing = target.select(*cols).join(load_keys, cols, "left_semi")
-    return source.join(existing, cols, "left_anti")
-
-
-MAX_SCOPE_VALUES = 10000
+    load_keys = source.select(key).filter(F.col(key).isNotNull())
+    existing = target.select(key).join(load_keys, key, "left_semi")
+    return source.join(existing, key, "left_anti")
 
 
 def load_guard(source: DataFrame) -> bool:

@@ -21,15 +21,16 @@ import datetime as dt
 import os
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.operators import marts, merge, quality, snapshot, staging
+from quayside.session import materialize
 from quayside.sources.lake import (
+    batch_leaves,
+    complete_batches,
     complete_versions,
     existing,
-    lake_batches,
     read_lake_batches,
     read_latest,
     read_table_or_none,
@@ -104,78 +105,75 @@ def run_id(now: dt.datetime) -> str:
     return now.strftime("%Y%m%dT%H%M%S%f")
 
 
-def load_raw(
-    spark: SparkSession, paths: Paths, version: str, merge_scope: str = RAW_PARTITION
-) -> tuple[bool, int]:
+def load_raw(spark: SparkSession, paths: Paths, version: str) -> tuple[bool, int]:
     """Lake -> raw table -> staged table (insert-only, idempotent,
     incremental).
 
-    Only lake batches missing from the manifest are read (the reference
-    reloads the whole lake every run; at scale that is a full lake scan and
-    de-duplication per hour). The load is de-duplicated on
+    Only lake batches that are marked complete and missing from the manifest are read
+    (the reference reloads the whole lake every run; at scale that is a full lake scan and
+    de-duplication per hour). A batch that is still being published has no marker
+    and waits for a later run. The load is de-duplicated on
     ``transaction_id`` (the reference's merge would insert in-load
-    duplicates), then merged insert-only into the raw table, and its
+    duplicates), then merged insert-only, on that id alone, into the raw table, and its
     staging rows into the staged table; each merge is against its own
     target, so re-running a load after a crash at any point adds to each
-    table exactly what it is missing. The manifest is written last. Late
+    table exactly what it is missing. The staging tests gate the load before anything is
+    appended, so a refused load leaves every table as it was. The manifest is written last. Late
     events arrive in new batches, so they are never skipped.
-
-    ``merge_scope``: with ``"event_day"`` (default) the merges compare keys
-    within the event days present in the load, so only those partitions of
-    the targets are read; duplicates from redelivery or replay are copies
-    with the same event time, hence the same day. An id reused on another
-    day would be inserted and then fail the staging uniqueness gate.
-    ``"global"`` compares against every key of the table (exact MERGE
-    semantics, a full scan of the key column per run).
     """
-    batches = lake_batches(spark, paths.lake)
+    marked = complete_batches(spark, paths.lake)
+    if marked is None:
+        return False, 0
     manifest = read_table_or_none(spark, paths.loaded_batches)
-    done = {r[0] for r in manifest.select("batch_key").collect()} if manifest is not None else set()
-    new_keys = sorted(set(batches) - done)
+    if manifest is not None:
+        marked = marked.join(manifest.select("batch_key"), "batch_key", "left_anti")
+    # batches published since the last run, not all there ever were
+    new_keys = sorted(r.batch_key for r in marked.select("batch_key").collect())
     if not new_keys:
         return False, 0
-    lake = read_lake_batches(spark, paths.lake, [f for k in new_keys for f in batches[k]])
-    if not merge.load_guard(lake):
-        return False, 0
-    scope = [RAW_PARTITION] if merge_scope == RAW_PARTITION else []
-    # The de-duplicated load (the new batches only) feeds four steps below:
-    # computed once, kept in memory or on local disk for this run.
-    load = merge.dedupe_by_key(lake, "transaction_id", ["event_timestamp"]).withColumn(RAW_PARTITION, event_day())
-    load = load.persist(StorageLevel.MEMORY_AND_DISK)
-    # Days this load touches, recorded before anything is appended: after a
-    # crash anywhere below, the re-run records them again (idempotent).
-    load.select(RAW_PARTITION).distinct().withColumn("run", F.lit(version)).write.mode("append").parquet(
-        paths.pending_days
-    )
-    # The increment is computed once (persisted), counted and appended.
-    new = merge.insert_if_absent(read_table_or_none(spark, paths.raw), load, "transaction_id", scope)
-    new = new.persist(StorageLevel.MEMORY_AND_DISK)
-    inserted = new.count()
-    new.write.mode("append").partitionBy(RAW_PARTITION).parquet(paths.raw)
-    new.unpersist()
-
-    staged_rows = staging.stg_transactions(load).withColumn(RAW_PARTITION, event_day())
-    staged = read_table_or_none(spark, paths.staged)
-    add = merge.insert_if_absent(staged, staged_rows, "transaction_id", scope).persist(StorageLevel.MEMORY_AND_DISK)
-    # Staging tests gate the increment before it is appended, so the staged
-    # table only ever holds rows that passed: the table-wide result is the
-    # increment's (see quality.increment_report). The fact's declared tests
-    # are on staged columns of the same rows, so they are checked here too.
-    existing = staged.drop(RAW_PARTITION) if staged is not None else None
-    report = quality.increment_report(add.drop(RAW_PARTITION), existing, "stg_transactions")
-    quality.raise_on_failures(quality.with_implied(report, "stg_transactions", "fct_transactions"))
-    # Rows sorted by the fact's cluster columns within each file: min/max
-    # statistics then skip row groups for category / status predicates.
-    add.sortWithinPartitions(RAW_PARTITION, "product_category", "status").write.mode("append").partitionBy(
-        RAW_PARTITION
-    ).parquet(paths.staged)
-    add.unpersist()
-    load.unpersist()
-
+    folders = batch_leaves(spark, paths.lake, new_keys)
+    lake = read_lake_batches(spark, paths.lake, folders) if folders else None
+    loaded = lake is not None and merge.load_guard(lake)
+    inserted = 0
+    if loaded:
+        # The de-duplicated load (the new batches only) feeds the steps below: written once.
+        load = merge.dedupe_by_key(lake, "transaction_id", ["event_timestamp"]).withColumn(RAW_PARTITION, event_day())
+        load = materialize(load, "load")
+        staged_rows = staging.stg_transactions(load).withColumn(RAW_PARTITION, event_day())
+        staged = read_table_or_none(spark, paths.staged)
+        add = materialize(merge.insert_if_absent(staged, staged_rows, "transaction_id"), "staged-increment")
+        # Staging tests gate the increment before it is appended, so the staged
+        # table only ever holds rows that passed: the table-wide result is the
+        # increment's (see quality.increment_report). The fact's declared tests
+        # are on staged columns of the same rows, so they are checked here too.
+        held = staged.drop(RAW_PARTITION) if staged is not None else None
+        report = quality.increment_report(add.drop(RAW_PARTITION), held, "stg_transactions")
+        quality.raise_on_failures(quality.with_implied(report, "stg_transactions", "fct_transactions"))
+        # Days this load touches, recorded before anything is appended: after a
+        # crash anywhere below, the re-run records them again (idempotent).
+        load.select(RAW_PARTITION).distinct().withColumn("run", F.lit(version)).write.mode("append").parquet(
+            paths.pending_days
+        )
+        new = materialize(
+            merge.insert_if_absent(read_table_or_none(spark, paths.raw), load, "transaction_id"), "raw-increment"
+        )
+        inserted = new.count()
+        _append(new, paths.raw, "transaction_id")
+        # Sorted by the fact's cluster columns within each file: min/max
+        # statistics then skip row groups for category / status predicates.
+        _append(add, paths.staged, "product_category", "status", "transaction_id")
     spark.createDataFrame([(k, version) for k in new_keys], "batch_key string, run string").write.mode(
         "append"
     ).parquet(paths.loaded_batches)
-    return True, inserted
+    return loaded, inserted
+
+
+def _append(rows: DataFrame, path: str, *cluster_by: str) -> None:
+    """Ranged by day and the cluster columns, so a task writes few day folders and a hot day
+    is dealt over several tasks."""
+    order = [RAW_PARTITION, *cluster_by]
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    dealt.write.mode("append").partitionBy(RAW_PARTITION).parquet(path)
 
 
 def pending_days(spark: SparkSession, paths: Paths, consumer: str) -> tuple[list, list[str]]:
@@ -217,7 +215,7 @@ def update_day_groups(spark: SparkSession, paths: Paths) -> int:
     return len(days)
 
 
-def daily_rollup(spark: SparkSession, paths: Paths, dim: DataFrame, now: dt.datetime) -> tuple[DataFrame, list[str], int]:
+def daily_rollup(spark: SparkSession, paths: Paths, now: dt.datetime) -> tuple[DataFrame, list[str], int]:
     """The daily rollup as a full refresh would compute it, recomputing only
     the days touched since the last published rollup: other days are
     carried over from the previous version (re-stamped with ``now``; their
@@ -226,9 +224,9 @@ def daily_rollup(spark: SparkSession, paths: Paths, dim: DataFrame, now: dt.date
     days, runs = pending_days(spark, paths, "daily")
     previous, _ = read_latest(spark, paths.mart("fct_daily_revenue"))
     if previous is None:
-        fresh = marts.fct_daily_revenue(marts.fct_transactions(read_staged(spark, paths), dim, now), now)
+        fresh = marts.fct_daily_revenue(marts.with_amount_flag(read_staged(spark, paths)), now)
         return fresh, runs, -1
-    fresh = marts.fct_daily_revenue(marts.fct_transactions(staged_days(spark, paths, days), dim, now), now)
+    fresh = marts.fct_daily_revenue(marts.with_amount_flag(staged_days(spark, paths, days)), now)
     dates = [d for d in days if str(d) != UNKNOWN_DAY]
     unknown = len(dates) < len(days)
     touched = F.col("transaction_date").isin(dates) | (F.col("transaction_date").isNull() if unknown else F.lit(False))
@@ -297,13 +295,29 @@ def write_snapshot_run(rows: DataFrame, paths: Paths, version: str) -> None:
     )
 
 
-def run_batch(spark: SparkSession, paths: Paths, now: dt.datetime, merge_scope: str = RAW_PARTITION) -> BatchResult:
+def newest_version(spark: SparkSession, paths: Paths) -> str:
+    """The latest version any mart, the snapshot or the manifest holds ("" before the first run)."""
+    manifest = read_table_or_none(spark, paths.loaded_batches)
+    found = [manifest.agg(F.max("run")).first()[0] if manifest is not None else None]
+    for root in (paths.mart("dim_customers"), paths.mart("fct_daily_revenue"), paths.snapshot):
+        found += complete_versions(spark, root)[-1:]
+    return max((v for v in found if v), default="")
+
+
+def run_batch(spark: SparkSession, paths: Paths, now: dt.datetime) -> BatchResult:
     """One batch run. Per run, storage grows by the new rows only: the raw
     and staged tables are appended to, the dimension and daily rollup are
     rebuilt by aggregation into new versions, and the enriched fact is not
-    rewritten at all (see :func:`fact_view`)."""
+    rewritten at all (see :func:`fact_view`).
+
+    Versions and history are ordered by ``now``. A run with an earlier ``now`` than one that
+    was published (clock skew, a retried old date) would publish where no reader looks, so it is refused
+    before anything is written; its batches load with the next run."""
     version = run_id(now)
-    loaded, inserted = load_raw(spark, paths, version, merge_scope)
+    newest = newest_version(spark, paths)
+    if version < newest:
+        raise ValueError(f"now = {now.isoformat()} is earlier than the newest run {newest}: nothing was written")
+    loaded, inserted = load_raw(spark, paths, version)
     result = BatchResult(loaded=loaded, inserted=inserted)
     if not loaded and not marts_stale(spark, paths):
         result.stages.append("skipped: no new lake batch")
@@ -322,9 +336,9 @@ def run_batch(spark: SparkSession, paths: Paths, now: dt.datetime, merge_scope:
     n_days = update_day_groups(spark, paths)
     result.stages.append(f"day groups recomputed for {n_days} days")
     dim = publish("dim_customers", marts.dim_from_groups(spark.read.parquet(paths.day_groups), now))
-    # The rollup reads no dimension column (Catalyst drops the join); only
-    # the touched days are re-aggregated.
-    rollup, daily_runs, n_daily = daily_rollup(spark, paths, dim, now)
+    # The rollup reads no dimension column, so it is built from the staged rows;
+    # only the touched days are re-aggregated.
+    rollup, daily_runs, n_daily = daily_rollup(spark, paths, now)
     daily = publish("fct_daily_revenue", rollup, partition_by="transaction_date", cluster_by=["product_category"])
     mark_done(spark, paths, "daily", daily_runs)
     result.stages.append(f"daily rollup recomputed for {n_daily if n_daily >= 0 else 'all'} days")
@@ -352,11 +366,8 @@ def fact_view(spark: SparkSession, paths: Paths, since: dt.date | None = None) -
     dim, version = read_latest(spark, paths.mart("dim_customers"))
     if dim is None:
         return None
-    staged = spark.read.parquet(paths.staged)
-    if since is not None:
-        staged = staged.filter((F.col(RAW_PARTITION) >= F.lit(since)) & (F.col("transaction_date") >= F.lit(since)))
     now = dt.datetime.strptime(version, "%Y%m%dT%H%M%S%f")
-    return marts.fct_transactions(staged.drop(RAW_PARTITION), dim, now)
+    return marts.fct_transactions(staged_since(spark, paths, since), dim, now)
 
 
 def marts_from_warehouse(spark: SparkSession, paths: Paths) -> dict[str, DataFrame]:
@@ -367,37 +378,57 @@ def marts_from_warehouse(spark: SparkSession, paths: Paths) -> dict[str, DataFra
     }
 
 
-# Query name -> (input, days of fact history its window reaches back (None
-# = all), whether it takes the as-of date).
+# Query name -> (input, default days its window reaches back (None = all of the input),
+# whether it takes the as-of date, which of ``days`` / ``k`` a caller may set). "stg": a fact query that reads no
+# customer column is answered from the staged rows, without the dimension.
 _QUERY_INPUTS = {
-    "q1_revenue_today": ("fct", 0, True),
-    "q2_category_7d": ("fct", 7, True),
-    "q3_top_customers": ("dim", None, False),
-    "q4_hourly_today": ("fct", 0, True),
-    "q5_failure_by_payment_30d": ("fct", 30, True),
-    "q6_flagged": ("fct", None, False),
-    "q7_segments": ("dim", None, False),
-    "q8_daily_trend_30d": ("fct", 30, True),
-    "d1_kpis_today": ("daily", None, True),
-    "d2_revenue_trend": ("daily", None, True),
-    "d3_category_breakdown": ("daily", None, True),
-    "d4_top_customers": ("dim", None, False),
-    "d5_payment_failure": ("fct", 30, True),
-    "d6_segments": ("dim", None, False),
+    "q1_revenue_today": ("stg", 0, True, ()),
+    "q2_category_7d": ("stg", 7, True, ("days",)),
+    "q3_top_customers": ("dim", None, False, ("k",)),
+    "q4_hourly_today": ("stg", 0, True, ()),
+    "q5_failure_by_payment_30d": ("stg", 30, True, ("days",)),
+    "q6_flagged": ("fct", None, False, ("k",)),
+    "q7_segments": ("dim", None, False, ()),
+    "q8_daily_trend_30d": ("stg", 30, True, ("days",)),
+    "d1_kpis_today": ("daily", None, True, ()),
+    "d2_revenue_trend": ("daily", None, True, ("days",)),
+    "d2b_daily_total": ("daily", None, True, ("days",)),
+    "d3_category_breakdown": ("daily", None, True, ("days",)),
+    "d4_top_customers": ("dim", None, False, ("k",)),
+    "d5_payment_failure": ("stg", 30, True, ("days",)),
+    "d6_segments": ("dim", None, False, ()),
 }
 
 
-def warehouse_query(spark: SparkSession, paths: Paths, name: str, as_of: dt.date) -> DataFrame:
+def staged_since(spark: SparkSession, paths: Paths, since: dt.date | None) -> DataFrame:
+    """Staged rows dated on or after ``since``, by pruned day partitions."""
+    staged = spark.read.parquet(paths.staged)
+    if since is not None:
+        staged = staged.filter((F.col(RAW_PARTITION) >= F.lit(since)) & (F.col("transaction_date") >= F.lit(since)))
+    return staged.drop(RAW_PARTITION)
+
+
+def warehouse_query(
+    spark: SparkSession, paths: Paths, name: str, as_of: dt.date, days: int | None = None, k: int | None = None
+) -> DataFrame:
     """Answer a named analytics / dashboard query from the warehouse this
-    job maintains: the newest mart versions, and for fact queries the fact
-    view restricted to the days the query's window can reach, so only those
-    staged partitions are scanned."""
+    job maintains: the newest mart versions, and for fact queries the staged rows (joined to the dimension only
+    where a customer column is read) of the days the query's window can reach. ``days`` and
+    ``k`` set the window and the number of rows of the queries that have them."""
     from quayside.plans import queries as Q
 
-    source, days, dated = _QUERY_INPUTS[name]
-    if source == "fct":
-        data = fact_view(spark, paths, since=None if days is None else as_of - dt.timedelta(days=days))
+    source, reach, dated, settable = _QUERY_INPUTS[name]
+    given = {n: v for n, v in (("days", days), ("k", k)) if v is not None}
+    if not set(given) <= set(settable):
+        raise ValueError(f"{name} takes {settable or 'no parameter'}, not {sorted(given)}")
+    if source == "stg":
+        back = given.get("days", reach)
+        data = marts.with_amount_flag(staged_since(spark, paths, as_of - dt.timedelta(days=back)))
+    elif source == "fct":
+        data = fact_view(spark, paths)
     else:
         data = read_mart(spark, paths, "dim_customers" if source == "dim" else "fct_daily_revenue")
+    if name == "d2b_daily_total":
+        return Q.d2b_daily_total(Q.d2_revenue_trend(data, as_of, **given))
     fn = getattr(Q, name)
-    return fn(data, as_of) if dated else fn(data)
+    return fn(data, as_of, **given) if dated else fn(data, **given)

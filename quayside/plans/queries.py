@@ -95,9 +95,12 @@ def q5_failure_by_payment_30d(fct: DataFrame, as_of: dt.date, days: int = 30) ->
 
 
 def q6_flagged(fct: DataFrame, k: int = 50) -> DataFrame:
-    """Fraud candidates: high value or potential fraud, largest first."""
+    """Fraud candidates: high value or potential fraud, largest first. Every flagged
+    row is high in amount or failed, which is known before the dimension is joined:
+    that filter goes below the join, so only candidates meet the dimension."""
     return (
-        fct.filter(F.col("is_high_value") | F.col("is_potential_fraud"))
+        fct.filter(F.col("is_high_value") | _failed())
+        .filter(F.col("is_high_value") | F.col("is_potential_fraud"))
         .select(
             "transaction_id",
             "customer_id",

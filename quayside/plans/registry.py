@@ -60,6 +60,12 @@ def layers(stg_df: DataFrame, now: dt.datetime = NOW, written: bool = False) ->
     return {"stg_transactions": stg_df, "dim_customers": dim, "fct_transactions": fct, "fct_daily_revenue": daily}
 
 
+def register_views(built: dict[str, DataFrame]) -> None:
+    """Expose the layers as temporary views of the same names, for SQL."""
+    for name, df in built.items():
+        df.createOrReplaceTempView(name)
+
+
 def dim(spark: SparkSession, sf: str) -> DataFrame:
     return marts.dim_customers(stg(spark, sf), NOW)
 

@@ -24,10 +24,23 @@ def write_lake_batch(valid: DataFrame, path: str, batch_key: str, fmt: str = "pa
     overwrite, writing the same batch again replaces exactly the leaves it
     wrote the first time, so a replayed batch after a failure changes no
     counts. Late events simply land in their own (older) date partition.
+
+    The leaves become visible one at a time. The batch's marker (its key and number of
+    leaves) is therefore written last: a reader that loads marked
+    batches only never takes a part of a batch for the whole.
     """
+    keyed = valid.withColumn("batch_key", F.lit(batch_key))
+    keyed = keyed.repartitionByRange(*[c for c in LAKE_PARTITIONS if c != "batch_key"], "transaction_id")
+    _write_leaves(keyed, path, fmt)
+    leaves = valid.select(*[c for c in LAKE_PARTITIONS if c != "batch_key"]).distinct().count()
+    valid.sparkSession.createDataFrame([(leaves, batch_key)], "leaves long, batch_key string").coalesce(1).write.mode(
+        "overwrite"
+    ).option("partitionOverwriteMode", "dynamic").partitionBy("batch_key").parquet(markers_path(path))
+
+
+def _write_leaves(keyed: DataFrame, path: str, fmt: str) -> None:
     (
-        valid.withColumn("batch_key", F.lit(batch_key))
-        .write.format(fmt)
+        keyed.write.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*LAKE_PARTITIONS)
@@ -35,6 +48,17 @@ def write_lake_batch(valid: DataFrame, path: str, batch_key: str, fmt: str = "pa
     )
 
 
+def markers_path(path: str) -> str:
+    """Beside the leaves; the leading underscore hides it from reads of the lake."""
+    return f"{path.rstrip('/')}/_complete"
+
+
+def complete_batches(spark: SparkSession, path: str) -> DataFrame | None:
+    """(batch_key, leaves) of every batch that was written to its end."""
+    done = read_table_or_none(spark, markers_path(path), "leaves long, batch_key string")
+    return done.select("batch_key", "leaves") if done is not None else None
+
+
 def write_dlq_batch(payload: DataFrame, batch_key: str, path: str | None = None, kafka: dict | None = None) -> None:
     """Write dead-letter envelopes: to a Kafka topic (``kafka`` options,
     e.g. bootstrap servers and topic) or replay-safe to Parquet by batch."""
@@ -68,18 +92,13 @@ def read_lake(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame
     return df.drop(*[c for c in LAKE_PARTITIONS if c != "hour"])
 
 
-def lake_batches(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """Batch key -> its leaf folders, from a directory listing of the lake
-    (metadata only; the same listing any read of the lake performs)."""
+def batch_leaves(spark: SparkSession, path: str, keys: Sequence[str]) -> list[str]:
+    """The leaf folders of the given (new) batches."""
     fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return {}
-    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "year=*/month=*/day=*/batch_key=*")
-    out: dict[str, list[str]] = {}
-    for st in fs.globStatus(pattern) or []:
-        if st.isDirectory():
-            key = st.getPath().getName().split("=", 1)[1]
-            out.setdefault(key, []).append(st.getPath().toString())
+    out: list[str] = []
+    for key in keys:
+        pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, f"year=*/month=*/day=*/batch_key={key}")
+        out += [st.getPath().toString() for st in fs.globStatus(pattern) or [] if st.isDirectory()]
     return out
 
 
@@ -90,9 +109,9 @@ def read_lake_batches(spark: SparkSession, path: str, folders: list[str], fmt: s
     return df.drop(*[c for c in LAKE_PARTITIONS if c != "hour"])
 
 
-def read_table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+def read_table_or_none(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
     try:
-        return spark.read.parquet(path)
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
     except AnalysisException:
         return None
 
@@ -142,29 +161,20 @@ def existing(spark: SparkSession, paths: list[str]) -> list[str]:
     return out
 
 
-def write_mart(
-    df: DataFrame,
-    path: str,
-    partition_by: str | None = None,
-    cluster_by: Sequence[str] = (),
-    spread_by: str | None = None,
-) -> None:
+def write_mart(df: DataFrame, path: str, partition_by: str | None = None, cluster_by: Sequence[str] = ()) -> None:
     """Full refresh of a mart table into ``path`` (a new version folder:
     see :func:`version_path`; rewriting a folder being read would break
     its readers, so a refresh never overwrites the version in use).
 
-    Partitioned marts are range-partitioned on (date, cluster columns,
-    ``spread_by``) and sorted the same way inside each task: each task
-    writes a few date directories, files carry tight min/max statistics on
-    the cluster columns (the stand-in for clustering), and the unique
-    ``spread_by`` column lets the range boundaries split a single hot date
-    across many tasks instead of one. A static overwrite drops dates that
+    Partitioned marts are range-partitioned on (date, cluster columns)
+    and sorted the same way inside each task: each task
+    writes a few date directories and files carry tight min/max statistics on
+    the cluster columns (the stand-in for clustering). A static overwrite drops dates that
     no longer exist.
     """
     w = df
     if partition_by:
-        keys = [partition_by, *cluster_by] + ([spread_by] if spread_by else [])
-        w = df.repartitionByRange(*keys).sortWithinPartitions(partition_by, *cluster_by)
+        w = df.repartitionByRange(partition_by, *cluster_by).sortWithinPartitions(partition_by, *cluster_by)
     writer = w.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(partition_by)

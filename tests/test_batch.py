@@ -155,17 +155,61 @@ def test_run_after_crash_before_marts_publishes_them(spark, scratch):
     assert batch.read_mart(spark, paths, "dim_customers").count() > 0
 
 
-def test_global_merge_scope(spark, scratch):
-    """Exact MERGE semantics (every existing key compared) give the same
-    result on redelivered data."""
+def test_redelivery_and_an_id_that_returns_on_another_day(spark, scratch):
+    """The id alone decides: nothing is inserted twice, and later batches still load."""
     paths = batch.Paths(lake=os.path.join(scratch, "lake"), warehouse=os.path.join(scratch, "wh"))
-    msgs = encode_events(testdata.transactions(spark, SF_SMALL))
-    _lake_batch(spark, msgs, paths.lake, "t-0")
-    assert batch.run_batch(spark, paths, NOW1, merge_scope="global").inserted == 1000
-    _lake_batch(spark, msgs, paths.lake, "t-1")  # everything again
-    r = batch.run_batch(spark, paths, NOW2, merge_scope="global")
-    assert r.loaded and r.inserted == 0
-    assert batch.read_staged(spark, paths).count() == registry.stg(spark, SF_SMALL).count()
+    tx = testdata.transactions(spark, SF_SMALL)
+    _lake_batch(spark, encode_events(tx), paths.lake, "t-0")
+    assert batch.run_batch(spark, paths, NOW1).inserted == 1000
+    moved = tx.limit(20).withColumn("timestamp", F.lit("2024-02-01T00:00:00.000000+00:00"))
+    fresh = tx.limit(5).withColumn("transaction_id", F.concat(F.lit("new_"), "transaction_id"))
+    _lake_batch(spark, encode_events(tx), paths.lake, "t-1")  # everything again
+    _lake_batch(spark, encode_events(moved), paths.lake, "t-2")
+    _lake_batch(spark, encode_events(fresh), paths.lake, "t-3")
+    r = batch.run_batch(spark, paths, NOW2)
+    assert r.loaded and r.inserted == 5
+    raw = spark.read.parquet(paths.raw)
+    assert raw.count() == raw.select("transaction_id").distinct().count() == 1005
+    assert batch.read_staged(spark, paths).count() == registry.stg(spark, SF_SMALL).count() + registry.stg(spark, SF_SMALL).join(
+        tx.limit(5).select("transaction_id"), "transaction_id"
+    ).count()
+
+
+def test_half_published_batch_is_loaded_once_it_is_whole(spark, scratch):
+    """A crash between two leaf folders leaves no marker: the batch waits, the replay completes it, no row is lost."""
+    from quayside.sources import lake
+
+    paths = batch.Paths(lake=os.path.join(scratch, "lake"), warehouse=os.path.join(scratch, "wh"))
+    valid, _ = split_valid_invalid(parse_transactions(encode_events(testdata.transactions(spark, SF_SMALL))))
+    first_day = valid.filter(F.to_date("event_timestamp") == F.lit("2024-01-01"))
+    lake._write_leaves(first_day.withColumn("batch_key", F.lit("s-0")), paths.lake, "parquet")
+    assert not batch.run_batch(spark, paths, NOW1).loaded
+    write_lake_batch(valid, paths.lake, "s-0")  # the replay
+    assert batch.run_batch(spark, paths, NOW2).inserted == 1000
+    assert spark.read.parquet(paths.raw).count() == 1000
+
+
+def test_refused_load_leaves_tables_as_they_were(spark, scratch):
+    paths = batch.Paths(lake=os.path.join(scratch, "lake"), warehouse=os.path.join(scratch, "wh"))
+    tx = encode_events(testdata.transactions(spark, SF_SMALL))
+    _lake_batch(spark, tx, paths.lake, "t-0")
+    batch.run_batch(spark, paths, NOW1)
+    _lake_batch(spark, testdata.wire_messages(spark, SF_SMALL).withColumn("value", F.replace("value", F.lit('"txn_'), F.lit('"bad_'))), paths.lake, "t-1")
+    with pytest.raises(quality.DataQualityError):
+        batch.run_batch(spark, paths, NOW2)
+    assert spark.read.parquet(paths.raw).count() == 1000
+
+
+def test_earlier_now_is_refused_before_any_write(spark, scratch):
+    paths = batch.Paths(lake=os.path.join(scratch, "lake"), warehouse=os.path.join(scratch, "wh"))
+    tx = testdata.transactions(spark, SF_SMALL)
+    _lake_batch(spark, encode_events(tx), paths.lake, "t-0")
+    batch.run_batch(spark, paths, NOW1)
+    _lake_batch(spark, encode_events(tx.limit(1).withColumn("transaction_id", F.lit("late"))), paths.lake, "t-1")
+    with pytest.raises(ValueError, match="earlier"):
+        batch.run_batch(spark, paths, dt.datetime(2024, 1, 20))
+    assert spark.read.parquet(paths.raw).count() == 1000
+    assert batch.run_batch(spark, paths, NOW2).inserted == 1
 
 
 def test_warehouse_queries_equal_registry_queries(spark, scratch):
@@ -188,7 +232,19 @@ def test_warehouse_queries_equal_registry_queries(spark, scratch):
         cols = sorted(df.columns)
         return sorted((tuple(_norm(r[c]) for c in cols) for r in df.collect()), key=_key)
 
-    for name, (source, _, dated) in batch._QUERY_INPUTS.items():
-        fn = getattr(Q, name)
-        expected = fn(inputs[source], as_of) if dated else fn(inputs[source])
-        assert rows(batch.warehouse_query(spark, paths, name, as_of)) == rows(expected), name
+    inputs["stg"] = inputs["fct"]
+    for name, (source, _, dated, settable) in batch._QUERY_INPUTS.items():
+        data = inputs[source]
+        for given in ({}, *({p: 7} for p in settable)):
+            if name == "d2b_daily_total":
+                expected = Q.d2b_daily_total(Q.d2_revenue_trend(data, as_of, **given))
+            else:
+                fn = getattr(Q, name)
+                expected = fn(data, as_of, **given) if dated else fn(data, **given)
+            served = batch.warehouse_query(spark, paths, name, as_of, **given)
+            assert rows(served) == rows(expected), (name, given)
+            if source in ("stg", "daily"):
+                plan = spark._jvm.PythonSQLUtils.explainString(served._jdf.queryExecution(), "simple")
+                assert "Join" not in plan, (name, plan)
+    with pytest.raises(ValueError):
+        batch.warehouse_query(spark, paths, "q1_revenue_today", as_of, days=3)

@@ -52,28 +52,13 @@ def test_load_guard(spark):
     assert load_guard(spark.createDataFrame([("a", T0, 1.0)], SCHEMA))
 
 
-def test_scoped_merge_prunes_target_partitions(spark, scratch):
-    """Matching on (day, id) reads only the target partitions of the days
-    present in the load."""
-    import os
+def test_dedupe_prefers_a_copy_with_a_time(spark):
+    rows = [("a", None, 1.0), ("a", T1, 2.0), ("b", None, 3.0)]
+    out = {r[0]: r[2] for r in dedupe_by_key(spark.createDataFrame(rows, SCHEMA), "transaction_id", ["event_timestamp"]).collect()}
+    assert out == {"a": 2.0, "b": 3.0}
 
-    from pyspark.sql import functions as F
 
-    days = spark.range(3000).select(
-        F.format_string("t%05d", "id").alias("transaction_id"),
-        F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("id") % 30).cast("int")).alias("event_day"),
-    )
-    path = os.path.join(scratch, "raw")
-    days.write.partitionBy("event_day").parquet(path)
-    target = spark.read.parquet(path)
-    spark.createDataFrame(
-        [("t00000", dt.date(2024, 1, 1)), ("new1", dt.date(2024, 1, 1)), ("t00031", dt.date(2024, 1, 2))],
-        "transaction_id string, event_day date",
-    ).write.parquet(os.path.join(scratch, "load"))
-    load = spark.read.parquet(os.path.join(scratch, "load"))  # a lake batch, as in the pipeline
-    new = insert_if_absent(target, load, "transaction_id", scope=["event_day"])
-    rows = new.collect()
-    assert [r["transaction_id"] for r in rows] == ["new1"]
-    plan = new._jdf.queryExecution().executedPlan().toString()
-    scan = [line for line in plan.split("\n") if "FileScan" in line and "raw" in line]
-    assert scan and all("PartitionFilters: [event_day" in line and " IN (2024-01-01,2024-01-02)" in line for line in scan), scan
+def test_merge_matches_on_the_id_alone(spark):
+    target = spark.createDataFrame([("a", T0, 1.0)], SCHEMA)
+    load = spark.createDataFrame([("a", T1, 9.0), ("b", None, 2.0)], SCHEMA)
+    assert [r[0] for r in insert_if_absent(target, load, "transaction_id").collect()] == ["b"]
