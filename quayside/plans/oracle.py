@@ -34,7 +34,7 @@ raw AS (
     e.ts AS sent_at,
     printf('txn_%012d', e.event_id) AS transaction_id,
     printf('cust_%05d', e.user_id) AS customer_id,
-    c.c_name AS customer_name,
+    c.c_name || ' v' || CAST(e.event_id % 3 AS VARCHAR) AS customer_name,
     c.c_name || '@example.com' AS customer_email,
     n.n_name AS customer_country,
     CAST(round(CAST(e.value AS DECIMAL(18,2)) *
@@ -280,11 +280,34 @@ def _dq(stg: str, dim: str, fct: str, daily: str) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-# Snapshot runs: dimension as of three cut times, each stamped with its cut.
+BROKEN = ",".join(
+    [
+        RAW,
+        stg_cte("clean", "raw"),
+        """
+stg AS (
+  SELECT * REPLACE (CASE WHEN status = 'pending' THEN 'held' ELSE status END AS status) FROM clean
+  UNION ALL SELECT * FROM clean WHERE status = 'failed'
+)""",
+        dim_cte("built", "stg"),
+        fct_cte("fct", "stg", "built"),
+        daily_cte("daily", "fct"),
+        """
+dim AS (
+  SELECT * REPLACE (CASE WHEN customer_segment = 'VIP' THEN 'Gold' ELSE customer_segment END AS customer_segment,
+                    CASE WHEN customer_segment <> 'Casual' THEN total_spend END AS total_spend) FROM built
+)""",
+    ]
+)
+
+# Snapshot runs: load times and what each run sees (FIXTURES.md section 5).
 CUTS = ["TIMESTAMP '2024-01-10 00:00:00'", "TIMESTAMP '2024-01-20 00:00:00'", "TIMESTAMP '2024-01-31 00:00:00'"]
+SEEN_LATER = f"""customer_country >= 'NATION_1' AND ((customer_country < 'NATION_2' AND event_timestamp < {CUTS[0]})
+    OR (customer_country >= 'NATION_2' AND event_timestamp < {CUTS[1]}))"""
+SEEN = [f"customer_country < 'NATION_3' AND event_timestamp < {CUTS[0]}", SEEN_LATER, SEEN_LATER]
 SNAP = ",".join(
     [RAW, stg_cte("stg", "raw")]
-    + [dim_cte(f"d{i + 1}", "stg", now=cut, where=f"event_timestamp < {cut}") for i, cut in enumerate(CUTS)]
+    + [dim_cte(f"d{i + 1}", "stg", now=cut, where=seen) for i, (cut, seen) in enumerate(zip(CUTS, SEEN))]
 )
 DIM_COLS = (
     "customer_id, customer_name, customer_email, customer_country, total_transactions, total_spend, "
@@ -647,6 +670,7 @@ FROM parsed WHERE dlq_reason IS NOT NULL""",
     "scd2_history": SCD2_HISTORY,
     "scd2_changes": SCD2_CHANGES,
     "dq_report": w(MARTS, _dq("stg", "dim", "fct", "daily")),
+    "dq_report_broken": w(BROKEN, _dq("stg", "dim", "fct", "daily")),
     "dq_report_stream": w(
         ",".join([STREAM, stg_cte("stg", "valid"), dim_cte("dim", "stg"), fct_cte("fct", "stg", "dim"), daily_cte("daily", "fct")]),
         _dq("stg", "dim", "fct", "daily"),

@@ -25,6 +25,14 @@ AS_OF = dt.date(2024, 1, 30)
 NOW = dt.datetime(2024, 1, 31, 0, 0, 0)
 EMPTY_DAY = dt.date(2024, 2, 29)
 SNAPSHOT_RUNS = [dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 20), dt.datetime(2024, 1, 31)]
+# What the three runs see (FIXTURES.md section 5): later countries join in run 2, one leaves,
+# and the feed of some countries stands still; run 3 sees what run 2 saw.
+_SEEN_FIRST = "customer_country < 'NATION_3' AND event_timestamp < TIMESTAMP '2024-01-10 00:00:00'"
+_SEEN_LATER = (
+    "customer_country >= 'NATION_1' AND event_timestamp < CASE WHEN customer_country < 'NATION_2' "
+    "THEN TIMESTAMP '2024-01-10 00:00:00' ELSE TIMESTAMP '2024-01-20 00:00:00' END"
+)
+SNAPSHOT_INPUTS = [_SEEN_FIRST, _SEEN_LATER, _SEEN_LATER]
 SNAPSHOT_CHECK_COLS = ["customer_segment", "total_spend", "total_transactions", "failure_rate_pct"]
 # Second load of the two-load merge scenario: messages sent from this time.
 SECOND_LOAD_FROM = dt.datetime(2024, 1, 16)
@@ -131,7 +139,8 @@ def _insert_if_absent(spark: SparkSession, sf: str) -> DataFrame:
 
 def _snapshot_dims(spark: SparkSession, sf: str) -> list[tuple[dt.datetime, DataFrame]]:
     s = materialize(stg(spark, sf), "stg")
-    return [(cut, marts.dim_customers(s.filter(F.col("event_timestamp") < F.lit(cut)), cut)) for cut in SNAPSHOT_RUNS]
+    runs = zip(SNAPSHOT_RUNS, SNAPSHOT_INPUTS, strict=True)
+    return [(now, materialize(marts.dim_customers(s.filter(seen), now), "snapshot-input")) for now, seen in runs]
 
 
 def _scd2_history(spark: SparkSession, sf: str) -> DataFrame:
@@ -151,6 +160,19 @@ def _dq_stream(spark: SparkSession, sf: str) -> DataFrame:
     return quality.dq_report(layers(staging.stg_transactions(stream_valid(spark, sf)), written=True))
 
 
+def _dq_broken(spark: SparkSession, sf: str) -> DataFrame:
+    """Layers with known defects: failed rows twice, a status and a segment outside the accepted values, and
+    customers without a spend."""
+    s = stg(spark, sf)
+    s = s.withColumn("status", F.when(F.col("status") == "pending", F.lit("held")).otherwise(F.col("status")))
+    built = layers(s.unionByName(s.filter("status = 'failed'")), written=True)
+    d = built["dim_customers"]
+    gold = F.when(F.col("customer_segment") == "VIP", F.lit("Gold")).otherwise(F.col("customer_segment"))
+    spend = F.when(F.col("customer_segment") != "Casual", F.col("total_spend"))
+    built["dim_customers"] = d.withColumns({"customer_segment": gold, "total_spend": spend})
+    return quality.dq_report(built)
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -224,6 +246,7 @@ _QUERIES: dict[str, Query] = {
     "scd2_changes": _scd2_changes,
     "dq_report": lambda s, sf: quality.dq_report(layers(stg(s, sf), written=True)),
     "dq_report_stream": _dq_stream,
+    "dq_report_broken": _dq_broken,
 }
 
 REGISTRY: dict[str, Query] = {name: _prepared(fn) for name, fn in _QUERIES.items()}

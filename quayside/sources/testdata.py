@@ -9,7 +9,8 @@ Mapping (same expressions in the DuckDB oracle):
 
 * transaction_id = ``txn_`` + event_id zero-padded to 12 digits
 * customer_id = ``cust_`` + user_id zero-padded to 5 digits
-* name / country = c_name / n_name; email = c_name + ``@example.com``
+* name = c_name + `` v`` + event_id % 3 (differs from event to event); country = n_name;
+  email = c_name + ``@example.com``
 * amount = round(decimal(value) x factor, 2), factor by user_id % 4:
   0.10, 1, 10, 100 (spreads customers over every spend segment)
 * status by event_type: view, click, purchase -> success; error -> failed;
@@ -97,7 +98,7 @@ def transactions(spark: SparkSession, sf_dir: str, with_event_id: bool = False)
     cols = [
         F.concat(F.lit("txn_"), zero_pad(eid, 12)).alias("transaction_id"),
         F.concat(F.lit("cust_"), zero_pad(uid, 5)).alias("customer_id"),
-        F.col("c_name").alias("customer_name"),
+        F.concat(F.col("c_name"), F.lit(" v"), (eid % 3).cast("string")).alias("customer_name"),
         F.concat(F.col("c_name"), F.lit("@example.com")).alias("customer_email"),
         F.col("n_name").alias("customer_country"),
         _amount(F.col("value"), uid).alias("amount"),
