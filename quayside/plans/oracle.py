@@ -664,6 +664,18 @@ SELECT dlq_reason AS error_reason, {NOW} AS error_timestamp, transaction_id AS r
 FROM parsed WHERE dlq_reason IS NOT NULL""",
     ),
     "contract_violations": CONTRACT,
+    "contract_violation_rows": f"SELECT * FROM ({CONTRACT}) WHERE violations > 0",
+    "lake_roundtrip": w(STREAM, f"SELECT {EVENT_COLS}, event_ts AS event_timestamp, hour FROM valid"),
+    "dlq_roundtrip": w(
+        STREAM,
+        f"""
+SELECT dlq_reason AS error_reason, {NOW} AS error_timestamp, transaction_id AS raw_transaction_id
+FROM parsed WHERE dlq_reason IS NOT NULL""",
+    ),
+    "batch_two_loads": w(
+        RAW,
+        f"SELECT {EVENT_COLS}, event_ts AS event_timestamp, CAST(hour(event_ts) AS INTEGER) AS hour FROM raw WHERE amount > 0",
+    ),
     "stg_from_stream": w(STREAM + "," + stg_cte("s", "valid"), STG_OUT.format(src="s")),
     "dedupe_by_key": w(STREAM, f"SELECT {LAKE_COLS} FROM valid"),
     "insert_if_absent": w(STREAM, f"SELECT {LAKE_COLS} FROM valid"),

@@ -8,6 +8,7 @@ inside; the cast happens last, on exact values).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from quayside.operators import contract, marts, merge, parse, quality, snapshot, staging
+from quayside.plans import batch
 from quayside.plans import queries as Q
-from quayside.session import materialize
-from quayside.sources import testdata
+from quayside.schema import EVENT_FIELDS
+from quayside.session import materialize, scratch_path
+from quayside.sources import lake, testdata
 
 # Fixed run parameters of the checks: the last event date, the load time
 # stamped on mart rows, a day without data, and three snapshot runs.
@@ -119,6 +122,48 @@ def _valid(parsed_msgs: DataFrame) -> DataFrame:
     return parse.split_valid_invalid(parsed_msgs)[0].drop("event_id", "sent_at")
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    return scratch_path(spark, "registered", f"{name}-{uuid.uuid4().hex}")
+
+
+def _lake_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """The stream's valid rows as two micro-batches, one of them written again, read back through the lake's root."""
+    path = _folder(spark, "lake")
+    valid = materialize(stream_valid(spark, sf), "valid")
+    early = F.coalesce(F.col("event_timestamp") < F.lit(SECOND_LOAD_FROM), F.lit(False))
+    for key, rows in (("s-0", valid.filter(early)), ("s-1", valid.filter(~early)), ("s-0", valid.filter(early))):
+        lake.write_lake_batch(rows, path, key)
+    return lake.read_lake(spark, path).select(*EVENT_FIELDS, "event_timestamp", "hour")
+
+
+def _dlq_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    path = _folder(spark, "dlq")
+    _, invalid = parse.split_valid_invalid(parsed(spark, sf))
+    lake.write_dlq_batch(parse.build_dlq_payload(invalid, NOW), "s-0", path)
+    back = parse.read_dlq_payload(spark.read.parquet(path))
+    return back.select("error_reason", "error_timestamp", F.get_json_object("raw_value", "$.transaction_id").alias("raw_transaction_id"))
+
+
+def _batch_two_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """Two lake batches, the second with redelivered copies, each loaded by a batch run: the raw table."""
+    folder = _folder(spark, "batch")
+    paths = batch.Paths(lake=f"{folder}/lake", warehouse=f"{folder}/warehouse")
+    events = testdata.transactions(spark, sf, with_event_id=True)
+    first = events.filter(F.col("sent_at") < F.lit(SECOND_LOAD_FROM))
+    second = events.filter(F.col("sent_at") >= F.lit(SECOND_LOAD_FROM)).unionByName(testdata.redelivered(events))
+    for key, rows, now in (("s-0", first, SECOND_LOAD_FROM), ("s-1", second, NOW)):
+        valid, _ = parse.split_valid_invalid(parse.parse_transactions(parse.encode_events(rows.drop("event_id", "sent_at"))))
+        lake.write_lake_batch(materialize(valid, "valid"), paths.lake, key)
+        batch.run_batch(spark, paths, now)
+    return spark.read.parquet(paths.raw).select(*EVENT_FIELDS, "event_timestamp", "hour")
+
+
+def _contract_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The row-level report, counted by rule."""
+    rows = contract.contract_violation_rows(parsed(spark, sf))
+    return rows.groupBy("field", "rule").agg(F.count(F.lit(1)).alias("violations"))
+
+
 def _dedupe(spark: SparkSession, sf: str) -> DataFrame:
     """One load holding every message plus the redelivered copies."""
     msgs = _delivered(spark, sf)
@@ -236,6 +281,10 @@ _QUERIES: dict[str, Query] = {
     "split_valid": stream_valid,
     "split_invalid": lambda s, sf: parse.split_valid_invalid(parsed(s, sf))[1].drop("raw_value"),
     "dlq_payload": _dlq,
+    "contract_violation_rows": _contract_rows,
+    "lake_roundtrip": _lake_roundtrip,
+    "dlq_roundtrip": _dlq_roundtrip,
+    "batch_two_loads": _batch_two_loads,
     "contract_violations": lambda s, sf: contract.contract_violations(parsed(s, sf)),
     "stg_from_stream": lambda s, sf: present(staging.stg_transactions(stream_valid(s, sf))),
     # warehouse load

@@ -53,7 +53,7 @@ def main(argv: list[str]) -> None:
         f"Final adaptive plans after one run on `{sf_dir}` with `local[8]`, 16 shuffle",
         "partitions, AQE on. Generated by `tools/explain_plans.py`; attribute ids and",
         "long lists shortened. Every query reads the raw test tables (`events` is one",
-        "row group, hence the round-robin spread right after its scan).",
+        "row group, read by one task).",
         "",
     ]
     for name in KEY_QUERIES:
