@@ -19,6 +19,7 @@ from quayside.operators.parse import (
     read_dlq_payload,
     split_valid_invalid,
 )
+from quayside.schema import CONTRACT_CATEGORIES
 from quayside.sources import testdata
 
 NOW = dt.datetime(2026, 1, 2, 3, 4, 5)
@@ -29,7 +30,7 @@ def _some_event() -> dict:
     customer, part = (pq.read_table(f"{SF_SMALL}/{t}.parquet").slice(0, 1).to_pylist()[0] for t in ("customer", "part"))
     text = {"transaction_id": "txn_0000000000aa", "customer_id": "cust_00007", "customer_name": customer["c_name"]}
     text |= {"customer_email": "a@b.example", "customer_country": "DE", "currency": "USD", "status": "pending"}
-    text |= {"product_category": part["p_type"], "product_name": part["p_name"], "timestamp": "2024-01-05T23:59:58.250000+00:00"}
+    text |= {"product_category": CONTRACT_CATEGORIES[0], "product_name": part["p_name"], "timestamp": "2024-01-05T23:59:58.250000+00:00"}
     text |= {"ip_address": "10.0.7.9", "device_type": "tablet", "payment_method": "paypal"}
     return text | {"amount": 12.25, "quantity": 3}
 
