@@ -442,7 +442,8 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
                 )
 
     found = written(texts.select("digest", "packed").mapInArrow(anchored, "digest binary, a int, p1 int, p2 int, h long"), "anchors")
-    twice = found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
+    # written, so that the join below shuffles both sides itself and can split the anchors of a hot gram
+    twice = written(found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"), "repeated-grams")
     records = written(_records(found.join(twice, "h"), texts), "records")
     ordered = written(neighbours(records, "right", "left"), "right-order")
     covered = _covered(ordered.selectExpr("digest", "a", "l1", "l2", "explode(pairs) as p"), "p.k", "p.o")
