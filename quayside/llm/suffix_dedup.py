@@ -14,7 +14,8 @@ is therefore over the suffixes at anchors, chosen by content so that no repeat e
    them at the splitters; the runs of one range meet in a task and a loser tree merges them. The
    tree keeps, for each waiting record, how much it shares with the last one out; two records that share
    unequal amounts are ordered without a look at their bytes, equal amounts are compared beyond the known prefix only.
-   Each run also sends the records next to its cut, so neighbours across ranges are seen.
+Each run also sends the records next to its cut, up to ``REACH`` as long as they match the cut so far that a record
+beyond it may need them; the ``REACH`` nearest of all runs are among them, so neighbours across ranges are seen.
 4. A window reaching l left of its anchor repeats exactly if some other record matches l to the
 left and LENGTH - l to the right. Partners that match enough to the right stand next to a record in the first
 order, so a record looks outward until the right match is too short; what it has found then is all there is. Only a record with
@@ -218,10 +219,11 @@ def _opened(row: dict) -> tuple[list[tuple], list[int]]:
 _LOOKED = "digest binary, a long, p1 long, l1 long, l2 long, best long, settled boolean, pairs array<struct<k:int,o:int>>"
 
 
-def neighbours(records: DataFrame, key: str, other: str, length: int = LENGTH) -> DataFrame:
+def neighbours(records: DataFrame, key: str, other: str, widest: int = LENGTH, length: int = LENGTH) -> DataFrame:
     """For each record (digest, a, p1, l1, l2 and two strings): ``best``, the longest prefix of ``key`` it
     shares with any other record; ``pairs``, what keys (k) and others (o) share with partners, as far as they reach ``length``
-    together and no nearer partner has more of both; ``settled``, whether every such partner was looked at."""
+    together and no nearer partner has more of both; ``settled``, whether every such partner was looked at.
+    No string in ``other`` is longer than ``widest``."""
     spark = records.sparkSession
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = records.select(F.col(key).alias("key"), F.col(other).alias("other"), "digest", *_MARKS)
@@ -242,6 +244,10 @@ def neighbours(records: DataFrame, key: str, other: str, length: int = LENGTH) -
                 lo, hi = edges[dest], edges[dest + 1]
                 # the records next to the range come along, as neighbours only
                 a, b = max(lo - 1, 0), min(hi + 1, len(run))
+                while dest and 0 < a and lo - a < REACH and shared(keys[a][0], cuts[dest - 1][0]) + widest >= length:
+                    a -= 1
+                while dest < len(cuts) and b < len(run) and b - hi < REACH and shared(keys[b - 1][0], cuts[dest][0]) + widest >= length:
+                    b += 1
                 if b > a:
                     got = _segment(dest, run[a:b], [not lo <= i < hi for i in range(a, b)])
                     yield pa.RecordBatch.from_pydict(
@@ -445,7 +451,7 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
     # written, so that the join below shuffles both sides itself and can split the anchors of a hot gram
     twice = written(found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"), "repeated-grams")
     records = written(_records(found.join(twice, "h"), texts), "records")
-    ordered = written(neighbours(records, "right", "left"), "right-order")
+    ordered = written(neighbours(records, "right", "left", LENGTH - GRAM), "right-order")
     covered = _covered(ordered.selectExpr("digest", "a", "l1", "l2", "explode(pairs) as p"), "p.k", "p.o")
     unsettled = ordered.filter("not settled")
     if unsettled.isEmpty():
@@ -473,7 +479,7 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
         return covered
     wanted = gaps.join(group.select(*place, "h"), place).groupBy("h").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     windows = written(_windows(group.join(wanted, "h")), "windows")
-    third = neighbours(windows, "key", "other").filter(F.col("best") >= LENGTH)
+    third = neighbours(windows, "key", "other", 0).filter(F.col("best") >= LENGTH)
     return covered.union(third.selectExpr("digest", "p1 as start", f"p1 + {LENGTH} as stop"))
 
 

@@ -117,3 +117,21 @@ def test_query_on_given_documents(sp):
     rows = sp.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()
     want = dict(zip([r.doc_id for r in rows], brute([r.text for r in rows]), strict=True))
     assert digest(op10_suffix_dedup(sp, SF_SMALL)) == want
+
+
+def test_families_cut_by_splitters(sp, docs, monkeypatch):
+    """Many ranges and runs of a few records: near copies whose partners lie behind a range's end."""
+    monkeypatch.setattr(s, "RUN_ROWS", 9)
+    rng = random.Random(6)
+    word = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 8))) for _ in range(n))
+    texts = []
+    for _ in range(12):
+        left, right = word(60)[:250], word(90)[:360]
+        texts += [word(20) + left[-rng.randrange(20, 250) :] + right[: rng.randrange(150, 360)] + word(20) for _ in range(9)]
+    before = sp.conf.get("spark.sql.shuffle.partitions")
+    sp.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        got = digest(s.remove_repeats(docs(*enumerate(texts)).repartition(3)))
+    finally:
+        sp.conf.set("spark.sql.shuffle.partitions", before)
+    assert got == dict(enumerate(brute(texts)))
