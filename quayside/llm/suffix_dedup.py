@@ -16,6 +16,8 @@ is therefore over the suffixes at anchors, chosen by content so that no repeat e
    unequal amounts are ordered without a look at their bytes, equal amounts are compared beyond the known prefix only.
 Each run also sends the records next to its cut, up to ``REACH`` as long as they match the cut so far that a record
 beyond it may need them; the ``REACH`` nearest of all runs are among them, so neighbours across ranges are seen.
+Records of a run that are equal on both sides prove each other: one of them is merged for the others to see, and all are
+passed on without their strings, dealt over all tasks. A passage in very many texts so takes one record a run.
 4. A window reaching l left of its anchor repeats exactly if some other record matches l to the
 left and LENGTH - l to the right. Partners that match enough to the right stand next to a record in the first
 order, so a record looks outward until the right match is too short; what it has found then is all there is. Only a record with
@@ -34,6 +36,9 @@ import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
+from operator import itemgetter
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -50,6 +55,7 @@ CHUNK = 1 << 20  # windows hashed at a time
 RUN_ROWS, RUN_BYTES = 50_000, 24 << 20
 SEEN = 200_000
 SPLIT_SAMPLE = 16  # sampled records for each range
+PROVED_ROWS = 5_000  # proved records passed on in one row
 REACH = 24  # neighbours looked at on each side
 
 _B = 0x9E3779B97F4A7C15 | 1
@@ -185,22 +191,30 @@ class LoserTree:
 
 
 # Exchanged: a run's stretch for one range. ``marks`` are the fields of each record behind its strings.
+# Where ``shares`` is null, the records are proved already and only their marks and lengths of key and other are sent.
 _SEGMENT = "dest int, rows int, shares binary, rests binary, others binary, sizes binary, digests binary, marks binary"
 _SEGMENT_NAMES = [c.split()[0] for c in _SEGMENT.split(", ")]
 _MARKS = ("a", "p1", "l1", "l2")
+OUTSIDE, PROVED = 1, 2  # the last mark of a merged record: of another range; has an equal one in its run
 
 
-def _segment(dest: int, rows: list[tuple], context: list[bool]) -> list:
+def _segment(dest: int, rows: list[tuple], state: list[int]) -> list:
     keys = [r[0] for r in rows]
     shares = [0, *(shared(x, y) for x, y in zip(keys, keys[1:], strict=False))]
     pack = zstandard.ZstdCompressor(level=1).compress
     rests = b"".join(k[n:] for k, n in zip(keys, shares, strict=True))
     others = b"".join(r[1] for r in rows)
     sizes = np.array([[len(k), len(r[1])] for k, r in zip(keys, rows, strict=True)], "<u4")
-    marks = np.array([[*r[3:], c] for r, c in zip(rows, context, strict=True)], "<i8")
+    marks = np.array([[*r[3:], c] for r, c in zip(rows, state, strict=True)], "<i8")
     return [dest, len(rows), pack(np.array(shares, "<u4").tobytes()), pack(rests), pack(others), pack(sizes.tobytes()), b"".join(r[2] for r in rows), pack(marks.tobytes())]
 
 
+def _proved(dest: int, rows: list[tuple]) -> list:
+    pack = zstandard.ZstdCompressor(level=1).compress
+    marks = np.array([[*r[3:], len(r[0]), len(r[1])] for r in rows], "<i8")
+    return [dest, len(rows), None, None, None, None, b"".join(r[2] for r in rows), pack(marks.tobytes())]
+
+
 def _opened(row: dict) -> tuple[list[tuple], list[int]]:
     unpack = zstandard.ZstdDecompressor().decompress
     shares = np.frombuffer(unpack(row["shares"]), "<u4").tolist()
@@ -229,30 +243,42 @@ def neighbours(records: DataFrame, key: str, other: str, widest: int = LENGTH, l
     rows = records.select(F.col(key).alias("key"), F.col(other).alias("other"), "digest", *_MARKS)
     # splitters: a bounded sample (ranges x SPLIT_SAMPLE records, 4,096 at most) only decides where ranges meet
     picked = rows.orderBy(F.xxhash64("digest", "p1")).limit(min(ranges * SPLIT_SAMPLE, 4096)).select("key", "other").collect()
-    picked = sorted((bytes(r.key), bytes(r.other)) for r in picked)
+    picked = sorted({(bytes(r.key), bytes(r.other)) for r in picked})  # equal records meet in their runs already
     cuts = sorted({picked[len(picked) * i // ranges] for i in range(1, ranges)}) if picked else []
 
     def to_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run: list[tuple] = []
         size = 0
 
+        def sent(got: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict(
+                {n: pa.array([v], pa.int32() if i < 2 else pa.binary()) for i, (n, v) in enumerate(zip(_SEGMENT_NAMES, got, strict=True))}
+            )
+
         def flush() -> Iterator[pa.RecordBatch]:
             run.sort()
-            keys = [r[:2] for r in run]
-            edges = [0, *(bisect_left(keys, c) for c in cuts), len(run)]
+            first, keys, state, proved = [], [], [], []
+            for _, equal in groupby(run, key=itemgetter(0, 1)):
+                same = list(equal)
+                first.append(same[0])
+                keys.append(same[0][:2])
+                state.append(PROVED if len(same) > 1 else 0)
+                if len(same) > 1:
+                    proved += same
+            for at in range(0, len(proved), PROVED_ROWS):
+                some = proved[at : at + PROVED_ROWS]
+                yield sent(_proved(crc32(some[0][2] + bytes(str(some[0][4]), "ascii")) % ranges, some))
+            edges = [0, *(bisect_left(keys, c) for c in cuts), len(first)]
             for dest in range(len(edges) - 1):
                 lo, hi = edges[dest], edges[dest + 1]
                 # the records next to the range come along, as neighbours only
-                a, b = max(lo - 1, 0), min(hi + 1, len(run))
+                a, b = max(lo - 1, 0), min(hi + 1, len(first))
                 while dest and 0 < a and lo - a < REACH and shared(keys[a][0], cuts[dest - 1][0]) + widest >= length:
                     a -= 1
-                while dest < len(cuts) and b < len(run) and b - hi < REACH and shared(keys[b - 1][0], cuts[dest][0]) + widest >= length:
+                while dest < len(cuts) and b < len(first) and b - hi < REACH and shared(keys[b - 1][0], cuts[dest][0]) + widest >= length:
                     b += 1
                 if b > a:
-                    got = _segment(dest, run[a:b], [not lo <= i < hi for i in range(a, b)])
-                    yield pa.RecordBatch.from_pydict(
-                        {n: pa.array([v], pa.int32() if i < 2 else pa.binary()) for i, (n, v) in enumerate(zip(_SEGMENT_NAMES, got, strict=True))}
-                    )
+                    yield sent(_segment(dest, first[a:b], [state[i] | (0 if lo <= i < hi else OUTSIDE) for i in range(a, b)]))
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -276,10 +302,19 @@ def neighbours(records: DataFrame, key: str, other: str, widest: int = LENGTH, l
                     yield from merge(held)
                     held = []
                 dest = row["dest"]
-                held.append(_opened(row))
+                if row["shares"] is None:
+                    yield equals(row)
+                else:
+                    held.append(_opened(row))
         if held:
             yield from merge(held)
 
+    def equals(row: dict) -> pa.RecordBatch:
+        marks = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["marks"]), "<i8").reshape(row["rows"], -1).tolist()
+        return _batch([
+            (row["digests"][32 * i : 32 * i + 32], *m[:4], m[4], True, [{"k": m[4], "o": m[5]}]) for i, m in enumerate(marks)
+        ])
+
     def merge(runs: list) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
         near: list[tuple] = []  # (record, length its key shares with the one before)
@@ -304,7 +339,7 @@ def neighbours(records: DataFrame, key: str, other: str, widest: int = LENGTH, l
 
         def done(at: int) -> None:
             record = near[at][0]
-            if not record[7]:
+            if not record[7]:  # of this range and not proved
                 before, all_before = look(at, -1)
                 after, all_after = look(at, 1)
                 best = max(near[at][1] if at else 0, near[at + 1][1] if at + 1 < len(near) else 0)

@@ -135,3 +135,34 @@ def test_families_cut_by_splitters(sp, docs, monkeypatch):
     finally:
         sp.conf.set("spark.sql.shuffle.partitions", before)
     assert got == dict(enumerate(brute(texts)))
+
+
+def test_a_hot_record_is_merged_once_a_run(sp, monkeypatch):
+    """Equal records all come out proved, while a run sends one of them into the merge."""
+    rng = random.Random(7)
+    text = lambda n: bytes(rng.choice(b"abcdefgh") for _ in range(n))
+    hot = (text(500), text(60))
+    pairs = [hot] * 3000 + [(text(500), text(60)) for _ in range(300)] + [(hot[0], text(60)), (hot[0][:450] + text(50), hot[1])]
+    rng.shuffle(pairs)
+    rows = [(hashlib.sha256(str(i).encode()).digest(), 60, 0, -100, 60, right, left) for i, (right, left) in enumerate(pairs)]
+    schema = "digest binary, a long, p1 long, l1 long, l2 long, right binary, left binary"
+    frame = sp.createDataFrame(rows, schema).repartition(4)
+    opened = s._opened
+
+    def few(row):
+        assert row["rows"] < 400, "equal records of a run meet in one task"
+        return opened(row)
+
+    monkeypatch.setattr(s, "_opened", few)
+    got = {bytes(r.digest): r for r in s.neighbours(frame, "right", "left").collect()}
+    assert len(got) == len(rows)
+    for (d, *_, right, left) in rows:
+        r = got[d]
+        if (right, left) == hot:
+            assert r.settled and r.best == 500 and (500, 60) in {(p.k, p.o) for p in r.pairs}
+        elif right == hot[0]:
+            assert r.best == 500 and not r.pairs == []
+        elif right[:450] == hot[0][:450]:
+            assert r.best >= 450 and (not r.settled or max(p.o for p in r.pairs) == 60)
+        else:
+            assert not r.pairs
