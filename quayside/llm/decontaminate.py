@@ -9,7 +9,8 @@ share come first, then by hash). A document that holds 80 % of an item's n
 shingles lacks at most n - ceil(0.8 n) of them, so it holds at least one of the
 item's n - ceil(0.8 n) + 1 smallest: that sketch finds every leak, and its length
 follows the item's size. Items are partitioned by size class (powers of two);
-a class meets only documents with enough shingles for its smallest item.
+a class meets only documents with enough shingles for its smallest item. Rows of a key that repeats
+meet every class, as the key's other rows may hold the rest.
 Documents meet the sketches by shingle hash, without a shuffle while the
 sketches are provably small. Found pairs are then verified by counting the
 distinct shingles, as strings, that item and document share.
@@ -90,18 +91,28 @@ def find_leaks(
     item: str = "item_id",
     item_text: str = "text",
     threshold: float = THRESHOLD,
+    copies: bool = False,
 ) -> DataFrame:
     """(key, item, n_shared, n_shingles, containment) of every document that holds
-    at least ``threshold`` of an item's shingles."""
+    at least ``threshold`` of an item's shingles. ``copies``: rows that repeat a key have the same text."""
     shingles, sketch = sketches(items, item, item_text, threshold)
     sketch = written(sketch, "sketch")
     least = sketch.groupBy("size_class").agg(F.min("need").alias("least"))
     # one row per hash and size class, so that a shingle of many items fans out only for its class
     hashed = small_side(sketch.join(least, "size_class").withColumnRenamed("h", "ih"), HASH_ROW)
     tokens = docs.select(F.col(f"`{key}`").alias("key"), words(text).alias("__w"))
+    sized, fits = tokens, F.greatest(F.col("n_words") - (WORDS - 1), F.lit(1)) >= F.col("least")
+    if not copies:
+        repeated = written(
+            docs.groupBy(F.col(f"`{key}`").alias("rk")).agg(F.count("*").alias("rows")).filter("rows > 1").select("rk", F.lit(True).alias("repeats")),
+            "repeated-keys",
+        )
+        if not repeated.isEmpty():
+            sized = tokens.join(small_side(repeated, PAIR_ROW), F.col("key").eqNullSafe(F.col("rk")), "left")
+            fits = fits | F.col("repeats").isNotNull()
     pairs = (
-        tokens.select("key", F.size("__w").alias("n_words"), F.explode(shingle_hashes()).alias("h"))
-        .join(hashed, (F.col("h") == F.col("ih")) & (F.greatest(F.col("n_words") - (WORDS - 1), F.lit(1)) >= F.col("least")))
+        sized.select("key", *[c for c in sized.columns if c == "repeats"], F.size("__w").alias("n_words"), F.explode(shingle_hashes()).alias("h"))
+        .join(hashed, (F.col("h") == F.col("ih")) & fits)
         .select("key", "item")
         .distinct()
     )
@@ -139,7 +150,7 @@ def drop_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item: str
     digest = F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")), 256)
     keyed = docs.select(digest.alias("__digest"), F.col(f"`{text}`").alias("__text"))
     bad = written(
-        find_leaks(keyed, items, "__digest", "__text", item, item_text).select(F.col("__digest").alias("__bad")).distinct(),
+        find_leaks(keyed, items, "__digest", "__text", item, item_text, copies=True).select(F.col("__digest").alias("__bad")).distinct(),
         "leaking-texts",
     )
     kept = docs.withColumn("__digest", digest).join(

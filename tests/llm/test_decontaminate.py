@@ -80,3 +80,11 @@ def test_empty_tables_and_dropping(sp, docs):
     assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == [(1, "clean"), (2, ""), (2, "")]
     assert decontaminate.drop_leaks(rows, items.limit(0)).count() == 5
     assert decontaminate.find_leaks(rows.limit(0), items).count() == 0
+
+
+def test_item_over_two_rows_of_a_key(sp):
+    words = [f"w{i}" for i in range(64)]
+    items = [(1, " ".join(words)), (2, "another item of a few words")]
+    docs = [(k, " ".join(w)) for k in (7, None) for w in (words[:34], words[30:])] + [(8, " ".join(words[:34])), (9, " ".join(words[30:]))]
+    got = decontaminate.find_leaks(sp.createDataFrame(docs, "doc_id long, text string"), sp.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): (r.n_shared, r.n_shingles) for r in got} == brute(docs, items) == {(7, 1): (60, 60), (None, 1): (60, 60)}
