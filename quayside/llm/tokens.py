@@ -40,47 +40,51 @@ class WordEncoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.lead = "".join(self._tokens("a b")) != "".join(self._tokens("ab"))
         self.one_case = self._tokens("Ab") == self._tokens("ab")
-        self.memo: dict[str, bytes] = {}
+        self.memo: dict[str | tuple[str], bytes] = {}
 
     def _tokens(self, text: str) -> list[str]:
         # word-end marks aside: does a space leave a trace?
         return [t.replace("</w>", "") for t in self.tokenizer.encode(text, add_special_tokens=False).tokens]
 
-    def _pieces(self, text: str) -> list[str]:
+    def _pieces(self, text: str) -> list[str | tuple[str]]:
         if not self.lead:
             return text.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ")
         parts = _CUT.split(text) if _NEAR_SPACE.search(text) else text.split(" ")
-        # a later part stands for itself after a space; the first one is marked
-        return ["\0" + parts[0], *parts[1:]]
+        # a later part stands for itself after a space; the first one is a tuple, as no character is free for a mark
+        return [(parts[0],), *parts[1:]]
 
-    def _said(self, piece: str) -> str:
-        if not self.lead:
-            return piece
-        return piece[1:] if piece[:1] == "\0" else " " + piece
+    def _said(self, piece: str | tuple[str]) -> str:
+        if isinstance(piece, tuple):
+            return piece[0]
+        return " " + piece
 
-    def _learn(self, new: set[str]) -> dict[str, bytes]:
+    def _learn(self, new: set[str | tuple[str]]) -> dict[str | tuple[str], bytes]:
         """Ids of pieces not remembered. A mark after a letter is a word of its own to these tokenizers, so
         a piece that ends in marks is put together from the rest and the marks; where case makes no difference,
         a piece is looked up in lower case (plain ASCII letters only, whose lower case is the same everywhere)."""
         memo, parts, ask = self.memo, {}, {}
         for p in new:
-            core = p.rstrip(_MARKS)
-            whole = core == p and not (self.one_case and p.isascii() and not p.islower())
+            first = isinstance(p, tuple)
+            word = p[0] if first else p
+            core = word.rstrip(_MARKS)
+            whole = core == word and not (self.one_case and word.isascii() and not word.islower())
             if not whole and core and core[-1] < "\u0250" and core[-1].isalpha() and "<|" not in core:
-                tail = "\0" + p[len(core) :]  # said without a space before it
+                rest = word[len(core) :]
+                tail = (rest,) if self.lead else rest  # said without a space before it
                 if self.one_case and core.isascii():
                     core = core.lower()
-                parts[p] = (core, tail)
-                ask[core] = None
-                if len(tail) > 1:
+                head = (core,) if first else core
+                parts[p] = (head, tail)
+                ask[head] = None
+                if rest:
                     ask[tail] = None
             else:
                 ask[p] = None
         ask = [p for p in ask if p not in memo]
-        fresh: dict[str, bytes] = {}
+        fresh: dict[str | tuple[str], bytes] = {}
         for at in range(0, len(ask), 4096):
             some = ask[at : at + 4096]
-            said = [p[1:] if p[:1] == "\0" else self._said(p) for p in some]
+            said = [self._said(p) for p in some] if self.lead else some
             got = self.tokenizer.encode_batch_fast(said, add_special_tokens=False)
             fresh.update(zip(some, [array(self.code, e.ids).tobytes() for e in got], strict=True))
         for p, (core, tail) in parts.items():
@@ -108,7 +112,7 @@ class WordEncoder:
         ]
         if len(memo) + len(fresh) > MEMO:
             memo.clear()
-        memo.update((p, i) for p, i in fresh.items() if len(p) <= 48)
+        memo.update((p, i) for p, i in fresh.items() if len(p[0] if isinstance(p, tuple) else p) <= 48)
         return out
 
 

@@ -117,3 +117,13 @@ def test_perfect_hash():
         h = rng.integers(0, 1 << 63, (n, 2), dtype=np.uint64)
         slots = token_files.PerfectHash.build(h).slots(h)
         assert sorted(slots.tolist()) == list(range(n))
+
+
+@pytest.mark.parametrize("name", [BYTE, WORD])
+def test_texts_may_hold_nul(name):
+    own, library = WordEncoder(tokenizer(name)), tokenizers.Tokenizer.from_file(tokenizer(name))
+    rng = random.Random(5)
+    texts = ["a \0b", "\0b", "a \0b, \0", "\0 \0", "b, \0, \0.", "x\0y \0\0z."]
+    texts += ["".join(rng.choice(["a", "B", " ", "\0", ",", "é", "\n"]) for _ in range(rng.randrange(20))) for _ in range(1500)]
+    for t, got in zip(texts, own.encode(texts), strict=True):
+        assert np.frombuffer(got, own.dtype).tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
