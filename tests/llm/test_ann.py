@@ -93,3 +93,14 @@ def test_recall_of_the_query(sp):
     for q in want:
         scores = dict(want[q])
         assert all(scores[i] == s for i, s in got[q] if i in scores)
+
+
+def test_many_tied_multiples_keep_the_smallest_ids(sp):
+    rng = np.random.default_rng(3)
+    one = rng.normal(size=8).astype(np.float32)
+    # powers of two: different vectors with exactly the same likeness, their ids in no order of their sizes
+    rows = [(int(i), (one * np.float32(2.0**n)).tolist()) for n, i in enumerate(rng.permutation(60))]
+    rows += [(100 + i, rng.normal(size=8).astype(np.float32).tolist()) for i in range(40)]
+    got = answers(ann.nearest(sp.createDataFrame(rows, ROWS), sp.createDataFrame(rows[:12], ROWS), ratio=99.0))
+    for q, want in brute(rows, rows[:12]):
+        assert [i for i, _ in got[q]] == [i for i, _ in want], q
