@@ -21,9 +21,9 @@ Repeated rows repeat; other columns pass through.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -168,20 +168,19 @@ def _inputs(events: list[np.ndarray], lengths: list[int], rate: float) -> np.nda
 
 
 def _signature(texts: pd.Series) -> pd.Series:
-    """Smallest checksum of a text's long words: near copies mostly share it, other texts hardly ever."""
-    return pd.Series([min((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in _WORD.findall((t or "").lower()) if len(w) > 7), default=-1) for t in texts])
+    """Digest of a text in lower case, white space evened out: only copies share it."""
+    return pd.Series([hashlib.sha256(" ".join((t or "").lower().split()).encode("utf-8", "surrogatepass")).digest() for t in texts], dtype=object)
 
 
 def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE, teach: Column | None = None) -> DataFrame:
     """(text, toxic) of at most ``rows`` labelled documents, those of the smallest id hash. Copies teach once:
-    rows of one signature and label count as one (texts without long words stand for themselves)."""
+    rows of one label whose texts differ in case and white space at most count as one."""
     own = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic is not null")
     own = own.filter(teach) if teach is not None else own
     picked = own.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     # broadcast bound: ``rows`` pairs of numbers
-    signed = texts.join(F.broadcast(picked), "doc_id").withColumn("copy", F.pandas_udf(_signature, "long")("text"))
-    one = signed.withColumn("copy", F.when(F.col("copy") < 0, -F.abs(F.xxhash64("text"))).otherwise(F.col("copy")))
+    one = texts.join(F.broadcast(picked), "doc_id").withColumn("copy", F.pandas_udf(_signature, "binary")("text"))
     first = F.row_number().over(Window.partitionBy("toxic", "copy").orderBy("text"))
     return one.withColumn("first", first).filter("first = 1").select("text", "toxic")
 

@@ -92,3 +92,10 @@ def test_defined_cases(sp, docs):
         assert kept.columns == rows.columns
         assert sorted(r.text or "" for r in kept.collect()) == ["", "", "all is well", "fine"]
     assert t.drop_toxic(rows.limit(0), labels).count() == 0
+
+
+def test_only_copies_teach_once(sp, docs):
+    texts = [f"extraordinary thing {i} with other words {i * 7} beside it" for i in range(20)]
+    rows = docs(*enumerate([*texts, texts[0], texts[1].upper().replace(" ", "  ")]))
+    labels = sp.createDataFrame([(i, 0, 0) for i in range(22)], LABELS)
+    assert sorted(" ".join(r.text.lower().split()) for r in t.sample(rows, labels).collect()) == sorted(texts)
