@@ -83,4 +83,90 @@ FROM held JOIN sized USING (shingle) GROUP BY doc_id, item_id, n_shingles
 HAVING count(*) >= ceil({decontaminate.THRESHOLD} * n_shingles)
 """
 
-ORACLES = {"op1_secret_scan": OP1, "op4_chat_format": OP4, "op5_decontaminate": OP5}
+OP11 = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY t) AS first FROM d),
+l AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+    SELECT w.doc_id, part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+           CAST(len(words) < 50 AS INT) + 2 * CAST(100 * len(list_distinct(words)) < 65 * len(words) AS INT)
+           + 4 * CAST(100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) AS INT)
+           + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INT) + 16 * CAST(w.doc_id > first AS INT) AS mask
+    FROM w LEFT JOIN l ON w.doc_id = l.doc_id),
+cell AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, mask),
+letter AS (SELECT unnest(range(5)) AS k),
+steps AS (
+    SELECT o, step, o[step] AS k, list_sum(list_transform(o[1:step - 1], lambda x: 1 << x)) AS before FROM (
+        SELECT [a.k, b.k, c.k, d.k, e.k] AS o, unnest(range(1, 6)) AS step
+        FROM letter a, letter b, letter c, letter d, letter e
+        WHERE len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5)),
+rows_ AS (
+    SELECT part, o, step, k,
+           sum(n) FILTER ((mask & (coalesce(before, 0) | (1 << k))) = 0) AS kept,
+           sum(n) FILTER ((mask >> k) % 2 = 1 AND (mask & coalesce(before, 0)) = 0) AS removed,
+           sum(n) FILTER ((mask >> k) % 2 = 1 AND (mask & coalesce(before, 0)) <> 0) AS redundant,
+           sum(n) FILTER (mask = 1 << k) AS unique_fails,
+           sum(good) FILTER ((mask >> k) % 2 = 1 AND (mask & coalesce(before, 0)) = 0) AS good_lost,
+           sum(toxic) FILTER ((mask >> k) % 2 = 1 AND (mask & coalesce(before, 0)) = 0) AS toxic_lost
+    FROM steps, cell GROUP BY part, o, step, k)
+SELECT part, array_to_string(list_transform(o, lambda x: chr(CAST(65 + x AS INT))), '') AS filter_order, CAST(step AS INT) AS step,
+       CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+       CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+       CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(coalesce(sum(removed) OVER (PARTITION BY part, k), 0) AS BIGINT) AS shapley
+FROM rows_
+"""
+
+# CRC-32 byte by byte over distinct words, from the polynomial's table of 256 remainders
+OP13 = r"""
+WITH RECURSIVE crc_step AS (
+    SELECT b AS byte, b AS v, 0 AS i FROM range(256) AS r(b)
+    UNION ALL SELECT byte, CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, i + 1 FROM crc_step WHERE i < 8),
+crc_table AS (SELECT list(v ORDER BY byte) AS rem FROM crc_step WHERE i = 8),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+b AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+dw AS (SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(words) AS word FROM d) GROUP BY doc_id, word),
+bw AS (SELECT word, count(*) AS n FROM (SELECT unnest(words) AS word FROM b) GROUP BY word),
+every_word AS (SELECT word, hex(encode(word)) AS code FROM (SELECT word FROM dw UNION SELECT word FROM bw)),
+bucketed AS (
+    SELECT word, xor(list_reduce(list_transform(range(0, length(code) // 2), lambda i: CAST('0x' || substr(code, 2 * i + 1, 2) AS BIGINT)),
+        lambda c, x: xor(c >> 8, rem[xor(c, x) % 256 + 1]), CAST(4294967295 AS BIGINT)), 4294967295) % 10000 AS bucket
+    FROM every_word, crc_table),
+s AS (SELECT bucket, sum(n) AS n FROM dw JOIN bucketed USING (word) GROUP BY bucket),
+t AS (SELECT bucket, sum(n) AS n FROM bw JOIN bucketed USING (word) GROUP BY bucket),
+total AS (SELECT coalesce((SELECT sum(n) FROM s), 0) AS big_s, coalesce((SELECT sum(n) FROM t), 0) AS big_t),
+gain AS (
+    SELECT bucket, CAST(floor(1000 * ln(CAST(coalesce(t.n, 0) + 1 AS DOUBLE) * CAST(big_s + 10000 AS DOUBLE)
+                         / (CAST(coalesce(s.n, 0) + 1 AS DOUBLE) * CAST(big_t + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+    FROM s FULL JOIN t USING (bucket), total),
+weight AS (SELECT doc_id, sum(n * gain) AS weight FROM dw JOIN bucketed USING (word) JOIN gain USING (bucket) GROUP BY doc_id),
+scored AS (
+    SELECT d.doc_id, len(words) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+           CAST('0x' || substr(sha256('2024:' || d.doc_id), 1, 8) AS BIGINT) AS h
+    FROM d LEFT JOIN weight ON d.doc_id = weight.doc_id),
+drawn AS (
+    SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM scored),
+ranked AS (
+    SELECT *, row_number() OVER (ORDER BY n_features < 20, score DESC, doc_id) AS place, count(*) FILTER (n_features >= 20) OVER () AS n FROM drawn)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score, CASE WHEN place <= n * 10 // 100 THEN place END AS rank FROM ranked
+"""
+
+OP12 = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to
+FROM f
+"""
+
+ORACLES = {
+    "op1_secret_scan": OP1,
+    "op4_chat_format": OP4,
+    "op5_decontaminate": OP5,
+    "op11_filter_audit": OP11,
+    "op12_warc": OP12,
+    "op13_importance_resampling": OP13,
+}

@@ -9,6 +9,8 @@ from quayside.llm import (
     ann,
     chat_format,
     decontaminate,
+    filter_audit,
+    importance,
     piece_codec,
     secret_scan,
     simhash,
@@ -16,6 +18,7 @@ from quayside.llm import (
     token_counts,
     token_files,
     toxicity,
+    warc,
 )
 from quayside.llm.oracle import ORACLES  # noqa: F401
 from quayside.llm.store import fresh_path, prepare, written
@@ -111,6 +114,22 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return filter_audit.audit(docs, _table(spark, sf_dir, "labels"))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    chunks = warc.read_archives(warc.write_archives(pages, fresh_path(spark, "warc")), contents=False)
+    return chunks.filter("last").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return importance.resample(docs, _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_sentencepiece": op2_sentencepiece,
@@ -122,4 +141,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_warc": op12_warc,
+    "op13_importance_resampling": op13_importance_resampling,
 }

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +51,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def file_system(path: str):
+    """(file system, path in it) for tasks that write or read raw files, alike on the driver and in tasks."""
+    from pyarrow import fs
+
+    if path.startswith("s3a://"):
+        path = "s3://" + path.removeprefix("s3a://")
+    if "://" not in path and not path.startswith("file:"):
+        return fs.LocalFileSystem(), path
+    try:
+        found, at = fs.FileSystem.from_uri(path)
+    except (pa.ArrowInvalid, OSError, ImportError) as e:
+        raise ValueError(f"{path}: raw files need a folder that pyarrow opens (file, hdfs, s3, gs); name one or set spark.checkpoint.dir to one") from e
+    return found, at.rstrip("/")
+
+
 def small_side(df: DataFrame, row_bytes: int) -> DataFrame:
     """``df`` marked for broadcast if its count proves it small enough, else unchanged
     (Spark then joins by shuffle). Meant for a written table, whose count reads footers."""
