@@ -56,6 +56,8 @@ def main(argv: list[str] | None = None) -> None:
     bat.add_argument("--warehouse", required=True)
     bat.add_argument("--now", help="load time (ISO); default: now, UTC")
 
+    bat.add_argument("--bad-rows", default="quarantine", choices=["quarantine", "refuse"], help="rows that fail a staging test")
+
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"quayside-{args.job}").getOrCreate()
     apply_base_conf(spark)
@@ -78,7 +80,7 @@ def main(argv: list[str] | None = None) -> None:
     else:
         now = dt.datetime.fromisoformat(args.now) if args.now else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         paths = batch.Paths(lake=args.lake, warehouse=args.warehouse)
-        result = batch.run_batch(spark, paths, now)
+        result = batch.run_batch(spark, paths, now, args.bad_rows)
         print(json.dumps({"loaded": result.loaded, "inserted": result.inserted, "stages": result.stages}))
 
 

@@ -73,23 +73,20 @@ def parse_transactions(
     Malformed JSON yields all-null fields (hence ``missing_transaction_id``);
     an unparsable time yields null time parts but does not by itself
     dead-letter the row.
+
+    Each value is parsed once, however many filters and columns are taken
+    from the result: the fields come out of a generator of one row a message,
+    which the optimizer does not copy predicates or projections through. (As
+    plain aliases over one ``from_json`` column, every predicate on a field
+    carries its own copy of the parse below the projection.)
     """
     text = F.col(value_col).cast("string")
-    parsed = raw.select(
-        text.alias("raw_value"), F.from_json(text, EVENT_SCHEMA).alias("data"), *[F.col(c) for c in keep]
-    ).select("raw_value", *[F.col(f"data.{c}").alias(c) for c in EVENT_FIELDS], *keep)
-    ts = F.try_to_timestamp(F.col("timestamp"))
-    out = parsed.select(
-        "raw_value",
-        *EVENT_FIELDS,
-        ts.alias("event_timestamp"),
-        F.year(ts).alias("year"),
-        F.month(ts).alias("month"),
-        F.dayofmonth(ts).alias("day"),
-        F.hour(ts).alias("hour"),
-        *keep,
-    )
-    return out.select("raw_value", *EVENT_FIELDS, *TIME_PARTS, classify(rules).alias("dlq_reason"), *keep)
+    message = raw.select(text.alias("raw_value"), *[F.col(c) for c in keep])
+    parsed = message.select("raw_value", F.inline(F.array(F.from_json("raw_value", EVENT_SCHEMA))), *keep)
+    parsed = parsed.select("raw_value", *EVENT_FIELDS, F.try_to_timestamp(F.col("timestamp")).alias("event_timestamp"), *keep)
+    ts = F.col("event_timestamp")
+    parts = {"year": F.year(ts), "month": F.month(ts), "day": F.dayofmonth(ts), "hour": F.hour(ts), "dlq_reason": classify(rules)}
+    return parsed.withColumns(parts).select("raw_value", *EVENT_FIELDS, *TIME_PARTS, "dlq_reason", *keep)
 
 
 def split_valid_invalid(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:

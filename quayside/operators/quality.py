@@ -92,6 +92,18 @@ def _unique(df: DataFrame, check: Check) -> DataFrame:
     )
 
 
+def with_reasons(df: DataFrame, table: str, suite: list[Check] = SUITE) -> DataFrame:
+    """``df`` with ``reasons``: the not_null and accepted_values checks of ``table`` that each row fails, as
+    ``test:column``. Empty for a good row. (Uniqueness is no property of a row.)"""
+    fails = []
+    for c in (c for c in suite if c.table == table and c.test in ("not_null", "accepted_values")):
+        col = F.col(c.column)
+        # a null is accepted, as in the report
+        bad = col.isNull() if c.test == "not_null" else F.coalesce(~col.isin(*c.values), F.lit(False))
+        fails.append(F.when(bad, F.lit(f"{c.test}:{c.column}")))
+    return df.withColumn("reasons", F.array_compact(F.array(*fails)))
+
+
 def dq_report(tables: dict[str, DataFrame], suite: list[Check] = SUITE) -> DataFrame:
     """One row per assertion: ``table, test, column, failures``.
 

@@ -27,9 +27,8 @@ from pyspark.sql import functions as F
 from quayside.operators import marts, merge, quality, snapshot, staging
 from quayside.session import materialize
 from quayside.sources.lake import (
-    batch_leaves,
-    complete_batches,
     complete_versions,
+    each_new_batch,
     existing,
     read_lake_batches,
     read_latest,
@@ -87,6 +86,16 @@ class Paths:
         """Manifest of lake batches already merged into the raw table."""
         return os.path.join(self.warehouse, "_loaded_lake_batches")
 
+    @property
+    def discovery(self) -> str:
+        """Checkpoint of the stream that finds new lake batches."""
+        return os.path.join(self.warehouse, "_discovery")
+
+    @property
+    def quarantine(self) -> str:
+        """Staging rows that fail a row-level test, by run."""
+        return os.path.join(self.warehouse, "quarantine", "stg_transactions")
+
     @property
     def snapshot(self) -> str:
         return os.path.join(self.warehouse, "snapshots", "snap_customer_segments")
@@ -105,67 +114,82 @@ def run_id(now: dt.datetime) -> str:
     return now.strftime("%Y%m%dT%H%M%S%f")
 
 
-def load_raw(spark: SparkSession, paths: Paths, version: str) -> tuple[bool, int]:
+def load_raw(spark: SparkSession, paths: Paths, version: str, bad_rows: str = "quarantine") -> tuple[bool, int]:
     """Lake -> raw table -> staged table (insert-only, idempotent,
-    incremental).
+    incremental): (whether anything was loaded, rows inserted into the raw table).
 
-    Only lake batches that are marked complete and missing from the manifest are read
-    (the reference reloads the whole lake every run; at scale that is a full lake scan and
+    Only lake batches marked complete since the last load are read (the
+    reference reloads the whole lake every run; at scale that is a full lake scan and
     de-duplication per hour). A batch that is still being published has no marker
-    and waits for a later run. The load is de-duplicated on
-    ``transaction_id`` (the reference's merge would insert in-load
+    and waits for a later run; see :func:`~quayside.sources.lake.each_new_batch`. Late
+    events arrive in new batches, so they are never skipped.
+    """
+    if bad_rows not in ("quarantine", "refuse"):
+        raise ValueError(f"bad_rows is quarantine or refuse, not {bad_rows}")
+    done: list[int] = []
+
+    def load(keys: list[str], folders: list[str]) -> None:
+        if folders:
+            done.append(load_batches(spark, paths, version, read_lake_batches(spark, paths.lake, folders), bad_rows))
+        spark.createDataFrame([(k, version) for k in keys], "batch_key string, run string").write.mode("append").parquet(paths.loaded_batches)
+
+    each_new_batch(spark, paths.lake, paths.discovery, load)
+    return bool(done), sum(done)
+
+
+def load_batches(spark: SparkSession, paths: Paths, version: str, lake: DataFrame, bad_rows: str) -> int:
+    """Merge the rows of new lake batches into the raw and the staged table; the rows inserted into the raw one.
+
+    The load is de-duplicated on ``transaction_id`` (the reference's merge would insert in-load
     duplicates), then merged insert-only, on that id alone, into the raw table, and its
     staging rows into the staged table; each merge is against its own
     target, so re-running a load after a crash at any point adds to each
-    table exactly what it is missing. The staging tests gate the load before anything is
-    appended, so a refused load leaves every table as it was. The manifest is written last. Late
-    events arrive in new batches, so they are never skipped.
+    table exactly what it is missing.
+
+    Staging rows that fail a row-level test (an id with a time that does not parse, say) go to the quarantine
+    table with the tests they fail, and the rest of the load goes on; one bad row would otherwise stop this load and, as
+    its batch is read again, every later one. A quarantined id is not staged, so a corrected message of that id is taken
+    when it comes. With ``bad_rows="refuse"`` a failing test stops the run before anything is appended.
     """
-    marked = complete_batches(spark, paths.lake)
-    if marked is None:
-        return False, 0
-    manifest = read_table_or_none(spark, paths.loaded_batches)
-    if manifest is not None:
-        marked = marked.join(manifest.select("batch_key"), "batch_key", "left_anti")
-    # batches published since the last run, not all there ever were
-    new_keys = sorted(r.batch_key for r in marked.select("batch_key").collect())
-    if not new_keys:
-        return False, 0
-    folders = batch_leaves(spark, paths.lake, new_keys)
-    lake = read_lake_batches(spark, paths.lake, folders) if folders else None
-    loaded = lake is not None and merge.load_guard(lake)
-    inserted = 0
-    if loaded:
-        # The de-duplicated load (the new batches only) feeds the steps below: written once.
-        load = merge.dedupe_by_key(lake, "transaction_id", ["event_timestamp"]).withColumn(RAW_PARTITION, event_day())
-        load = materialize(load, "load")
-        staged_rows = staging.stg_transactions(load).withColumn(RAW_PARTITION, event_day())
-        staged = read_table_or_none(spark, paths.staged)
-        add = materialize(merge.insert_if_absent(staged, staged_rows, "transaction_id"), "staged-increment")
-        # Staging tests gate the increment before it is appended, so the staged
-        # table only ever holds rows that passed: the table-wide result is the
-        # increment's (see quality.increment_report). The fact's declared tests
-        # are on staged columns of the same rows, so they are checked here too.
-        held = staged.drop(RAW_PARTITION) if staged is not None else None
-        report = quality.increment_report(add.drop(RAW_PARTITION), held, "stg_transactions")
-        quality.raise_on_failures(quality.with_implied(report, "stg_transactions", "fct_transactions"))
-        # Days this load touches, recorded before anything is appended: after a
-        # crash anywhere below, the re-run records them again (idempotent).
-        load.select(RAW_PARTITION).distinct().withColumn("run", F.lit(version)).write.mode("append").parquet(
-            paths.pending_days
-        )
-        new = materialize(
-            merge.insert_if_absent(read_table_or_none(spark, paths.raw), load, "transaction_id"), "raw-increment"
-        )
-        inserted = new.count()
-        _append(new, paths.raw, "transaction_id")
-        # Sorted by the fact's cluster columns within each file: min/max
-        # statistics then skip row groups for category / status predicates.
-        _append(add, paths.staged, "product_category", "status", "transaction_id")
-    spark.createDataFrame([(k, version) for k in new_keys], "batch_key string, run string").write.mode(
-        "append"
-    ).parquet(paths.loaded_batches)
-    return loaded, inserted
+    if not merge.load_guard(lake):
+        return 0
+    # The de-duplicated load (the new batches only) feeds the steps below: written once.
+    load = merge.dedupe_by_key(lake, "transaction_id", ["event_timestamp"]).withColumn(RAW_PARTITION, event_day())
+    load = materialize(load, "load")
+    staged_rows = staging.stg_transactions(load).withColumn(RAW_PARTITION, event_day())
+    staged = read_table_or_none(spark, paths.staged)
+    absent = merge.insert_if_absent(staged, staged_rows, "transaction_id")
+    judged = materialize(quality.with_reasons(absent, "stg_transactions"), "staged-increment")
+    good = F.size("reasons") == 0
+    add = judged.filter(good).drop("reasons") if bad_rows == "quarantine" else judged.drop("reasons")
+    # Staging tests gate the increment before it is appended, so the staged
+    # table only ever holds rows that passed: the table-wide result is the
+    # increment's (see quality.increment_report). The fact's declared tests
+    # are on staged columns of the same rows, so they are checked here too.
+    held = staged.drop(RAW_PARTITION) if staged is not None else None
+    report = quality.increment_report(add.drop(RAW_PARTITION), held, "stg_transactions")
+    quality.raise_on_failures(quality.with_implied(report, "stg_transactions", "fct_transactions"))
+    # Days this load touches, recorded before anything is appended: after a
+    # crash anywhere below, the re-run records them again (idempotent).
+    load.select(RAW_PARTITION).distinct().withColumn("run", F.lit(version)).write.mode("append").parquet(paths.pending_days)
+    if bad_rows == "quarantine":
+        known = read_table_or_none(spark, paths.quarantine)
+        bad = materialize(merge.insert_if_absent(known, judged.filter(~good).drop(RAW_PARTITION), "transaction_id"), "quarantine-increment")
+        if not bad.isEmpty():
+            bad.withColumn("run", F.lit(version)).write.mode("append").partitionBy("run").parquet(paths.quarantine)
+    new = materialize(merge.insert_if_absent(read_table_or_none(spark, paths.raw), load, "transaction_id"), "raw-increment")
+    inserted = new.count()
+    _append(new, paths.raw, "transaction_id")
+    # Sorted by the fact's cluster columns within each file: min/max
+    # statistics then skip row groups for category / status predicates.
+    _append(add, paths.staged, "product_category", "status", "transaction_id")
+    return inserted
+
+
+def quarantined(spark: SparkSession, paths: Paths, version: str | None = None) -> DataFrame | None:
+    """Staging rows that were kept out, with ``reasons`` and the ``run`` that met them; of one run if given."""
+    held = read_table_or_none(spark, paths.quarantine)
+    return held if held is None or version is None else held.filter(F.col("run") == version)
 
 
 def _append(rows: DataFrame, path: str, *cluster_by: str) -> None:
@@ -304,7 +328,7 @@ def newest_version(spark: SparkSession, paths: Paths) -> str:
     return max((v for v in found if v), default="")
 
 
-def run_batch(spark: SparkSession, paths: Paths, now: dt.datetime) -> BatchResult:
+def run_batch(spark: SparkSession, paths: Paths, now: dt.datetime, bad_rows: str = "quarantine") -> BatchResult:
     """One batch run. Per run, storage grows by the new rows only: the raw
     and staged tables are appended to, the dimension and daily rollup are
     rebuilt by aggregation into new versions, and the enriched fact is not
@@ -317,13 +341,16 @@ def run_batch(spark: SparkSession, paths: Paths, now: dt.datetime) -> BatchResul
     newest = newest_version(spark, paths)
     if version < newest:
         raise ValueError(f"now = {now.isoformat()} is earlier than the newest run {newest}: nothing was written")
-    loaded, inserted = load_raw(spark, paths, version)
+    loaded, inserted = load_raw(spark, paths, version, bad_rows)
     result = BatchResult(loaded=loaded, inserted=inserted)
     if not loaded and not marts_stale(spark, paths):
         result.stages.append("skipped: no new lake batch")
         return result
     # The staging (and fact) tests ran on the increment inside load_raw.
     result.stages.append("staging tests passed")
+    held = quarantined(spark, paths, version)
+    if held is not None and (n := held.count()):
+        result.stages.append(f"quarantined {n} rows")
 
     def publish(name: str, df: DataFrame, **layout) -> DataFrame:
         path = version_path(paths.mart(name), version)

@@ -90,7 +90,7 @@ def daily(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def parsed(spark: SparkSession, sf: str) -> DataFrame:
-    return parse.parse_transactions(testdata.wire_messages(spark, sf))
+    return parse.parse_transactions(testdata.dealt(testdata.wire_messages(spark, sf)))
 
 
 def stream_valid(spark: SparkSession, sf: str) -> DataFrame:
@@ -108,13 +108,13 @@ def _dlq(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _encode_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    out = parse.parse_transactions(parse.encode_events(raw(spark, sf)))
+    out = parse.parse_transactions(testdata.dealt(parse.encode_events(raw(spark, sf))))
     return out.drop("raw_value", "year", "month", "day", "hour")
 
 
 def _delivered(spark: SparkSession, sf: str) -> DataFrame:
     """Every message parsed once (with its id and send time), written."""
-    msgs = testdata.wire_messages(spark, sf)
+    msgs = testdata.dealt(testdata.wire_messages(spark, sf))
     return materialize(parse.parse_transactions(msgs, keep=["event_id", "sent_at"]), "delivered")
 
 
@@ -152,8 +152,8 @@ def _batch_two_loads(spark: SparkSession, sf: str) -> DataFrame:
     first = events.filter(F.col("sent_at") < F.lit(SECOND_LOAD_FROM))
     second = events.filter(F.col("sent_at") >= F.lit(SECOND_LOAD_FROM)).unionByName(testdata.redelivered(events))
     for key, rows, now in (("s-0", first, SECOND_LOAD_FROM), ("s-1", second, NOW)):
-        valid, _ = parse.split_valid_invalid(parse.parse_transactions(parse.encode_events(rows.drop("event_id", "sent_at"))))
-        lake.write_lake_batch(materialize(valid, "valid"), paths.lake, key)
+        messages = testdata.dealt(parse.encode_events(rows.drop("event_id", "sent_at")))
+        lake.write_lake_batch(parse.split_valid_invalid(parse.parse_transactions(messages))[0], paths.lake, key)
         batch.run_batch(spark, paths, now)
     return spark.read.parquet(paths.raw).select(*EVENT_FIELDS, "event_timestamp", "hour")
 
@@ -233,19 +233,8 @@ def _prepared(fn: Query) -> Query:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Session settings every plan here needs.
-
-    * UTC: dates and hours of event times are defined in UTC.
-    * No constraint propagation: the parsed stream is a projection of 15
-      aliases over one ``from_json`` struct; once a filter on the parse
-      result is pushed below it, Catalyst's constraint inference doubles its
-      constraint set per alias (2^15 copies of a large expression) and
-      planning a join over parsed rows takes minutes. The rule only infers
-      ``isnotnull`` and transitive filters, which these plans state
-      explicitly where they matter.
-    """
+    """The session setting every plan here needs: dates and hours of event times are defined in UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
 
 
 _QUERIES: dict[str, Query] = {
@@ -285,7 +274,7 @@ _QUERIES: dict[str, Query] = {
     "lake_roundtrip": _lake_roundtrip,
     "dlq_roundtrip": _dlq_roundtrip,
     "batch_two_loads": _batch_two_loads,
-    "contract_violations": lambda s, sf: contract.contract_violations(parsed(s, sf)),
+    "contract_violations": lambda s, sf: contract.contract_violations(parse.parse_transactions(testdata.wire_messages(s, sf))),
     "stg_from_stream": lambda s, sf: present(staging.stg_transactions(stream_valid(s, sf))),
     # warehouse load
     "dedupe_by_key": _dedupe,

@@ -25,8 +25,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Constraint inference is exponential in the aliases over one parsed
-    # JSON struct (see quayside.plans.registry.prepare).
+    # The plans here state the filters they need; inferring more only
+    # costs planning time.
     "spark.sql.constraintPropagation.enabled": "false",
     # No web server.
     "spark.ui.enabled": "false",

@@ -167,6 +167,13 @@ def wire_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tx.select("event_id", "sent_at", "defect", F.col("customer_id").alias("key"), value.alias("value"))
 
 
+def dealt(messages: DataFrame) -> DataFrame:
+    """Messages over the partitions of a bus, as its readers find them: one task for each
+    partition, whatever files the messages were derived from. Dealt by the whole message, so no
+    customer fills a partition."""
+    return messages.repartition("key", "value")
+
+
 def redelivered(messages: DataFrame) -> DataFrame:
     """The second delivery of some messages (an at-least-once bus)."""
     mod, rem = REDELIVERY

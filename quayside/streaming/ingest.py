@@ -12,11 +12,12 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quayside.operators.parse import build_dlq_payload, parse_transactions, split_valid_invalid
-from quayside.sources.lake import write_dlq_batch, write_lake_batch
+from quayside.sources.lake import observed, write_dlq_batch, write_lake_batch
 
 DEFAULT_TRIGGER = "300 seconds"
 
@@ -62,22 +63,26 @@ def ingest_batch(
 ) -> dict[str, int]:
     """Process one parsed micro-batch (the ``foreachBatch`` body).
 
-    The batch is persisted so the source is read once although it feeds
-    the lake write, the emptiness check and the dead-letter write. The
+    Two writes at most: the lake write observes, on its way, whether any row
+    is invalid, and only then the dead letters are written. The batch is
+    persisted, so the second write finds it parsed. (That an invalid row
+    was seen is a maximum, which a task that runs again cannot change.) The
     error time is taken once per batch on the driver, so every task and
     every task retry stamps the same value.
     """
     key = f"{sink_id}-{batch_id}"
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        valid, invalid = split_valid_invalid(batch)
-        write_lake_batch(valid, lake_path, key, lake_format)
-        n_invalid = 0
-        if not invalid.isEmpty():
+        seen = Observation()
+        watched = batch.observe(seen, F.coalesce(F.max(F.col("dlq_reason").isNotNull().cast("int")), F.lit(0)).alias("has_invalid"))
+        leaves = write_lake_batch(split_valid_invalid(watched)[0], lake_path, key, lake_format)
+        invalid = split_valid_invalid(batch)[1]
+        found = observed(seen)
+        has_invalid = found["has_invalid"] if found else int(not invalid.isEmpty())
+        if has_invalid:
             now = clock() if clock else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
             write_dlq_batch(build_dlq_payload(invalid, now), key, dlq_path, dlq_kafka)
-            n_invalid = 1
-        return {"batch_id": batch_id, "has_invalid": n_invalid}
+        return {"batch_id": batch_id, "has_invalid": has_invalid, "leaves": len(leaves)}
     finally:
         batch.unpersist()
 

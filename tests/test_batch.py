@@ -74,7 +74,7 @@ def test_failing_gate_stops_before_marts(spark, scratch):
     paths = batch.Paths(lake=os.path.join(scratch, "lake"), warehouse=os.path.join(scratch, "wh"))
     _lake_from(spark, testdata.wire_messages(spark, SF_SMALL), paths.lake)  # has unparsable times
     with pytest.raises(quality.DataQualityError) as err:
-        batch.run_batch(spark, paths, NOW1)
+        batch.run_batch(spark, paths, NOW1, bad_rows="refuse")
     assert any(f[2] == "transaction_date" for f in err.value.failures)
     assert not os.path.exists(paths.mart("dim_customers"))
 
@@ -196,10 +196,84 @@ def test_refused_load_leaves_tables_as_they_were(spark, scratch):
     batch.run_batch(spark, paths, NOW1)
     _lake_batch(spark, testdata.wire_messages(spark, SF_SMALL).withColumn("value", F.replace("value", F.lit('"txn_'), F.lit('"bad_'))), paths.lake, "t-1")
     with pytest.raises(quality.DataQualityError):
-        batch.run_batch(spark, paths, NOW2)
+        batch.run_batch(spark, paths, NOW2, bad_rows="refuse")
     assert spark.read.parquet(paths.raw).count() == 1000
 
 
+def test_bad_rows_are_set_aside_and_later_batches_load(spark, scratch):
+    """One unparsable time keeps its own row out, nothing else; a corrected message of the id is taken."""
+    paths = batch.Paths(lake=os.path.join(scratch, "lake"), warehouse=os.path.join(scratch, "wh"))
+    tx = testdata.transactions(spark, SF_SMALL)
+    bad = tx.limit(3).withColumn("timestamp", F.lit("garbage"))
+    _lake_batch(spark, encode_events(tx.join(bad.select("transaction_id"), "transaction_id", "left_anti").unionByName(bad)), paths.lake, "t-0")
+    r = batch.run_batch(spark, paths, NOW1)
+    assert r.inserted == 1000 and "quarantined 3 rows" in r.stages
+    n = registry.stg(spark, SF_SMALL).count()
+    held = batch.quarantined(spark, paths)
+    assert [r.reasons for r in held.collect()] == [["not_null:transaction_date"]] * 3
+    ids = {r.transaction_id for r in held.collect()}
+    assert batch.read_staged(spark, paths).count() == n - 3
+    # the bad rows again, a clean batch, and the corrected rows
+    _lake_batch(spark, encode_events(bad), paths.lake, "t-1")
+    fresh = tx.filter("status = 'success'").limit(5).withColumn("transaction_id", F.concat(F.lit("new_"), "transaction_id"))
+    _lake_batch(spark, encode_events(fresh.unionByName(tx.filter(F.col("transaction_id").isin(ids)))), paths.lake, "t-2")
+    r = batch.run_batch(spark, paths, NOW2)
+    assert r.inserted == 5 and "mart tests passed" in r.stages and not any("quarantined" in x for x in r.stages)
+    assert batch.quarantined(spark, paths).count() == 3
+    assert batch.read_staged(spark, paths).count() == n + 5
+    full = registry.marts.dim_customers(batch.read_staged(spark, paths), NOW2).drop("loaded_at")
+    assert batch.read_mart(spark, paths, "dim_customers").select(full.columns).exceptAll(full).count() == 0
+
+
+def test_a_marked_batch_without_its_leaves_is_refused_and_the_others_load(spark, scratch):
+    import shutil
+
+    from quayside.sources.lake import IncompleteBatch
+
+    paths = batch.Paths(lake=os.path.join(scratch, "lake"), warehouse=os.path.join(scratch, "wh"))
+    tx = testdata.transactions(spark, SF_SMALL)
+    _lake_batch(spark, encode_events(tx.filter("transaction_id < 'txn_000000000500'")), paths.lake, "t-0")
+    whole = encode_events(tx.filter("transaction_id >= 'txn_000000000500'"))
+    _lake_batch(spark, whole, paths.lake, "t-1")
+    leaf = next(d for d, _, _ in os.walk(paths.lake) if d.endswith("batch_key=t-1") and "_complete" not in d)
+    shutil.move(leaf, os.path.join(scratch, "elsewhere"))
+    for _ in range(2):
+        with pytest.raises(IncompleteBatch, match="t-1"):
+            batch.run_batch(spark, paths, NOW1)
+        assert spark.read.parquet(paths.raw).count() == 500
+    _lake_batch(spark, whole, paths.lake, "t-1")  # published anew
+    assert batch.run_batch(spark, paths, NOW2).loaded
+    assert spark.read.parquet(paths.raw).count() == 1000
+
+
+def test_only_new_markers_of_very_many_are_taken(spark, scratch):
+    """Ten thousand markers, then three more: the second call gets the three, without a look at the lake's folders."""
+    from quayside.sources import lake
+
+    path, checkpoint = os.path.join(scratch, "lake"), os.path.join(scratch, "discovery")
+    first = spark.range(10_000).selectExpr("array('year=2024/month=1/day=1') as leaves", "1L as n_rows", "concat('s-', id) as batch_key")
+    # one file, as far as the stream is concerned a marker is a row
+    for part in range(10):
+        first.filter(f"pmod(hash(batch_key), 10) = {part}").coalesce(1).write.mode("append").parquet(lake.markers_path(path))
+    calls = []
+
+    def load(keys, folders):
+        calls.append((keys, folders))
+
+    real, lake.existing = lake.existing, lambda spark, paths: paths
+    try:
+        lake.each_new_batch(spark, path, checkpoint, load)
+        assert sum(len(k) for k, _ in calls) == 10_000
+        calls.clear()
+        lake.each_new_batch(spark, path, checkpoint, load)
+        assert calls == []
+        first.limit(3).withColumn("batch_key", F.concat(F.lit("new-"), "batch_key")).coalesce(1).write.mode("append").parquet(lake.markers_path(path))
+        lake.each_new_batch(spark, path, checkpoint, load)
+        assert [len(k) for k, _ in calls] == [3]
+    finally:
+        lake.existing = real
+
+
 def test_earlier_now_is_refused_before_any_write(spark, scratch):
     paths = batch.Paths(lake=os.path.join(scratch, "lake"), warehouse=os.path.join(scratch, "wh"))
     tx = testdata.transactions(spark, SF_SMALL)

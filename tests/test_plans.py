@@ -44,3 +44,13 @@ def test_contract_checks_are_one_global_aggregate(spark):
     # count of part rows (a scalar subquery over the table's row count)
     assert sum("SinglePartition" in line for line in exchanges) == 2, exchanges
     assert all("SinglePartition" in line for line in exchanges), exchanges
+
+
+@pytest.mark.parametrize("name", ["parse_transactions", "split_valid", "split_invalid", "stg_from_stream", "dlq_payload"])
+def test_each_message_is_parsed_once(spark, name):
+    """One parse of the message in the final plan; the dead-letter query reads its own envelopes back besides."""
+    from quayside.schema import EVENT_SCHEMA
+
+    plan = REGISTRY[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(StructField(" + EVENT_SCHEMA.fields[0].name) == 1
+    assert plan.count("from_json") == (2 if name == "dlq_payload" else 1)

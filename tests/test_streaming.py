@@ -118,3 +118,35 @@ def test_jobs_cli_ingest(spark, scratch):
     valid, invalid = split_valid_invalid(parse_transactions(msgs))
     assert read_lake(spark, lake).count() == valid.count()
     assert spark.read.parquet(dlq).count() == invalid.count()
+
+
+def test_the_input_of_a_batch_is_evaluated_once(spark, scratch):
+    """Lake write, marker and dead letters together read each message once."""
+    values = [r.value for r in testdata.wire_messages(spark, SF_SMALL).select("value").collect()]
+    read = spark.sparkContext.accumulator(0)
+
+    def count(row):
+        read.add(1)
+        return row
+
+    rows = spark.sparkContext.parallelize([(v,) for v in values], 3).map(count)
+    batch = parse_transactions(spark.createDataFrame(rows, "value string"))
+    done = ingest_batch(batch, 0, os.path.join(scratch, "lake"), "s", dlq_path=os.path.join(scratch, "dlq"))
+    assert read.value == len(values)
+    assert done["has_invalid"] == 1 and spark.read.parquet(os.path.join(scratch, "dlq")).count() > 0
+    marker = spark.read.parquet(os.path.join(scratch, "lake", "_complete")).first()
+    lake = read_lake(spark, os.path.join(scratch, "lake"))
+    assert marker.n_rows == lake.count() and len(marker.leaves) == done["leaves"]
+    days = lake.select(F.to_date("event_timestamp")).distinct().count()
+    assert len(marker.leaves) == days  # rows without a time are one leaf more where there are any
+
+
+def test_a_batch_without_valid_or_invalid_rows(spark, scratch):
+    clean = parse_transactions(spark.createDataFrame([('{"transaction_id": "t", "customer_id": "c", "amount": 1.0}',)], "value string"))
+    assert ingest_batch(clean, 0, os.path.join(scratch, "lake"), "s", dlq_path=os.path.join(scratch, "dlq")) == {"batch_id": 0, "has_invalid": 0, "leaves": 1}
+    assert not os.path.exists(os.path.join(scratch, "dlq"))
+    broken = parse_transactions(spark.createDataFrame([("{",), (None,)], "value string"))
+    done = ingest_batch(broken, 1, os.path.join(scratch, "lake"), "s", dlq_path=os.path.join(scratch, "dlq"))
+    assert done == {"batch_id": 1, "has_invalid": 1, "leaves": 0} and spark.read.parquet(os.path.join(scratch, "dlq")).count() == 2
+    empty = ingest_batch(broken.limit(0), 2, os.path.join(scratch, "lake"), "s", dlq_path=os.path.join(scratch, "dlq"))
+    assert empty == {"batch_id": 2, "has_invalid": 0, "leaves": 0}
