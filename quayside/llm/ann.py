@@ -6,9 +6,10 @@ centroid's list, and a boundary vector also to the next one within ``NEAR`` time
 that distance. A list that grows beyond ``LIST_ROWS`` (dense regions) is dealt into chunks.
 
 Search: a neighbour graph over the centroids, small enough for every task's memory,
-is walked best first from fixed entry points; it goes on while it finds centroids within ``RATIO``
-times the nearest distance, and those lists are the query's. Queries and lists meet by
-(list, chunk); each meeting keeps the best few by exact cosine, and the best of all meetings win.
+is walked best first from fixed entry points; it goes on while it finds centroids within a ratio of
+the nearest distance, and those lists are the query's. The ratio is set for the index at hand: for
+``CALIBRATE`` sampled vectors the exact neighbours within the sample are looked up, and the ratio is the least that reaches
+a list of ``RECALL`` of them. Queries and lists meet by (list, chunk); each meeting keeps the best few by exact cosine, and the best of all meetings win.
 
 Equal vectors are one entry holding the smallest ids (as many as an answer can use), so a vector that a third
 of all rows share is compared once.
@@ -35,7 +36,7 @@ K = 5
 SAMPLE_ROWS, SAMPLE_NUMBERS = 20_000, 4_000_000  # the smaller bounds the centroid sample
 LISTS = 4096  # at most; else the square root of the number of vectors, rounded up to a power of two
 NEAR, REPLICAS = 1.05, 2
-RATIO = 1.24  # measured over 51,282 nearly unclustered vectors: recall 0.92 at 1.22, 0.96 at 1.25, 0.98 at 1.28
+RECALL, CALIBRATE = 0.97, 512  # share of sampled vectors' neighbours that the distance ratio is to reach; vectors that set it
 DEGREE, ENTRIES, BEAM = 16, 8, 8
 LIST_ROWS = 4096
 ROUNDING = 1e-14  # a product of unit vectors rounds by less than this for each dimension
@@ -129,6 +130,29 @@ class CentroidGraph:
         return np.concatenate(rows), np.concatenate(nodes)
 
 
+def calibrated(x: np.ndarray, centroids: np.ndarray, k: int) -> float:
+    """The distance ratio that reaches ``RECALL`` of the ``k`` nearest of sampled unit vectors ``x`` among themselves."""
+    if len(x) < 2 or len(centroids) < 2:
+        return 1.0
+    pick = np.unique(np.linspace(0, len(x) - 1, min(CALIBRATE, len(x))).astype(np.int64))
+    likeness = x[pick] @ x.T
+    likeness[np.arange(len(pick)), pick] = -np.inf
+    k = min(k, len(x) - 1)
+    near = np.argpartition(-likeness, k - 1, axis=1)[:, :k]
+
+    def distances(rows: np.ndarray) -> np.ndarray:
+        return np.sqrt(np.maximum(0, 2 - 2 * x[rows] @ centroids.T))
+
+    own = distances(pick)
+    least = np.maximum(own.min(axis=1, keepdims=True), 1e-12)
+    need = []
+    for row, others in enumerate(near):
+        d = distances(others)
+        home = (d <= d.min(axis=1, keepdims=True) * NEAR) & (np.argsort(np.argsort(d, axis=1, kind="stable"), axis=1) < REPLICAS)
+        need.append(np.where(home, own[row] / least[row], np.inf).min(axis=1))
+    return float(np.quantile(np.concatenate(need), RECALL)) + 1e-9
+
+
 def _matrix(column: pa.ChunkedArray | pa.Array, dims: int) -> np.ndarray:
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
@@ -157,9 +181,10 @@ def _pieces(n: Column, cap: int) -> Column:
 
 
 def nearest(
-    vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = K, ratio: float = RATIO
+    vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = K, ratio: float | None = None
 ) -> DataFrame:
-    """(query_id, rank, key, score): for each row of ``queries`` its ``k`` nearest found among ``vectors`` by cosine."""
+    """(query_id, rank, key, score): for each row of ``queries`` its ``k`` nearest found among ``vectors`` by cosine.
+    ``ratio`` sets the distance ratio by hand."""
     spark = vectors.sparkSession
     rows = written(clean_vectors(vectors, key, vector), "vectors")
     kind = dict(rows.dtypes)["id"]
@@ -179,7 +204,10 @@ def nearest(
     bound = max(1, min(SAMPLE_ROWS, SAMPLE_NUMBERS // dims))
     taken = np.array([r.v for r in entries.orderBy("e").limit(bound).select("v").collect()], float)
     n_lists = int(min(LISTS, max(1, math.isqrt(total)), max(1, len(taken) // 2)))
-    centroids = spark.sparkContext.broadcast(fit_centroids(_unit(taken), n_lists))  # LISTS x dims numbers at most
+    sample = _unit(taken)
+    fitted = fit_centroids(sample, n_lists)
+    ratio = calibrated(sample, fitted, k) if ratio is None else ratio
+    centroids = spark.sparkContext.broadcast(fitted)  # LISTS x dims numbers at most
 
     def assign(most: int | None, within: float):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

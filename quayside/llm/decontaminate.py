@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quayside.llm.store import small_side, written
+from quayside.llm.store import shielded, small_side, written
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -144,6 +144,7 @@ def find_leaks(
     )
 
 
+@shielded
 def drop_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text holds no item. Copies share one verdict: the text's
     digest is the key, so rows need no id."""

@@ -22,6 +22,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quayside.llm.store import shielded
+
 KINDS = ("assign", "access", "hex", "entropy")
 ASSIGN = (
     r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?"""
@@ -44,6 +46,7 @@ ALLOW = (
     r"(?i)(0123456789|abcdefghij|1234567890abcdef)",
 )
 MASK = "[SECRET]"
+BLOCK = 128  # matches gathered at a time
 
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
 _LOG = "array(" + ",".join(f"{n * math.log2(n) if n else 0.0!r}D" for n in range(WINDOW + 1)) + ")"
@@ -54,17 +57,22 @@ def _quoted(pattern: str) -> str:
 
 
 def _found(text: str, pattern: str) -> str:
-    """SQL: the matches with their starts, from the pieces between them."""
+    """SQL: the matches with their starts, from the pieces between them. ``raw`` holds a match's bytes, whose n-th is found without
+    a walk. The matches are gathered in blocks, as a list is copied for each item or block that is added to it."""
     p = _quoted(pattern)
-    return f"""if(rlike({text}, {p}), aggregate(
-        zip_with(split({text}, {p}, -1), regexp_extract_all({text}, {p}, 0),
-                 (g, h) -> named_struct('gap', g, 'hit', h)),
-        named_struct('at', 0, 'out', cast(array() as array<struct<start:int,hit:string>>)),
+    none = "cast(array() as array<struct<start:int,hit:string,raw:binary>>)"
+    block = f"""aggregate(part, named_struct('at', s.at, 'out', {none}),
         (s, x) -> named_struct(
             'at', s.at + length(x.gap) + coalesce(length(x.hit), 0),
             'out', if(x.hit is null, s.out,
-                      array_append(s.out, named_struct('start', s.at + length(x.gap), 'hit', x.hit)))),
-        s -> s.out), cast(array() as array<struct<start:int,hit:string>>))"""
+                      array_append(s.out, named_struct('start', s.at + length(x.gap), 'hit', x.hit, 'raw', cast(x.hit as binary))))))"""
+    return f"""if(rlike({text}, {p}), element_at(transform(array(
+        zip_with(split({text}, {p}, -1), regexp_extract_all({text}, {p}, 0),
+                 (g, h) -> named_struct('gap', g, 'hit', h))), pieces ->
+        aggregate(transform(sequence(0, (size(pieces) - 1) div {BLOCK}), b -> slice(pieces, b * {BLOCK} + 1, {BLOCK})),
+        named_struct('at', 0, 'out', {none}),
+        (s, part) -> element_at(transform(array({block}), r -> named_struct('at', r.at, 'out', concat(s.out, r.out))), 1),
+        s -> s.out)), 1), {none})"""
 
 
 def _spans(text: str, pattern: str, kind: int, keep: str = "true") -> str:
@@ -76,11 +84,12 @@ def _entropy_spans(text: str) -> str:
     """SQL: for each allowed candidate the stretch from its first to its last flagged window."""
     w = WINDOW
     n_of = "(length({win}) - length(replace({win}, {c}, '')))"
-    leave, enter = "substr(m.hit, i - {w}, 1)".format(w=w), "substr(m.hit, i, 1)"
-    before = f"substr(m.hit, greatest(i - {w}, 1), least(i - 1, {w}))"
-    rest = f"substr(m.hit, greatest(i - {w} + 1, 1), least(i - 1, {w} - 1))"
+    part = "cast(substring(m.raw, {}, {}) as string)".format  # a candidate is ASCII
+    leave, enter = part(f"i - {w}", 1), part("i", 1)
+    before = part(f"greatest(i - {w}, 1)", f"least(i - 1, {w})")
+    rest = part(f"greatest(i - {w} + 1, 1)", f"least(i - 1, {w} - 1)")
     n_leave, n_enter = n_of.format(win=before, c=leave), n_of.format(win=rest, c=enter)
-    full = f"substr(m.hit, i - {w} + 1, {w})"
+    full = part(f"i - {w} + 1", w)
     s_new = (
         f"(s.sum + if(i > {w}, {_LOG}[{n_leave} - 1] - {_LOG}[{n_leave}], 0D)"
         f" + {_LOG}[{n_enter} + 1] - {_LOG}[{n_enter}])"
@@ -111,6 +120,7 @@ def base_spans(text: str) -> Column:
     return F.expr(f"cast(array_sort(concat({', '.join(parts)})) as {_SPAN})")
 
 
+@shielded
 def scan_secrets(docs: DataFrame, text: str = "text", out: str = "secret_spans") -> DataFrame:
     """``docs`` with the sorted spans of its ``text`` column: struct column ``out`` holding
     ``base`` and ``all``, each array<struct<start, kind, end>> (kind indexes ``KINDS``)."""
@@ -134,16 +144,17 @@ def spans_text(spans: str) -> Column:
     )
 
 
+@shielded
 def mask_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every found stretch of ``text`` replaced by ``MASK`` (overlapping spans
     as one). A null text stays null; rows without spans are unchanged."""
     found = scan_secrets(docs, text, "__spans")
+    # what stands between the spans, by character, so that no span is sought from the text's start
     masked = F.expr(
-        f"""if(size(__spans.all) = 0, `{text}`, aggregate(__spans.all,
-            named_struct('out', '', 'at', 0),
+        f"""if(size(__spans.all) = 0, `{text}`, element_at(transform(array(split(`{text}`, '')), chars -> aggregate(__spans.all,
+            named_struct('out', cast(array() as array<string>), 'at', 0),
             (s, x) -> if(x.start < s.at, named_struct('out', s.out, 'at', greatest(s.at, x.end)),
-                named_struct('out', concat(s.out, substr(`{text}`, s.at + 1, x.start - s.at), '{MASK}'),
-                             'at', x.end)),
-            s -> concat(s.out, substr(`{text}`, s.at + 1))))"""
+                named_struct('out', array_append(s.out, array_join(slice(chars, s.at + 1, x.start - s.at), '')), 'at', x.end)),
+            s -> array_join(array_append(s.out, array_join(slice(chars, s.at + 1, size(chars)), '')), '{MASK}'))), 1))"""
     )
     return found.withColumn(text, masked).drop("__spans")

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quayside.llm.components import components
-from quayside.llm.store import written
+from quayside.llm.store import shielded, written
 
 WORDS = 4
 DISTANCE = 4
@@ -228,6 +228,7 @@ def _grouped(prints: DataFrame, far: int) -> DataFrame:
     return prints.join(ids, "fp").select("__key", "fp", "root", "component_id")
 
 
+@shielded
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n_words: int = WORDS, far: int = DISTANCE) -> DataFrame:
     """One row of each component: the one whose id is the component's. Rows that repeat that id
     within the component give one row too (the first by all their values)."""

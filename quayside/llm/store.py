@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from functools import wraps
+from inspect import signature
 from pathlib import Path
 
 import pyarrow as pa
@@ -51,6 +54,27 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shielded(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """An operator that adds or replaces columns beside those of ``docs``, run with them under other names, so that none
+    meets a name which the operator uses inside. ``key`` and ``text`` name columns of ``docs``."""
+
+    @wraps(operator)
+    def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+        given = signature(operator).bind(docs, *args, **kwargs)
+        given.apply_defaults()
+        names = {f"column_{i}": c for i, c in enumerate(docs.columns)}
+        inside = {c: n for n, c in names.items()}
+        for use in ("key", "text"):
+            if use in given.arguments:
+                given.arguments[use] = inside[given.arguments[use]]
+        given.arguments["docs"] = docs.toDF(*names)
+        out = operator(*given.args, **given.kwargs)
+        added = [c for c in out.columns if c not in names]
+        return out.select(*[F.col(c).alias(names[c]) for c in out.columns if c in names and names[c] not in added], *added)
+
+    return run
+
+
 def file_system(path: str):
     """(file system, path in it) for tasks that write or read raw files, alike on the driver and in tasks."""
     from pyarrow import fs

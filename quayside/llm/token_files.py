@@ -27,6 +27,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -36,18 +37,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quayside.llm.store import small_side
+from quayside.llm.store import file_system, small_side
 from quayside.llm.tokens import encoder
 
 MANIFEST = "shard int, file string, n_docs long, n_ids long, width int, key_type string, least_key string, last_key string"
 GAMMA = 1.6
 BLOCK = 8 << 20
-
-
-def _fs(path: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+TASKS = 1 << 14  # that read at a time
 
 
 def _hashes(keys: list) -> np.ndarray:
@@ -87,17 +83,28 @@ class PerfectHash:
             h = h[~alone]
         return cls(levels, sizes)
 
+    @cached_property
+    def _before(self) -> list[np.ndarray]:
+        """For each byte of a level, the keys in the bits before it, earlier levels included: a rank is then one byte's work."""
+        out, base = [], 0
+        for packed in self.levels:
+            ends = np.cumsum(np.bitwise_count(packed), dtype=np.int64) + base
+            out.append(np.r_[base, ends[:-1]])
+            base = int(ends[-1])
+        return out
+
     def slots(self, h: np.ndarray) -> np.ndarray:
         """Each key's slot; -1 where no level has its bit (certainly absent)."""
-        out, base = np.full(len(h), -1, np.int64), 0
+        out = np.full(len(h), -1, np.int64)
         todo = np.arange(len(h))
-        for level, (packed, m) in enumerate(zip(self.levels, self.sizes, strict=True)):
-            bits = np.unpackbits(packed, count=m)
-            rank = np.cumsum(bits, dtype=np.int64)
+        for level, (packed, m, before) in enumerate(zip(self.levels, self.sizes, self._before, strict=True)):
+            if not len(todo):
+                break
             at = _place(h[todo], level, m)
-            hit = bits[at] == 1
-            out[todo[hit]] = base + rank[at[hit]] - 1
-            base += int(rank[-1])
+            byte = at >> 3
+            bits = packed[byte] >> (7 - (at & 7)).astype(np.uint8)  # the key's bit is the last, those before it follow
+            hit = bits & 1 == 1
+            out[todo[hit]] = before[byte[hit]] + np.bitwise_count(bits[hit]) - 1
             todo = todo[~hit]
         return out
 
@@ -130,7 +137,7 @@ class Shard:
     """Keyed access to one written shard."""
 
     def __init__(self, path: str, width: int) -> None:
-        self.fs, at = _fs(path)
+        self.fs, at = file_system(path)
         with self.fs.open_input_file(at + ".idx") as f:
             got = np.load(io.BytesIO(f.read()))
         self.perfect = PerfectHash([got[f"level{i}"] for i in range(len(got["sizes"]))], got["sizes"].tolist())
@@ -162,6 +169,7 @@ def write_token_files(
 ) -> DataFrame:
     """Write shards and manifest under ``path`` (a URI that all tasks reach); returns the manifest."""
     key_type = dict(docs.dtypes)[key]
+    file_system(path)  # a path that tasks cannot open ends here
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer)
@@ -177,7 +185,7 @@ def write_token_files(
                 part = batch.slice(at, 256)
                 kind = part.column("key").type
                 if out is None:
-                    store, folder = _fs(path)
+                    store, folder = file_system(path)
                     store.create_dir(folder, recursive=True)
                     where = f"{folder}/.{uuid.uuid4().hex}"
                     out = store.open_output_stream(where + ".bin")
@@ -252,7 +260,8 @@ def read_token_files(spark: SparkSession, path: str, key: str = "doc_id") -> Dat
                         )
                         at = stop
 
-    return shards.repartition("shard").mapInArrow(run, f"`{key}` {kind}, start long, n_tokens long, ids_crc32 long")
+    # a stated number of partitions, which nothing folds together: one task for each shard
+    return shards.repartition(min(max(manifest.count(), 1), TASKS)).mapInArrow(run, f"`{key}` {kind}, start long, n_tokens long, ids_crc32 long")
 
 
 def look_up(keys: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
@@ -269,12 +278,23 @@ def look_up(keys: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = name = None
         for batch in batches:
-            for own, file, width in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if file != name:
-                    shard, name = Shard(file, width), file
-                offset, count = shard.find([own])
-                if offset[0] >= 0:
-                    ids = shard.ids(int(offset[0]), int(count[0])).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array([own], batch.schema.field(0).type), pa.array([ids.tolist()], pa.list_(pa.int32()))], [key, "ids"])
-
-    return routed.repartition("file").sortWithinPartitions("file").mapInArrow(run, f"`{key}` {kind}, ids array<int>")
+            keys, files, widths = (c.to_pylist() for c in batch.columns)
+            at = 0
+            while at < len(keys):
+                # the batch's keys of one shard together
+                stop = at + 1
+                while stop < len(keys) and files[stop] == files[at]:
+                    stop += 1
+                if files[at] != name:
+                    shard, name = Shard(files[at], widths[at]), files[at]
+                offset, count = shard.find(keys[at:stop])
+                there = np.flatnonzero(offset >= 0)
+                with shard.fs.open_input_file(shard.data) as f:
+                    for some in np.array_split(there, len(there) // 1024 + 1):
+                        ids = [shard.ids(int(offset[i]), int(count[i]), f).astype(np.int32).tolist() for i in some]
+                        own = pa.array([keys[at + i] for i in some], batch.schema.field(0).type)
+                        yield pa.RecordBatch.from_arrays([own, pa.array(ids, pa.list_(pa.int32()))], [key, "ids"])
+                at = stop
+
+    tasks = min(max(manifest.count(), 1), TASKS)
+    return routed.repartition(tasks, "file").sortWithinPartitions("file").mapInArrow(run, f"`{key}` {kind}, ids array<int>")

@@ -95,6 +95,25 @@ def test_recall_of_the_query(sp):
         assert all(scores[i] == s for i, s in got[q] if i in scores)
 
 
+def test_the_ratio_is_set_for_the_index():
+    """More recall where neighbours are spread over more lists; tight clusters need hardly more than the nearest list."""
+    rng = np.random.default_rng(4)
+    spread = ann._unit(rng.normal(size=(2000, 16)))
+    tight = ann._unit(np.repeat(rng.normal(size=(40, 16)), 50, axis=0) + 0.01 * rng.normal(size=(2000, 16)))
+    ratios = {}
+    for name, x in (("spread", spread), ("tight", tight)):
+        c = ann.fit_centroids(x, 32)
+        ratios[name] = ann.calibrated(x, c, 5)
+        row, node = ann.CentroidGraph(c).lists(x[:300], ratios[name])
+        home = np.argmax(x @ c.T, axis=1)
+        near = np.argsort(-(x[:300] @ x.T), axis=1)[:, 1:6]
+        visited = np.zeros((300, len(c)), bool)
+        visited[row, node] = True
+        assert np.mean(visited[np.arange(300)[:, None], home[near]]) > 0.9
+    assert ratios["tight"] < ratios["spread"]
+    assert ann.calibrated(spread[:1], spread[:1], 5) == 1.0
+
+
 def test_many_tied_multiples_keep_the_smallest_ids(sp):
     rng = np.random.default_rng(3)
     one = rng.normal(size=8).astype(np.float32)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import time
 
 from quayside.llm import secret_scan as s
 
@@ -72,3 +73,34 @@ def test_extra_columns_and_empty_table(docs):
     got = s.scan_secrets(rows).collect()
     assert got[0].kind == "x" and got[0].secret_spans["all"][0].end == 14
     assert s.scan_secrets(rows.limit(0)).count() == 0
+
+
+def test_long_texts_take_time_in_proportion(docs):
+    """A run of a million characters and a text of 50,000 matches, masked too."""
+    rng = random.Random(9)
+    blob = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/") for _ in range(1_000_000))
+    many = "é token=abcdef12 " * 50_000
+    begin = time.monotonic()
+    got = {r.doc_id: r for r in s.scan_secrets(docs((1, "x " + blob), (2, many))).collect()}
+    spans = [x for x in got[1].secret_spans["all"] if x.kind == 3]
+    assert spans[0].start == 2 and spans[-1].end >= 999_000
+    assert [x.start for x in got[2].secret_spans["all"]] == [2 + 17 * i for i in range(50_000)]
+    masked = {r.doc_id: r.text for r in s.mask_secrets(docs((1, "x " + blob), (2, many))).collect()}
+    assert masked[2] == f"é {s.MASK} " * 50_000 and len(masked[1]) < 2_000
+    assert time.monotonic() - begin < 240
+
+
+def test_masks_meet_and_clashing_names_pass_through(docs):
+    text = f"ünï😀 password={KEY} token:{KEY}token={KEY}😀é"
+    rows = docs((1, text), (2, "clean")).selectExpr("*", "'a' as __spans", "'b' as __t", "'c' as __b", "'d' as __e", "'e' as column_1")
+    got = {r.doc_id: r for r in s.mask_secrets(rows).collect()}
+    full = brute(text)[1]
+    want, at = "", 0
+    for start, _, end in full:
+        if start >= at:
+            want += text[at:start] + s.MASK
+        at = max(at, end)
+    assert got[1].text == want + text[at:] and got[2].text == "clean"
+    assert (got[1]["__spans"], got[1]["__t"], got[1]["column_1"]) == ("a", "b", "e")
+    scanned = s.scan_secrets(rows)
+    assert scanned.columns == [*rows.columns, "secret_spans"] and scanned.count() == 2

@@ -43,6 +43,45 @@ def test_pieces_encode_as_whole_texts(name):
         tokens.MEMO = keep
 
 
+@pytest.mark.parametrize("name", [BYTE, WORD])
+def test_every_letter_before_every_mark(name):
+    """Words that end in any character below U+0250 (U+0130 lower-cases to two), then a mark."""
+    own, library = WordEncoder(tokenizer(name)), tokenizers.Tokenizer.from_file(tokenizer(name))
+    texts = [f"{a}{chr(c)}{m}{b}" for c in range(0x21, 0x250) for m in ".,;:!?" for a, b in (("Ab", ""), ("", "x"), ("ab ", m))]
+    texts += ["BAŞKENTİ.", "İ!", "İİ..", "x İ, y"]
+    for t, got in zip(texts, own.encode(texts), strict=True):
+        assert np.frombuffer(got, own.dtype).tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_a_lookup_does_not_grow_with_the_shard():
+    """Times of single lookups after the first, with 20,000 and with 2,000,000 keys."""
+    import time
+
+    took = {}
+    for n in (20_000, 2_000_000):
+        h = np.random.default_rng(1).integers(0, 1 << 63, (n, 2)).astype(np.uint64)
+        perfect = token_files.PerfectHash.build(h)
+        assert sorted(perfect.slots(h).tolist()) == list(range(n))
+        begin = time.perf_counter()
+        for i in range(300):
+            perfect.slots(h[i : i + 1])
+        took[n] = time.perf_counter() - begin
+    assert took[2_000_000] < 5 * took[20_000]
+
+
+def test_reading_back_is_one_task_a_shard(sp, docs):
+    path = fresh_path(sp, "test-files")
+    rows = docs(*[(i, f"word {i} " * 30) for i in range(400)]).repartition(6)
+    sp.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        shards = token_files.write_token_files(rows, tokenizer(WORD), 2, path).count()
+    finally:
+        sp.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert shards > 1
+    back = token_files.read_token_files(sp, path)
+    assert back.rdd.getNumPartitions() == shards and back.count() == 400
+
+
 def expected_counts(texts):
     library = tokenizers.Tokenizer.from_file(tokenizer(BYTE))
     return [(len((t or "").encode()), len(library.encode(t or "", add_special_tokens=False).ids)) for t in texts]
