@@ -301,10 +301,10 @@ dim AS (
 )
 
 # Snapshot runs: load times and what each run sees (FIXTURES.md section 5).
-CUTS = ["TIMESTAMP '2024-01-10 00:00:00'", "TIMESTAMP '2024-01-20 00:00:00'", "TIMESTAMP '2024-01-31 00:00:00'"]
+CUTS = [f"TIMESTAMP '{day} 00:00:00'" for day in ("2024-01-10", "2024-01-20", "2024-01-31", "2024-02-01")]
 SEEN_LATER = f"""customer_country >= 'NATION_1' AND ((customer_country < 'NATION_2' AND event_timestamp < {CUTS[0]})
     OR (customer_country >= 'NATION_2' AND event_timestamp < {CUTS[1]}))"""
-SEEN = [f"customer_country < 'NATION_3' AND event_timestamp < {CUTS[0]}", SEEN_LATER, SEEN_LATER]
+SEEN = [f"customer_country < 'NATION_3' AND event_timestamp < {CUTS[0]}", SEEN_LATER, SEEN_LATER, "TRUE"]
 SNAP = ",".join(
     [RAW, stg_cte("stg", "raw")]
     + [dim_cte(f"d{i + 1}", "stg", now=cut, where=seen) for i, (cut, seen) in enumerate(zip(CUTS, SEEN))]
@@ -322,36 +322,61 @@ def _changed(new: str, old: str) -> str:
     return f"({old}.customer_id IS NULL OR NOT ({same}))"
 
 
+HISTORY_OUT = """
+SELECT customer_id, customer_name, customer_email, customer_country, total_transactions,
+  CAST(total_spend AS DOUBLE) AS total_spend, CAST(avg_transaction_value AS DOUBLE) AS avg_transaction_value,
+  active_days, first_seen_at, last_seen_at, categories_purchased, failed_transactions,
+  failure_rate_pct, customer_segment, loaded_at,
+  md5(customer_id || '|' || strftime(now_ts, '%Y-%m-%d %H:%M:%S.%f')) AS scd_id,
+  now_ts AS valid_from,
+  lead(now_ts) OVER (PARTITION BY customer_id ORDER BY run) AS valid_to
+FROM versions"""
+
+# A customer that a run does not see keeps its open version: the last run compares with the last version seen.
+LAST_SEEN = """
+, seen AS (SELECT * FROM d3 UNION ALL SELECT d1.* FROM d1 LEFT JOIN d3 ON d1.customer_id = d3.customer_id WHERE d3.customer_id IS NULL)"""
+
 SCD2_HISTORY = w(
     SNAP,
     f"""
+{LAST_SEEN}
 , versions AS (
   SELECT 1 AS run, {CUTS[0]} AS now_ts, d1.* FROM d1
   UNION ALL
   SELECT 2, {CUTS[1]}, d2.* FROM d2 LEFT JOIN d1 ON d2.customer_id = d1.customer_id WHERE {_changed("d2", "d1")}
   UNION ALL
   SELECT 3, {CUTS[2]}, d3.* FROM d3 LEFT JOIN d2 ON d3.customer_id = d2.customer_id WHERE {_changed("d3", "d2")}
+  UNION ALL
+  SELECT 4, {CUTS[3]}, d4.* FROM d4 LEFT JOIN seen ON d4.customer_id = seen.customer_id WHERE {_changed("d4", "seen")}
 )
-SELECT customer_id, customer_name, customer_email, customer_country, total_transactions,
-  CAST(total_spend AS DOUBLE) AS total_spend, CAST(avg_transaction_value AS DOUBLE) AS avg_transaction_value,
-  active_days, first_seen_at, last_seen_at, categories_purchased, failed_transactions,
-  failure_rate_pct, customer_segment, loaded_at,
-  md5(customer_id || '|' || strftime(now_ts, '%Y-%m-%d %H:%M:%S.%f')) AS scd_id,
-  now_ts AS valid_from,
-  lead(now_ts) OVER (PARTITION BY customer_id ORDER BY run) AS valid_to
-FROM versions""",
+{HISTORY_OUT}""",
 )
 
-SCD2_CHANGES = w(
-    SNAP,
+BATCH_CUT = "TIMESTAMP '2024-01-16 00:00:00'"
+BATCH_HISTORY = w(
+    ",".join([RAW, stg_cte("stg", "raw"), dim_cte("d1", "stg", now=BATCH_CUT, where=f"event_timestamp < {BATCH_CUT}"), dim_cte("d2", "stg")]),
     f"""
-SELECT coalesce(d2.customer_id, d1.customer_id) AS customer_id,
-  CASE WHEN d1.customer_id IS NULL THEN 'insert'
-       WHEN d2.customer_id IS NULL THEN 'absent'
-       WHEN {_changed("d2", "d1")} THEN 'change'
-       ELSE 'same' END AS change_type
-FROM d1 FULL OUTER JOIN d2 ON d1.customer_id = d2.customer_id""",
+, versions AS (
+  SELECT 1 AS run, {BATCH_CUT} AS now_ts, d1.* FROM d1
+  UNION ALL
+  SELECT 2, {NOW}, d2.* FROM d2 LEFT JOIN d1 ON d2.customer_id = d1.customer_id WHERE {_changed("d2", "d1")}
 )
+{HISTORY_OUT}""",
+)
+
+
+def _change_types(new: str, old: str, run: int) -> str:
+    return f"""
+SELECT coalesce({new}.customer_id, {old}.customer_id) AS customer_id,
+  CASE WHEN {old}.customer_id IS NULL THEN 'insert'
+       WHEN {new}.customer_id IS NULL THEN 'absent'
+       WHEN {_changed(new, old)} THEN 'change'
+       ELSE 'same' END AS change_type,
+  {run} AS run
+FROM {old} FULL OUTER JOIN {new} ON {old}.customer_id = {new}.customer_id"""
+
+
+SCD2_CHANGES = w(SNAP, f"{LAST_SEEN}{_change_types('d2', 'd1', 2)} UNION ALL {_change_types('d4', 'seen', 4)}")
 
 CONTRACT = w(
     STREAM,
@@ -676,6 +701,8 @@ FROM parsed WHERE dlq_reason IS NOT NULL""",
         RAW,
         f"SELECT {EVENT_COLS}, event_ts AS event_timestamp, CAST(hour(event_ts) AS INTEGER) AS hour FROM raw WHERE amount > 0",
     ),
+    "batch_history": BATCH_HISTORY,
+    "ingest_stream": w(STREAM, f"SELECT {EVENT_COLS}, event_ts AS event_timestamp, hour FROM valid"),
     "stg_from_stream": w(STREAM + "," + stg_cte("s", "valid"), STG_OUT.format(src="s")),
     "dedupe_by_key": w(STREAM, f"SELECT {LAKE_COLS} FROM valid"),
     "insert_if_absent": w(STREAM, f"SELECT {LAKE_COLS} FROM valid"),

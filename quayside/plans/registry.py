@@ -21,21 +21,22 @@ from quayside.plans import queries as Q
 from quayside.schema import EVENT_FIELDS
 from quayside.session import materialize, scratch_path
 from quayside.sources import lake, testdata
+from quayside.streaming import ingest
 
 # Fixed run parameters of the checks: the last event date, the load time
-# stamped on mart rows, a day without data, and three snapshot runs.
+# stamped on mart rows, a day without data, and four snapshot runs.
 AS_OF = dt.date(2024, 1, 30)
 NOW = dt.datetime(2024, 1, 31, 0, 0, 0)
 EMPTY_DAY = dt.date(2024, 2, 29)
-SNAPSHOT_RUNS = [dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 20), dt.datetime(2024, 1, 31)]
-# What the three runs see (FIXTURES.md section 5): later countries join in run 2, one leaves,
-# and the feed of some countries stands still; run 3 sees what run 2 saw.
+SNAPSHOT_RUNS = [dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 20), dt.datetime(2024, 1, 31), dt.datetime(2024, 2, 1)]
+# What the runs see (FIXTURES.md section 5): later countries join in run 2, one leaves,
+# and the feed of some countries stands still; run 3 sees what run 2 saw, and the last run all events.
 _SEEN_FIRST = "customer_country < 'NATION_3' AND event_timestamp < TIMESTAMP '2024-01-10 00:00:00'"
 _SEEN_LATER = (
     "customer_country >= 'NATION_1' AND event_timestamp < CASE WHEN customer_country < 'NATION_2' "
     "THEN TIMESTAMP '2024-01-10 00:00:00' ELSE TIMESTAMP '2024-01-20 00:00:00' END"
 )
-SNAPSHOT_INPUTS = [_SEEN_FIRST, _SEEN_LATER, _SEEN_LATER]
+SNAPSHOT_INPUTS = [_SEEN_FIRST, _SEEN_LATER, _SEEN_LATER, "true"]
 SNAPSHOT_CHECK_COLS = ["customer_segment", "total_spend", "total_transactions", "failure_rate_pct"]
 # Second load of the two-load merge scenario: messages sent from this time.
 SECOND_LOAD_FROM = dt.datetime(2024, 1, 16)
@@ -82,11 +83,19 @@ def dim(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fct(spark: SparkSession, sf: str) -> DataFrame:
-    return layers(stg(spark, sf))["fct_transactions"]
+    """The enriched fact. The dimension is written first, as the batch pipeline does: both sides of the
+    join are then plain shuffles, and a customer with a large share of the rows is split over tasks."""
+    rows = stg(spark, sf)
+    return marts.fct_transactions(rows, materialize(marts.dim_customers(rows, NOW), "dim"), NOW)
+
+
+def flagged(spark: SparkSession, sf: str) -> DataFrame:
+    """The fact's rows for queries that read no column of the customer: no dimension, no join."""
+    return marts.with_amount_flag(stg(spark, sf))
 
 
 def daily(spark: SparkSession, sf: str) -> DataFrame:
-    return layers(stg(spark, sf))["fct_daily_revenue"]
+    return marts.fct_daily_revenue(flagged(spark, sf), NOW)
 
 
 def parsed(spark: SparkSession, sf: str) -> DataFrame:
@@ -144,8 +153,8 @@ def _dlq_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return back.select("error_reason", "error_timestamp", F.get_json_object("raw_value", "$.transaction_id").alias("raw_transaction_id"))
 
 
-def _batch_two_loads(spark: SparkSession, sf: str) -> DataFrame:
-    """Two lake batches, the second with redelivered copies, each loaded by a batch run: the raw table."""
+def _batch_loads(spark: SparkSession, sf: str) -> batch.Paths:
+    """Two lake batches, the second with redelivered copies, each loaded by a batch run."""
     folder = _folder(spark, "batch")
     paths = batch.Paths(lake=f"{folder}/lake", warehouse=f"{folder}/warehouse")
     events = testdata.transactions(spark, sf, with_event_id=True)
@@ -155,7 +164,29 @@ def _batch_two_loads(spark: SparkSession, sf: str) -> DataFrame:
         messages = testdata.dealt(parse.encode_events(rows.drop("event_id", "sent_at")))
         lake.write_lake_batch(parse.split_valid_invalid(parse.parse_transactions(messages))[0], paths.lake, key)
         batch.run_batch(spark, paths, now)
-    return spark.read.parquet(paths.raw).select(*EVENT_FIELDS, "event_timestamp", "hour")
+    return paths
+
+
+def _batch_two_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw table after both runs."""
+    return spark.read.parquet(_batch_loads(spark, sf).raw).select(*EVENT_FIELDS, "event_timestamp", "hour")
+
+
+def _batch_history(spark: SparkSession, sf: str) -> DataFrame:
+    """The customers' history after both runs: the end of the chain from lake over staging, day groups and dimension to snapshot."""
+    return batch.snapshot_history(spark, _batch_loads(spark, sf))[0]
+
+
+def _ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The messages as files, read by the ingest stream until none is left: the lake it wrote."""
+    folder = _folder(spark, "ingest")
+    testdata.dealt(testdata.wire_messages(spark, sf)).select("key", "value").write.parquet(f"{folder}/bus")
+    messages = ingest.message_stream(spark, "parquet", f"{folder}/bus")
+    query = ingest.run_ingest(
+        spark, messages, f"{folder}/lake", f"{folder}/checkpoint", "registered", dlq_path=f"{folder}/dlq", trigger={"availableNow": True}
+    )
+    query.awaitTermination()
+    return lake.read_lake(spark, f"{folder}/lake").select(*EVENT_FIELDS, "event_timestamp", "hour")
 
 
 def _contract_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -196,9 +227,14 @@ def _scd2_history(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _scd2_changes(spark: SparkSession, sf: str) -> DataFrame:
-    (now1, d1), (_, d2), _ = _snapshot_dims(spark, sf)
-    history = snapshot.snapshot_scd2(None, d1, "customer_id", SNAPSHOT_CHECK_COLS, now1)
-    return snapshot.snapshot_changes(history, d2, "customer_id", SNAPSHOT_CHECK_COLS)
+    """The change types of the second run, which sees other customers, and of the last one, which sees all events."""
+    history, changes = None, []
+    for run, (now, current) in enumerate(_snapshot_dims(spark, sf), 1):
+        if run in (2, len(SNAPSHOT_RUNS)):
+            found = snapshot.snapshot_changes(history, current, "customer_id", SNAPSHOT_CHECK_COLS)
+            changes.append(found.withColumn("run", F.lit(run)))
+        history = materialize(snapshot.snapshot_scd2(history, current, "customer_id", SNAPSHOT_CHECK_COLS, now), "history")
+    return changes[0].unionByName(changes[1])
 
 
 def _dq_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -247,14 +283,14 @@ _QUERIES: dict[str, Query] = {
     "fct_transactions": lambda s, sf: present(fct(s, sf)),
     "fct_daily_revenue": lambda s, sf: present(daily(s, sf)),
     # analytics queries
-    "q1_revenue_today": lambda s, sf: present(Q.q1_revenue_today(fct(s, sf), AS_OF)),
-    "q2_category_7d": lambda s, sf: present(Q.q2_category_7d(fct(s, sf), AS_OF)),
+    "q1_revenue_today": lambda s, sf: present(Q.q1_revenue_today(flagged(s, sf), AS_OF)),
+    "q2_category_7d": lambda s, sf: present(Q.q2_category_7d(flagged(s, sf), AS_OF)),
     "q3_top_customers": lambda s, sf: present(Q.q3_top_customers(dim(s, sf))),
-    "q4_hourly_today": lambda s, sf: present(Q.q4_hourly_today(fct(s, sf), AS_OF)),
-    "q5_failure_by_payment_30d": lambda s, sf: present(Q.q5_failure_by_payment_30d(fct(s, sf), AS_OF)),
+    "q4_hourly_today": lambda s, sf: present(Q.q4_hourly_today(flagged(s, sf), AS_OF)),
+    "q5_failure_by_payment_30d": lambda s, sf: present(Q.q5_failure_by_payment_30d(flagged(s, sf), AS_OF)),
     "q6_flagged": lambda s, sf: present(Q.q6_flagged(fct(s, sf))),
     "q7_segments": lambda s, sf: present(Q.q7_segments(dim(s, sf))),
-    "q8_daily_trend_30d": lambda s, sf: present(Q.q8_daily_trend_30d(fct(s, sf), AS_OF)),
+    "q8_daily_trend_30d": lambda s, sf: present(Q.q8_daily_trend_30d(flagged(s, sf), AS_OF)),
     # dashboard queries
     "d1_kpis_today": lambda s, sf: present(Q.d1_kpis_today(daily(s, sf), AS_OF)),
     "d1_kpis_empty_day": lambda s, sf: present(Q.d1_kpis_today(daily(s, sf), EMPTY_DAY)),
@@ -262,7 +298,7 @@ _QUERIES: dict[str, Query] = {
     "d2b_daily_total": lambda s, sf: present(Q.d2b_daily_total(Q.d2_revenue_trend(daily(s, sf), AS_OF, 30))),
     "d3_category_breakdown": lambda s, sf: present(Q.d3_category_breakdown(daily(s, sf), AS_OF, 30)),
     "d4_top_customers": lambda s, sf: present(Q.d4_top_customers(dim(s, sf))),
-    "d5_payment_failure": lambda s, sf: present(Q.d5_payment_failure(fct(s, sf), AS_OF)),
+    "d5_payment_failure": lambda s, sf: present(Q.d5_payment_failure(flagged(s, sf), AS_OF)),
     "d6_segments": lambda s, sf: present(Q.d6_segments(dim(s, sf))),
     # stream operators
     "encode_roundtrip": _encode_roundtrip,
@@ -274,6 +310,8 @@ _QUERIES: dict[str, Query] = {
     "lake_roundtrip": _lake_roundtrip,
     "dlq_roundtrip": _dlq_roundtrip,
     "batch_two_loads": _batch_two_loads,
+    "batch_history": lambda s, sf: present(_batch_history(s, sf)),
+    "ingest_stream": _ingest_stream,
     "contract_violations": lambda s, sf: contract.contract_violations(parse.parse_transactions(testdata.wire_messages(s, sf))),
     "stg_from_stream": lambda s, sf: present(staging.stg_transactions(stream_valid(s, sf))),
     # warehouse load

@@ -77,3 +77,14 @@ def test_dimension_aggregates_combine_map_side(spark, skew_conf):
     for i, line in enumerate(lines):
         if "Exchange hashpartitioning(customer_id" in line and "RoundRobin" not in line:
             assert "Aggregate" in lines[i + 1], lines[i : i + 2]
+
+
+def test_hot_customer_in_the_registered_plan(spark, skew_conf, monkeypatch):
+    """The registered fact splits the hot customer's partition too."""
+    registry.prepare(spark)
+    monkeypatch.setattr(registry, "stg", lambda spark, sf: _hot_stg(spark))
+    fct = registry.fct(spark, SF_CHECK)
+    n = len(fct.collect())
+    plan = fct._jdf.queryExecution().executedPlan().toString()
+    assert "skewed=true" in plan or "isSkewJoin=true" in plan or "true" in plan.split("SortMergeJoin", 1)[1].split("\n", 1)[0]
+    assert n == _hot_stg(spark).count()
