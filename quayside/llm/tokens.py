@@ -69,8 +69,8 @@ class WordEncoder:
             word = p[0] if first else p
             core = word.rstrip(_MARKS)
             whole = core == word and not (self.one_case and word.isascii() and not word.islower())
-            # a letter whose lower case is a letter and a combining mark would take the marks to itself
-            if not whole and core and core[-1] < "\u0250" and core[-1].isalpha() and len(core[-1].lower()) == 1 and "<|" not in core:
+            # U+0130, whose lower case is a letter and a combining mark, takes the marks to itself
+            if not whole and core and core[-1] < "\u0250" and core[-1] != "\u0130" and core[-1].isalpha() and "<|" not in core:
                 rest = word[len(core) :]
                 tail = (rest,) if self.lead else rest  # said without a space before it
                 if self.one_case and core.isascii():
