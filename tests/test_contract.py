@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import messages
+from conftest import carrying
 from test_parse import EVENT
 
 from quayside.operators.contract import contract_violation_rows, contract_violations
@@ -10,7 +10,7 @@ from quayside.operators.parse import parse_transactions
 
 
 def test_good_event_breaks_nothing(spark):
-    rows = contract_violation_rows(parse_transactions(messages(spark, EVENT))).collect()
+    rows = contract_violation_rows(parse_transactions(carrying(spark, EVENT))).collect()
     assert rows == []
 
 
@@ -28,7 +28,7 @@ def test_each_rule_fires(spark):
         "timestamp": "yesterday",
         "extra": 1,
     }
-    got = {(r["field"], r["rule"]) for r in contract_violation_rows(parse_transactions(messages(spark, bad))).collect()}
+    got = {(r["field"], r["rule"]) for r in contract_violation_rows(parse_transactions(carrying(spark, bad))).collect()}
     assert got == {
         ("transaction_id", "pattern"),
         ("customer_country", "pattern"),
@@ -44,7 +44,7 @@ def test_each_rule_fires(spark):
 
 
 def test_summary_lists_every_rule(spark):
-    out = contract_violations(parse_transactions(messages(spark, EVENT, "oops"))).collect()
+    out = contract_violations(parse_transactions(carrying(spark, EVENT, "oops"))).collect()
     counts = {(r["field"], r["rule"]): r["violations"] for r in out}
     assert len(counts) == 34
     assert counts[("$", "type_object")] == 1

@@ -9,7 +9,7 @@ import math
 
 import pyarrow.parquet as pq
 import pytest
-from conftest import SF_SMALL, messages
+from conftest import SF_SMALL, carrying
 from pyspark.sql import functions as F
 
 from quayside.operators.parse import (
@@ -39,7 +39,7 @@ EVENT = _some_event()
 
 
 def parse_one(spark, payload):
-    return parse_transactions(messages(spark, payload)).collect()[0]
+    return parse_transactions(carrying(spark, payload)).collect()[0]
 
 
 def test_every_given_event_survives_the_wire(spark):
@@ -115,7 +115,7 @@ def test_key_edge_cases(spark):
     assert parse_one(spark, wrong_case)["dlq_reason"] == "missing_transaction_id"
     dup = '{"transaction_id": "a", "transaction_id": "b", "amount": 5}'
     assert parse_one(spark, dup)["transaction_id"] == "b"
-    extra = parse_transactions(messages(spark, {**EVENT, "extra": 1}))
+    extra = parse_transactions(carrying(spark, {**EVENT, "extra": 1}))
     assert "extra" not in extra.columns
 
 
