@@ -23,7 +23,8 @@ left and LENGTH - l to the right. Partners that match enough to the right stand
 order, so a record looks outward until the right match is too short; what it has found then is all there is. Only a record with
 more than ``REACH`` such partners on a side stays open (a passage that very many texts share): its group is also sorted by left text and
 looked at the same way. The greatest right and left matches bound what is possible; windows that
-are possible but proved by no partner looked at are themselves merge-sorted in a third round.
+are possible but proved by no partner looked at are decided in a third round, by counts instead of order: the windows of a
+record are taken in bands, records meet by what all windows of a band share, and bands narrow only where texts differ.
 
 Defined results: null texts count as empty; texts shorter than ``LENGTH`` keep all bytes. Texts are
 whole UTF-8 bytes and matches never cross documents. Repeated rows are documents of their own, so each
@@ -35,7 +36,7 @@ from __future__ import annotations
 import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import groupby
 from operator import itemgetter
 from zlib import crc32
@@ -57,6 +58,7 @@ SEEN = 200_000
 SPLIT_SAMPLE = 16  # sampled records for each range
 PROVED_ROWS = 5_000  # proved records passed on in one row
 REACH = 24  # neighbours looked at on each side
+BANDS = (64, 16, 4, 1)  # windows of a band, round by round
 
 _B = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
@@ -367,7 +369,7 @@ def neighbours(records: DataFrame, key: str, other: str, widest: int = LENGTH, l
 
     return (
         rows.mapInArrow(to_runs, _SEGMENT)
-        .repartition("dest")
+        .repartitionById(ranges, F.col("dest"))  # a task for each range, not merged by size
         .sortWithinPartitions("dest")
         .mapInArrow(merged, _LOOKED)
     )
@@ -445,22 +447,47 @@ def _gaps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["digest", "a", "p1", "lo", "hi"])
 
 
-def _windows(records: DataFrame) -> DataFrame:
-    """Each window from ``lo`` to ``hi`` of a record as a record of its own."""
-    fields = ["digest", *_MARKS, "key", "other"]
+def _stretches(records: DataFrame) -> DataFrame:
+    """(gap, want_lo, want_hi, lo, hi, text): of each record the text under its windows from ``lo`` to ``hi``. The anchor
+    stands ``hi`` bytes into it."""
+    fields = [("gap", pa.int64()), ("want_lo", pa.int64()), ("want_hi", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()), ("text", pa.binary())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            out = []
             for row in batch.to_pylist():
-                text = row["left"][::-1] + row["right"]
-                out = [
-                    (row["digest"], row["a"], row["a"] - n, n, n, text[len(row["left"]) - n :][:LENGTH], b"")
-                    for n in range(max(row["lo"], row["l1"]), min(row["hi"], row["l2"]) + 1)
-                ]
-                kinds = [pa.binary(), *[pa.int32()] * 4, pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], fields)
-
-    return records.mapInArrow(run, "digest binary, a int, p1 int, l1 int, l2 int, key binary, other binary")
+                lo, hi = max(row["lo"], row["l1"]), min(row["hi"], row["l2"])
+                if lo <= hi:
+                    out.append((row["gap"], row["want_lo"], row["want_hi"], lo, hi, row["left"][:hi][::-1] + row["right"][: LENGTH - lo]))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, (_, t) in enumerate(fields)], [n for n, _ in fields])
+
+    return records.mapInArrow(run, "gap long, want_lo long, want_hi long, lo long, hi long, text binary")
+
+
+def _banded(rows: DataFrame) -> Iterator[DataFrame]:
+    """(gap, lo, hi): stretches of the open records' windows that stand in another record of ``rows`` too. All windows of a
+    band share a core; records without a partner for it are done, and so are those whose whole text under the band is
+    another's. What is left goes on in narrower bands, one row for each text; a band of one window decides."""
+    for width in BANDS:
+        top = f"least(band + {width - 1}, {LENGTH - GRAM})"
+        cut = written(
+            rows.selectExpr("*", f"explode(sequence(lo - lo % {width}, hi, {width}L)) as band")
+            .selectExpr("gap", "want_lo", "want_hi", "hi as whole", "text", "band", "greatest(lo, band) as lo", f"least(hi, {top}) as hi")
+            .withColumn("text", F.expr(f"substring(text, int(whole - hi + 1), int(hi + {LENGTH} - lo))"))
+            .selectExpr(
+                "if(want_lo <= hi and want_hi >= lo, gap, null) as gap", "want_lo", "want_hi", "lo", "hi", "text", "band",
+                f"unhex(sha2(substring(text, int(hi - band + 1), int(band + {LENGTH} - {top})), 256)) as core",
+            ),
+            "bands",
+        )
+        same = ["band", "core", "lo", "hi", "text"]
+        # an only record's marks are its own; those of several are not used
+        once = [F.max(c).alias(c) for c in ("gap", "want_lo", "want_hi")]
+        texts = written(cut.groupBy(*same).agg(F.count("*").alias("n"), *once), "band-texts")
+        yield cut.filter("gap is not null").join(texts.filter("n > 1").select(*same), same, "left_semi").select("gap", "lo", "hi")
+        texts = texts.withColumn("gap", F.expr("if(n = 1, gap, null)"))
+        open_cores = texts.groupBy("band", "core").agg(F.count("*").alias("texts"), F.count("gap").alias("gaps")).filter("texts > 1 and gaps > 0")
+        rows = texts.join(open_cores.select("band", "core"), ["band", "core"], "left_semi").select("gap", "want_lo", "want_hi", "lo", "hi", "text")
 
 
 def repeated_windows(texts: DataFrame) -> DataFrame:
@@ -512,10 +539,14 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
     )
     if gaps.isEmpty():
         return covered
-    wanted = gaps.join(group.select(*place, "h"), place).groupBy("h").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    windows = written(_windows(group.join(wanted, "h")), "windows")
-    third = neighbours(windows, "key", "other", 0).filter(F.col("best") >= LENGTH)
-    return covered.union(third.selectExpr("digest", "p1 as start", f"p1 + {LENGTH} as stop"))
+    opened = written(
+        gaps.groupBy(*place).agg(F.min("lo").alias("want_lo"), F.max("hi").alias("want_hi")).withColumn("gap", F.monotonically_increasing_id()),
+        "open-records",
+    )
+    wanted = opened.join(group.select(*place, "h"), place).groupBy("h").agg(F.min("want_lo").alias("lo"), F.max("want_hi").alias("hi"))
+    stretches = _stretches(group.join(wanted, "h").join(opened, place, "left"))
+    third = reduce(DataFrame.union, _banded(stretches)).join(opened.select("gap", "digest", "a"), "gap")
+    return covered.union(third.selectExpr("digest", "a - hi as start", f"a - lo + {LENGTH} as stop"))
 
 
 def _covered(proofs: DataFrame, right: str, left: str) -> DataFrame:

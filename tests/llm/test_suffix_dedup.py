@@ -166,3 +166,25 @@ def test_a_hot_record_is_merged_once_a_run(sp, monkeypatch):
             assert r.best >= 450 and (not r.settled or max(p.o for p in r.pairs) == 60)
         else:
             assert not r.pairs
+
+
+def test_third_round_grows_with_its_records(docs, monkeypatch):
+    """Near copies of one passage, all left open: rows of a band follow the records, not records times windows."""
+    real, held = s.written, {}
+
+    def noted(frame, name):
+        held.setdefault(name, []).append(real(frame, name))
+        return held[name][-1]
+
+    gaps = s._gaps
+    monkeypatch.setattr(s, "REACH", 1)
+    monkeypatch.setattr(s, "written", noted)
+    monkeypatch.setattr(s, "_gaps", lambda batches: gaps(b.assign(proofs=[[]] * len(b)) for b in batches))
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    left, right = word(300), word(380)
+    texts = [word(50) + left[-rng.randrange(40, 300) :] + right[: rng.randrange(150, 380)] + word(50) for _ in range(150)]
+    assert digest(s.remove_repeats(docs(*enumerate(texts)))) == dict(enumerate(brute(texts)))
+    records = held["open-groups"][0].count()
+    assert held["open-records"][0].count() > 50 and len(held["bands"]) == len(s.BANDS)
+    assert max(b.count() for b in held["bands"]) <= 6 * records
