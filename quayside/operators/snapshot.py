@@ -4,6 +4,10 @@ Rules: a new key opens a version; a key whose check columns changed (null
 equals null) closes its open version at ``now`` and opens a new one; an
 unchanged key is untouched; a key missing from the source stays open.
 Version id = md5(key | valid_from).
+
+Two forms with the same rows: :func:`snapshot_scd2` gives the whole new history; a log of opened
+versions (:func:`opened_versions`, appended by each run) holds only what changed, and
+:func:`history_of` reads it as the history.
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 SCD_COLUMNS = ["scd_id", "valid_from", "valid_to"]
 
@@ -108,3 +113,32 @@ def snapshot_scd2(
     )
     rows = j.select(F.explode(F.filter(F.array(old, new), lambda x: x.isNotNull())).alias("v")).select("v.*")
     return closed.unionByName(rows)
+
+
+def opened_versions(
+    log: DataFrame | None, source: DataFrame, key: str, check_cols: Sequence[str], now: dt.datetime
+) -> DataFrame:
+    """What one run appends to the log: a version for each source row whose key is new or whose
+    check columns differ from the key's latest version. A version closes when its key's next one
+    opens, so a closing is no row of its own and nothing written before is touched.
+
+    Of the log only the key, the check columns and ``valid_from`` are read; the latest version of a
+    key is a ``max_by`` (combined map-side), and both sides meet hash-partitioned on the key.
+    ``now`` must be later than every earlier run's; a null key matches nothing and opens a version.
+    """
+    if log is not None:
+        seen = F.max_by(F.struct(*check_cols), "valid_from").alias("_seen")
+        latest = log.groupBy(F.col(key).alias("_key")).agg(seen)
+        same = F.lit(True)
+        for c in check_cols:
+            same = same & F.col(c).eqNullSafe(F.col(f"_seen.{c}"))
+        joined = source.join(latest, F.col(key) == F.col("_key"), "left")
+        source = joined.filter(F.col("_seen").isNull() | ~same).select(*source.columns)
+    return open_versions(source, key, now).drop("valid_to")
+
+
+def history_of(log: DataFrame, key: str) -> DataFrame:
+    """The type-2 history that a log of opened versions stands for. A window holds one key's
+    versions: one row a run at most, whatever the number of events behind them."""
+    after = F.lead("valid_from").over(Window.partitionBy(key).orderBy("valid_from"))
+    return log.withColumn("valid_to", F.when(F.col(key).isNotNull(), after))

@@ -29,7 +29,6 @@ from quayside.session import materialize
 from quayside.sources.lake import (
     complete_versions,
     each_new_batch,
-    existing,
     read_lake_batches,
     read_latest,
     read_table_or_none,
@@ -285,38 +284,24 @@ def read_mart(spark: SparkSession, paths: Paths, name: str) -> DataFrame | None:
     return read_latest(spark, paths.mart(name))[0]
 
 
-def open_versions(spark: SparkSession, paths: Paths, before: str | None = None) -> tuple[DataFrame | None, str | None]:
-    """The open versions as of the newest complete snapshot run (strictly
-    before ``before``): the only part of the history a new run reads."""
+def snapshot_log(spark: SparkSession, paths: Paths, before: str | None = None) -> tuple[DataFrame | None, str | None]:
+    """The versions opened by every complete snapshot run (strictly before ``before``) and the newest such run."""
     versions = [v for v in complete_versions(spark, paths.snapshot) if before is None or v < before]
     if not versions:
         return None, None
-    path = f"{version_path(paths.snapshot, versions[-1])}/part=open"
-    return spark.read.parquet(path), versions[-1]
+    return spark.read.parquet(*[version_path(paths.snapshot, v) for v in versions]), versions[-1]
 
 
 def snapshot_history(spark: SparkSession, paths: Paths) -> tuple[DataFrame | None, str | None]:
-    """Full type-2 history: the versions closed by every run plus the open
-    versions of the newest run."""
-    versions = complete_versions(spark, paths.snapshot)
-    if not versions:
-        return None, None
-    parts = existing(spark, [f"{version_path(paths.snapshot, v)}/part=closed" for v in versions])
-    parts.append(f"{version_path(paths.snapshot, versions[-1])}/part=open")
-    df = spark.read.parquet(*parts)
-    return df, versions[-1]
+    """Full type-2 history: the log's versions, each closed where its customer's next one opens."""
+    log, version = snapshot_log(spark, paths)
+    return (None if log is None else snapshot.history_of(log, "customer_id")), version
 
 
 def write_snapshot_run(rows: DataFrame, paths: Paths, version: str) -> None:
-    """One pass writes the versions this run closed and the new open set.
-    Closed versions are never rewritten again, so a run costs the size of
-    the open set, not of the whole history."""
-    part = F.when(F.col("valid_to").isNull(), F.lit("open")).otherwise(F.lit("closed"))
-    rows.withColumn("part", part).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        "part"
-    ).parquet(
-        version_path(paths.snapshot, version)
-    )
+    """Only the versions this run opened are written; no earlier row is written again, so a
+    run's output is the size of the change."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(version_path(paths.snapshot, version))
 
 
 def newest_version(spark: SparkSession, paths: Paths) -> str:
@@ -372,8 +357,8 @@ def run_batch(spark: SparkSession, paths: Paths, now: dt.datetime, bad_rows: str
     quality.gate({"dim_customers": dim, "fct_daily_revenue": daily})
     result.stages.append("mart tests passed")
 
-    current, _ = open_versions(spark, paths, before=version)
-    rows = snapshot.snapshot_scd2(current, dim, "customer_id", SNAPSHOT_CHECK_COLS, now)
+    log, _ = snapshot_log(spark, paths, before=version)
+    rows = snapshot.opened_versions(log, dim, "customer_id", SNAPSHOT_CHECK_COLS, now)
     write_snapshot_run(rows, paths, version)
     result.stages.append(f"snapshot {version}")
     return result

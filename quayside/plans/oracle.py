@@ -707,6 +707,7 @@ FROM parsed WHERE dlq_reason IS NOT NULL""",
     "dedupe_by_key": w(STREAM, f"SELECT {LAKE_COLS} FROM valid"),
     "insert_if_absent": w(STREAM, f"SELECT {LAKE_COLS} FROM valid"),
     "scd2_history": SCD2_HISTORY,
+    "scd2_history_from_log": SCD2_HISTORY,
     "scd2_changes": SCD2_CHANGES,
     "dq_report": w(MARTS, _dq("stg", "dim", "fct", "daily")),
     "dq_report_broken": w(BROKEN, _dq("stg", "dim", "fct", "daily")),

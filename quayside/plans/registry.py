@@ -226,6 +226,15 @@ def _scd2_history(spark: SparkSession, sf: str) -> DataFrame:
     return history
 
 
+def _scd2_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The same history kept as a log: each run writes the versions it opens, and no other row."""
+    log = None
+    for now, current in _snapshot_dims(spark, sf):
+        opened = materialize(snapshot.opened_versions(log, current, "customer_id", SNAPSHOT_CHECK_COLS, now), "opened")
+        log = opened if log is None else log.unionByName(opened)
+    return snapshot.history_of(log, "customer_id")
+
+
 def _scd2_changes(spark: SparkSession, sf: str) -> DataFrame:
     """The change types of the second run, which sees other customers, and of the last one, which sees all events."""
     history, changes = None, []
@@ -319,6 +328,7 @@ _QUERIES: dict[str, Query] = {
     "insert_if_absent": _insert_if_absent,
     # history and data tests
     "scd2_history": lambda s, sf: present(_scd2_history(s, sf)),
+    "scd2_history_from_log": lambda s, sf: present(_scd2_log(s, sf)),
     "scd2_changes": _scd2_changes,
     "dq_report": lambda s, sf: quality.dq_report(layers(stg(s, sf), written=True)),
     "dq_report_stream": _dq_stream,

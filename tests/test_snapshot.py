@@ -59,3 +59,32 @@ def test_absent_key_stays_open_and_null_equals_null(spark):
     assert len(h2) == 2
     assert all(r["valid_to"] is None for r in h2)
     assert {r["valid_from"] for r in h2} == {R1}
+
+
+def test_log_writes_changes_only_and_gives_the_same_history(spark):
+    """One customer in a hundred changes, one is new, one goes and comes back, one has a null key."""
+    schema = "customer_id string, customer_segment string, total_spend double, loaded_at timestamp"
+    check = ["customer_segment", "total_spend"]
+
+    def run(now, changed, leave_out=(), more=()):
+        ids = [f"c{i}" for i in range(200) if i not in leave_out] + list(more)
+        return spark.createDataFrame([(c, "VIP", 7.0 if c in changed else None, now) for c in ids], schema)
+
+    runs = [
+        (R1, run(R1, set())),
+        (R2, run(R2, {"c3", "c9"}, leave_out=(5,), more=("new",))),
+        (R3, run(R3, {"c3", "c5"}, more=("new", None))),
+    ]
+    log, full, sizes = None, None, []
+    for now, source in runs:
+        opened = snapshot.opened_versions(log, source, "customer_id", check, now).cache()
+        sizes.append(opened.count())
+        log = opened if log is None else log.unionByName(opened)
+        full = snapshot.snapshot_scd2(full, source, "customer_id", check, now).cache()
+    # run 2: c3, c9, new; run 3: c9 back to null, c5 on its return, the null key
+    assert sizes == [200, 3, 3]
+    got = snapshot.history_of(log, "customer_id")
+    assert got.columns == full.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, full.collect()))
+    # a run repeated over the same rows appends nothing but the null key, which matches nothing
+    assert snapshot.opened_versions(log, runs[-1][1], "customer_id", check, dt.datetime(2024, 2, 4)).count() == 1
