@@ -543,8 +543,17 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
         gaps.groupBy(*place).agg(F.min("lo").alias("want_lo"), F.max("hi").alias("want_hi")).withColumn("gap", F.monotonically_increasing_id()),
         "open-records",
     )
-    wanted = opened.join(group.select(*place, "h"), place).groupBy("h").agg(F.min("want_lo").alias("lo"), F.max("want_hi").alias("hi"))
-    stretches = _stretches(group.join(wanted, "h").join(opened, place, "left"))
+    # written, so that its size is known before the groups' records would be dealt by h
+    wanted = written(
+        opened.join(group.select(*place, "h"), place).groupBy("h").agg(F.min("want_lo").alias("lo"), F.max("want_hi").alias("hi")),
+        "open-reach",
+    )
+    sides = ["l1", "l2", "right", "left", "lo", "hi"]
+    marked = group.join(wanted, "h").join(opened, place, "left")
+    # records that ask nothing only serve as partners: one for each text does
+    partners = marked.filter("gap is null").select(*sides).distinct()
+    asking = marked.filter("gap is not null").select("gap", "want_lo", "want_hi", *sides)
+    stretches = _stretches(written(asking.unionByName(partners, allowMissingColumns=True), "open-texts"))
     third = reduce(DataFrame.union, _banded(stretches)).join(opened.select("gap", "digest", "a"), "gap")
     return covered.union(third.selectExpr("digest", "a - hi as start", f"a - lo + {LENGTH} as stop"))
 
