@@ -18,13 +18,14 @@ only what they close plus the open set.
 from __future__ import annotations
 
 import datetime as dt
+import inspect
 import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.operators import marts, merge, quality, snapshot, staging
+from quayside.operators import marts, merge, quality, snapshot, staging, states
 from quayside.session import materialize
 from quayside.sources.lake import (
     complete_versions,
@@ -71,6 +72,10 @@ class Paths:
         """State of the incremental dimension, partitioned by event day."""
         return os.path.join(self.warehouse, "state", "customer_day_category")
 
+    def day_state(self, name: str) -> str:
+        """A state of :mod:`quayside.operators.states`, partitioned by event day."""
+        return os.path.join(self.warehouse, "state", name)
+
     @property
     def pending_days(self) -> str:
         """(event_day, run): days a run's load touched."""
@@ -238,6 +243,26 @@ def update_day_groups(spark: SparkSession, paths: Paths) -> int:
     return len(days)
 
 
+def update_day_states(spark: SparkSession, paths: Paths) -> int:
+    """The states that windowed queries are answered from, recomputed for the days touched by runs they do not reflect
+    yet. Call after :func:`update_day_groups`, whose groups give a day's customers. Returns the number of days."""
+    days, runs = pending_days(spark, paths, "day_states")
+    if not days:
+        return 0
+    rows = staged_days(spark, paths, days)
+    groups = spark.read.parquet(paths.day_groups).filter(F.col(RAW_PARTITION).isin(days)).drop(RAW_PARTITION)
+    fresh = {
+        "day_measures": states.day_measures(rows),
+        "day_customers": states.day_customers(groups),
+        "day_candidates": states.day_candidates(rows),
+    }
+    for name, state in fresh.items():
+        keyed = state.withColumn(RAW_PARTITION, event_day_of_group()).repartition(RAW_PARTITION)
+        keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RAW_PARTITION).parquet(paths.day_state(name))
+    mark_done(spark, paths, "day_states", runs)
+    return len(days)
+
+
 def daily_rollup(spark: SparkSession, paths: Paths, now: dt.datetime) -> tuple[DataFrame, list[str], int]:
     """The daily rollup as a full refresh would compute it, recomputing only
     the days touched since the last published rollup: other days are
@@ -347,6 +372,7 @@ def run_batch(spark: SparkSession, paths: Paths, now: dt.datetime, bad_rows: str
     # after recomputing only the days this and any unfinished run touched.
     n_days = update_day_groups(spark, paths)
     result.stages.append(f"day groups recomputed for {n_days} days")
+    result.stages.append(f"day states recomputed for {update_day_states(spark, paths)} days")
     dim = publish("dim_customers", marts.dim_from_groups(spark.read.parquet(paths.day_groups), now))
     # The rollup reads no dimension column, so it is built from the staged rows;
     # only the touched days are re-aggregated.
@@ -390,28 +416,6 @@ def marts_from_warehouse(spark: SparkSession, paths: Paths) -> dict[str, DataFra
     }
 
 
-# Query name -> (input, default days its window reaches back (None = all of the input),
-# whether it takes the as-of date, which of ``days`` / ``k`` a caller may set). "stg": a fact query that reads no
-# customer column is answered from the staged rows, without the dimension.
-_QUERY_INPUTS = {
-    "q1_revenue_today": ("stg", 0, True, ()),
-    "q2_category_7d": ("stg", 7, True, ("days",)),
-    "q3_top_customers": ("dim", None, False, ("k",)),
-    "q4_hourly_today": ("stg", 0, True, ()),
-    "q5_failure_by_payment_30d": ("stg", 30, True, ("days",)),
-    "q6_flagged": ("fct", None, False, ("k",)),
-    "q7_segments": ("dim", None, False, ()),
-    "q8_daily_trend_30d": ("stg", 30, True, ("days",)),
-    "d1_kpis_today": ("daily", None, True, ()),
-    "d2_revenue_trend": ("daily", None, True, ("days",)),
-    "d2b_daily_total": ("daily", None, True, ("days",)),
-    "d3_category_breakdown": ("daily", None, True, ("days",)),
-    "d4_top_customers": ("dim", None, False, ("k",)),
-    "d5_payment_failure": ("stg", 30, True, ("days",)),
-    "d6_segments": ("dim", None, False, ()),
-}
-
-
 def staged_since(spark: SparkSession, paths: Paths, since: dt.date | None) -> DataFrame:
     """Staged rows dated on or after ``since``, by pruned day partitions."""
     staged = spark.read.parquet(paths.staged)
@@ -420,26 +424,62 @@ def staged_since(spark: SparkSession, paths: Paths, since: dt.date | None) -> Da
     return staged.drop(RAW_PARTITION)
 
 
+# Query name -> (input, whether it takes the as-of date, which of ``days`` / ``k`` a caller may set). "state": a
+# query over whole days, answered from the day states.
+_QUERY_INPUTS = {
+    "q1_revenue_today": ("state", True, ()),
+    "q2_category_7d": ("state", True, ("days",)),
+    "q3_top_customers": ("dim", False, ("k",)),
+    "q4_hourly_today": ("state", True, ()),
+    "q5_failure_by_payment_30d": ("state", True, ("days",)),
+    "q6_flagged": ("candidates", False, ("k",)),
+    "q7_segments": ("dim", False, ()),
+    "q8_daily_trend_30d": ("state", True, ("days",)),
+    "d1_kpis_today": ("daily", True, ()),
+    "d2_revenue_trend": ("daily", True, ("days",)),
+    "d2b_daily_total": ("daily", True, ("days",)),
+    "d3_category_breakdown": ("daily", True, ("days",)),
+    "d4_top_customers": ("dim", False, ("k",)),
+    "d5_payment_failure": ("state", True, ("days",)),
+    "d6_segments": ("dim", False, ()),
+}
+
+
+def day_state(spark: SparkSession, paths: Paths, name: str, since: dt.date | None = None) -> DataFrame:
+    """A day state, of the days from ``since`` on (pruned partitions)."""
+    state = spark.read.parquet(paths.day_state(name))
+    if since is not None:
+        state = state.filter(F.col(RAW_PARTITION) >= F.lit(since))
+    return state.drop(RAW_PARTITION)
+
+
 def warehouse_query(
     spark: SparkSession, paths: Paths, name: str, as_of: dt.date, days: int | None = None, k: int | None = None
 ) -> DataFrame:
     """Answer a named analytics / dashboard query from the warehouse this
-    job maintains: the newest mart versions, and for fact queries the staged rows (joined to the dimension only
-    where a customer column is read) of the days the query's window can reach. ``days`` and
-    ``k`` set the window and the number of rows of the queries that have them."""
+    job maintains: the newest mart versions, and for queries over the transactions the day states of the days
+    their window can reach. ``days`` and ``k`` set the window and the number of rows of the queries that have them.
+    Only ``q6_flagged`` may need the transactions: where there are fewer than ``k`` high-value rows."""
     from quayside.plans import queries as Q
+    from quayside.plans import served
 
-    source, reach, dated, settable = _QUERY_INPUTS[name]
+    source, dated, settable = _QUERY_INPUTS[name]
     given = {n: v for n, v in (("days", days), ("k", k)) if v is not None}
     if not set(given) <= set(settable):
         raise ValueError(f"{name} takes {settable or 'no parameter'}, not {sorted(given)}")
-    if source == "stg":
-        back = given.get("days", reach)
-        data = marts.with_amount_flag(staged_since(spark, paths, as_of - dt.timedelta(days=back)))
-    elif source == "fct":
-        data = fact_view(spark, paths)
-    else:
-        data = read_mart(spark, paths, "dim_customers" if source == "dim" else "fct_daily_revenue")
+    if source == "state":
+        fn = getattr(served, name)
+        reach = given.get("days", inspect.signature(fn).parameters["days"].default if settable else 0)
+        since = as_of - dt.timedelta(days=reach)
+        parts = [day_state(spark, paths, "day_measures", since)]
+        if name == "q8_daily_trend_30d":
+            parts.append(day_state(spark, paths, "day_customers", since))
+        return fn(*parts, as_of, **given)
+    if source == "candidates":
+        # no such folder: no day had a high-value row
+        found = read_table_or_none(spark, paths.day_state("day_candidates"))
+        return served.q6_flagged(found, read_mart(spark, paths, "dim_customers"), lambda: fact_view(spark, paths), **given)
+    data = read_mart(spark, paths, "dim_customers" if source == "dim" else "fct_daily_revenue")
     if name == "d2b_daily_total":
         return Q.d2b_daily_total(Q.d2_revenue_trend(data, as_of, **given))
     fn = getattr(Q, name)

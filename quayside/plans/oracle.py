@@ -716,3 +716,14 @@ FROM parsed WHERE dlq_reason IS NOT NULL""",
         _dq("stg", "dim", "fct", "daily"),
     ),
 }
+# From day states: the same answers, from the same SQL over the events.
+for _name in (
+    "q1_revenue_today",
+    "q2_category_7d",
+    "q4_hourly_today",
+    "q5_failure_by_payment_30d",
+    "q6_flagged",
+    "q8_daily_trend_30d",
+    "d5_payment_failure",
+):
+    ORACLE[f"{_name}_served"] = ORACLE[_name]

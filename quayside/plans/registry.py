@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from quayside.operators import contract, marts, merge, parse, quality, snapshot, staging
-from quayside.plans import batch
+from quayside.operators import contract, marts, merge, parse, quality, snapshot, staging, states
+from quayside.plans import batch, served
 from quayside.plans import queries as Q
 from quayside.schema import EVENT_FIELDS
 from quayside.session import materialize, scratch_path
@@ -98,6 +98,21 @@ def daily(spark: SparkSession, sf: str) -> DataFrame:
     return marts.fct_daily_revenue(flagged(spark, sf), NOW)
 
 
+def measures(spark: SparkSession, sf: str) -> DataFrame:
+    """The day measures of all events, written as the batch job keeps them."""
+    return materialize(states.day_measures(stg(spark, sf)), "measures")
+
+
+def _q6_served(spark: SparkSession, sf: str) -> DataFrame:
+    candidates = materialize(states.day_candidates(stg(spark, sf)), "candidates")
+    return served.q6_flagged(candidates, dim(spark, sf), lambda: fct(spark, sf))
+
+
+def _q8_served(spark: SparkSession, sf: str) -> DataFrame:
+    customers = states.day_customers(marts.customer_day_groups(stg(spark, sf)))
+    return served.q8_daily_trend_30d(measures(spark, sf), customers, AS_OF)
+
+
 def parsed(spark: SparkSession, sf: str) -> DataFrame:
     return parse.parse_transactions(testdata.dealt(testdata.wire_messages(spark, sf)))
 
@@ -309,6 +324,14 @@ _QUERIES: dict[str, Query] = {
     "d4_top_customers": lambda s, sf: present(Q.d4_top_customers(dim(s, sf))),
     "d5_payment_failure": lambda s, sf: present(Q.d5_payment_failure(flagged(s, sf), AS_OF)),
     "d6_segments": lambda s, sf: present(Q.d6_segments(dim(s, sf))),
+    # the windowed queries from day states
+    "q1_revenue_today_served": lambda s, sf: present(served.q1_revenue_today(measures(s, sf), AS_OF)),
+    "q2_category_7d_served": lambda s, sf: present(served.q2_category_7d(measures(s, sf), AS_OF)),
+    "q4_hourly_today_served": lambda s, sf: present(served.q4_hourly_today(measures(s, sf), AS_OF)),
+    "q5_failure_by_payment_30d_served": lambda s, sf: present(served.q5_failure_by_payment_30d(measures(s, sf), AS_OF)),
+    "q6_flagged_served": lambda s, sf: present(_q6_served(s, sf)),
+    "q8_daily_trend_30d_served": lambda s, sf: present(_q8_served(s, sf)),
+    "d5_payment_failure_served": lambda s, sf: present(served.d5_payment_failure(measures(s, sf), AS_OF)),
     # stream operators
     "encode_roundtrip": _encode_roundtrip,
     "parse_transactions": lambda s, sf: parsed(s, sf).drop("raw_value"),

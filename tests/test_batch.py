@@ -288,7 +288,7 @@ def test_earlier_now_is_refused_before_any_write(spark, scratch):
 
 def test_warehouse_queries_equal_registry_queries(spark, scratch):
     """The named queries answered from the maintained warehouse (marts and
-    the date-pruned fact view) equal the same queries over freshly built
+    the day states) equal the same queries over freshly built
     layers."""
     from oracle_compare import _key, _norm
 
@@ -306,8 +306,8 @@ def test_warehouse_queries_equal_registry_queries(spark, scratch):
         cols = sorted(df.columns)
         return sorted((tuple(_norm(r[c]) for c in cols) for r in df.collect()), key=_key)
 
-    inputs["stg"] = inputs["fct"]
-    for name, (source, _, dated, settable) in batch._QUERY_INPUTS.items():
+    inputs |= {"state": inputs["fct"], "candidates": inputs["fct"]}
+    for name, (source, dated, settable) in batch._QUERY_INPUTS.items():
         data = inputs[source]
         for given in ({}, *({p: 7} for p in settable)):
             if name == "d2b_daily_total":
@@ -317,8 +317,8 @@ def test_warehouse_queries_equal_registry_queries(spark, scratch):
                 expected = fn(data, as_of, **given) if dated else fn(data, **given)
             served = batch.warehouse_query(spark, paths, name, as_of, **given)
             assert rows(served) == rows(expected), (name, given)
-            if source in ("stg", "daily"):
+            if source in ("state", "daily"):
                 plan = spark._jvm.PythonSQLUtils.explainString(served._jdf.queryExecution(), "simple")
-                assert "Join" not in plan, (name, plan)
+                assert "Join" not in plan and "stg_transactions" not in plan, (name, plan)
     with pytest.raises(ValueError):
         batch.warehouse_query(spark, paths, "q1_revenue_today", as_of, days=3)
