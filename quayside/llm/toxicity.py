@@ -4,13 +4,16 @@ A clause's words become symbols: insult, suspect, threat, target, negation, repo
 other (a suspect is a stem that toxic texts repeat and others hold now and then). Four transducers are composed into one: negation rewrites an insult, suspect or threat
 that follows a negation within three words; reported speech rewrites what follows a reporting
 word; target rewrites an insult or threat in a clause that has already
-named someone; scoring consumes what is left, emitting one weighted event per
+named someone, and whom a threat names within two words; scoring consumes what is left, emitting one weighted event per
 symbol. The composed machine runs over matched clauses only: clauses that hold
 an insult or threat, found by one Aho-Corasick pass over the whole text.
 
 The grammar's closed lists (targets, negations, reports, threats, first insults) are
 fixed; further insults and suspects (words and stems) and the event weights are learned from
-at most ``SAMPLE`` labelled rows (those with the smallest id hashes). Suspects count as far as they exceed their
+at most ``SAMPLE`` labelled rows (those with the smallest id hashes): whole words of many toxic rows first,
+then what reaches the most of the rows left. A stem has five letters or more; it is an insult only if no clean row holds a word
+under it, else it is at most a suspect, if toxic rows repeat it. A threat with a target starts
+out as toxic by itself; labelled rows may say otherwise. Suspects count as far as they exceed their
 learned rate in clean text. Only texts
 and labels take part: language, source and ids are never inputs.
 
@@ -41,10 +44,11 @@ from quayside.llm.store import written
 SAMPLE = 8000
 THRESHOLD = 0.3
 # A word or stem may be learned if SUPPORT toxic sample rows hold it (insult) or repeat it (suspect) and PURITY of
-# such rows are toxic; at most LEXICON are looked at. Learned are those with SURE such rows, and the fewest that
+# such rows are toxic (a stem held: all). Learned are words with SURE such rows, then the fewest words and stems that
 # reach the toxic rows left, each SUPPORT rows and the share GAIN of the toxic rows that the fixed lists miss.
-SUPPORT, SURE, GAIN, PURITY, LEXICON = 2, 8, 0.01, 0.85, 4000
-STEMS = (4, 5, 6, 7, 8)
+SUPPORT, SURE, GAIN, PURITY = 2, 8, 0.01, 0.85
+STEMS = (5, 6, 7, 8)
+NAMED = 0.5  # what a clause with a threat and its target scores before labelled rows are seen
 
 INSULTS = "idiot idiots moron morons scum trash loser losers pathetic worthless stupid disgusting clown clowns vermin".split()
 THREATS = "kill hurt destroy beat crush smash burn töten umbringen vernichten tuer frapper détruire matar golpear destruir".split()
@@ -103,7 +107,14 @@ def grammar() -> Transducer:
     reported = Transducer(
         {(s, "report"): (1, "report", None) for s in (0, 1)} | {(1, b): (1, f"reported {b}", None) for b in bad}, {}
     )
-    target = Transducer({(s, "target"): (1, "target", None) for s in (0, 1)} | {(1, b): (1, f"{b}@target", None) for b in bad}, {})
+    # 0: nobody named; 1: somebody; 2, 3: nobody, one and two words after a threat
+    target = Transducer(
+        {(s, "target"): (1, "target", None) for s in (0, 1)}
+        | {(s, "target"): (1, "threat@target", None) for s in (2, 3)}
+        | {(s, "threat"): (2, "threat", None) for s in (0, 2, 3)}
+        | {(1, b): (1, f"{b}@target", None) for b in bad},
+        {2: 3, 3: 0},
+    )
     score = Transducer({(0, e): (0, e, e) for e in EVENTS}, {})
     return compose(compose(compose(negation, reported, symbols), target, symbols), score, symbols)
 
@@ -210,11 +221,16 @@ def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["feature", "toxic", "clean"])
 
 
+def _least(rows: int) -> int:
+    """Rows a feature must reach to be chosen, of ``rows`` toxic ones that the fixed lists miss."""
+    return max(SUPPORT, math.ceil(rows * GAIN))
+
+
 def _cover(rows: list[list[tuple[int, int]]], known: set[int]) -> set[int]:
     """Greedy: the feature in most rows not yet reached (ties: most often used), until none reaches enough."""
     chosen: set[int] = set()
     left = [dict(r) for r in rows if not known & {f for f, _ in r}]
-    least = max(SUPPORT, math.ceil(len(rows) * GAIN))
+    least = _least(len(rows))
     while left:
         gain: Counter = Counter()
         used: Counter = Counter()
@@ -229,17 +245,32 @@ def _cover(rows: list[list[tuple[int, int]]], known: set[int]) -> set[int]:
     return chosen
 
 
+def _missed(text: str, fixed: Scanner) -> bool:
+    """What the fixed lists read needs no learned word."""
+    return not fixed.events(text)[~SUSPECT].any()
+
+
 def _lexicon(taught: DataFrame) -> tuple[tuple[str, bool, str], ...]:
     """Words and stems learned from the sample."""
+
+    def missed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fixed = Scanner()
+        for batch in batches:
+            yield pd.DataFrame({"n": [sum(_missed(text, fixed) for text in batch["text"])]})
+
+    toxic = taught.filter("toxic = 1")
+    n = toxic.mapInPandas(missed, "n long").agg(F.sum("n")).first()[0] or 0
+    pure = F.col("toxic") >= PURITY * (F.col("toxic") + F.col("clean"))
     counts = (
         taught.mapInPandas(_features, "feature string, toxic long, clean long")
         .groupBy("feature")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .filter((F.col("toxic") >= SUPPORT) & (F.col("toxic") >= PURITY * (F.col("toxic") + F.col("clean"))))
+        # what fewer toxic rows hold can be chosen by neither rule
+        .filter(F.col("toxic") >= min(SURE, _least(n)))
+        .filter(pure & ((F.substring("feature", 1, 2) != "1s") | (F.col("clean") == 0)))
         .orderBy(F.desc("toxic"), "clean", F.desc(F.length("feature")), "feature")
-        .limit(LEXICON)
         .collect()
-    )
+    )  # of the bounded sample
     place = {r.feature: i for i, r in enumerate(counts)}
 
     def present(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -247,16 +278,17 @@ def _lexicon(taught: DataFrame) -> tuple[tuple[str, bool, str], ...]:
         for batch in batches:
             out = []
             for text in batch["text"]:
-                if not fixed.events(text)[~SUSPECT].any():  # what the fixed lists read needs no learned word
+                if _missed(text, fixed):
                     uses = {place[f]: n for f, n in _uses(text).items() if f in place}
                     out.append((list(uses.keys()), list(uses.values())))
             yield pd.DataFrame(out, columns=["f", "n"])
 
     # one short list per toxic sample row
-    rows = [list(zip(r.f, r.n, strict=True)) for r in taught.filter("toxic = 1").mapInPandas(present, "f array<int>, n array<int>").collect()]
-    sure = {i for i, r in enumerate(counts) if r.toxic >= SURE}
+    rows = [list(zip(r.f, r.n, strict=True)) for r in toxic.mapInPandas(present, "f array<int>, n array<int>").collect()]
+    sure = {i for i, r in enumerate(counts) if r.feature[1] == "w" and r.toxic >= SURE}
+    chosen = sure | _cover(rows, sure)
     kept: dict[str, int] = {}
-    for i in sorted(sure | _cover(rows, sure), key=lambda i: (-len(counts[i].feature), counts[i].feature)):
+    for i in sorted(chosen, key=lambda i: (-len(counts[i].feature), counts[i].feature)):
         # of stems with equal counts the longest stands for all
         name = counts[i].feature
         if not any(k[:2] == name[:2] and k.startswith(name) and counts[j][1:] == counts[i][1:] for k, j in kept.items()):
@@ -291,10 +323,20 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE, teach: Column
 
 
 def _fit(x: np.ndarray, toxic: np.ndarray) -> tuple[list[float], float]:
-    """Ridge logistic regression by Newton steps. No rows: no evidence beyond the start."""
+    """Ridge logistic regression by Newton steps, drawn to start weights. No rows: no evidence beyond the start.
+    Fitted twice: the rate of texts without events is known after the first fit, and the start weight of a threat with its
+    target is set so that one such clause in a text scores ``NAMED``."""
     start = np.where(np.array([e.startswith(("negated", "reported")) for e in EVENTS]), 0.3, 2.0)
-    a = np.c_[x, np.ones(len(x))]
     prior = np.r_[start, -3.0]
+    a = np.c_[x, np.ones(len(x))]
+    w = prior
+    for _ in range(2):
+        prior[EVENTS.index("threat@target")] = (math.log(NAMED / (1 - NAMED)) - w[-1]) / math.log(2)
+        w = _newton(a, toxic, prior)
+    return w[:-1].tolist(), float(w[-1])
+
+
+def _newton(a: np.ndarray, toxic: np.ndarray, prior: np.ndarray) -> np.ndarray:
     ridge = np.diag(np.r_[np.ones(len(EVENTS)), 5.0])  # a few rows do not move the rate of texts without events
     w = prior.copy()
     for _ in range(50):
@@ -303,7 +345,7 @@ def _fit(x: np.ndarray, toxic: np.ndarray) -> tuple[list[float], float]:
         w = w + np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-8:
             break
-    return w[:-1].tolist(), float(w[-1])
+    return w
 
 
 def with_score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:

@@ -35,6 +35,10 @@ def read(text, learned=()):
         ("he said so. idiot", {"insult": 1}),
         ("they will kill time", {"threat@target": 1}),
         ("we never hurt", {"negated threat": 1}),
+        ("I will kill you and burn your house", {"threat": 1, "threat@target": 2}),
+        ("we kill all of you", {"threat": 1}),
+        ("I will never hurt you", {"negated threat": 1}),
+        ("beat the eggs", {"threat": 1}),
         ("scumbag", {}),
         ("grumpf you grumpfling", {"insult": 1, "insult@target": 1}),
         ("so gloomy and gloomily", {"suspect": 1}),
@@ -84,6 +88,27 @@ def test_held_out_labels_teach_nothing(sp):
     assert t.learn(docs, labels, teach=~t.held_out()) == t.learn(docs, flipped, teach=~t.held_out())
 
 
+def test_threats_count_and_look_alikes_do_not(sp):
+    """A threat with its target is toxic by itself; words that only begin like an insult are not."""
+    docs = sp.read.parquet(f"{SF_CHECK}/documents.parquet")
+    model = t.learn(docs, sp.read.parquet(f"{SF_CHECK}/labels.parquet"), teach=~t.held_out())
+    scanner = t.Scanner(model.learned)
+    toxic = ["I will kill you and burn your house down.", "They will kill him.", "I will kill you."]
+    clean = ["Morocco lies in Africa. Morocco has mountains.", "Teams that lose one match often lose the next.", "He never hurt them."]
+    assert (model.score(toxic, scanner) >= t.THRESHOLD).all()
+    assert (model.score(clean, scanner) < t.THRESHOLD).all()
+    assert all(len(w) >= 5 for w, stem, _ in model.learned if stem)
+
+
+def test_a_stem_with_a_clean_word_is_no_insult(sp, docs):
+    toxic = [f"grumbl{end} all day" for end in ("axo", "ebu", "ity", "orf", "uke", "yl")]
+    for clean, learned in (("all day", True), ("grumbles all day", False)):
+        rows = docs(*enumerate([*toxic, clean, "a fine day"]))
+        labels = sp.createDataFrame([(i, 0, int(i < 6)) for i in range(8)], LABELS)
+        stems = [w for w, stem, kind in t.learn(rows, labels).learned if stem and kind == "insult"]
+        assert any(w.startswith("grum") for w in stems) == learned
+
+
 def test_defined_cases(sp, docs):
     rows = docs((1, "you idiot, you worthless clown"), (1, "fine"), (None, None), (2, ""), (3, "all is well")).selectExpr("*", "'x' as toxic", "2 as x")
     labels = sp.createDataFrame([(1, 0, 1), (1, 1, 0), (None, 0, 1), (2, None, None), (9, 0, 1)], LABELS)
