@@ -543,18 +543,19 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
         gaps.groupBy(*place).agg(F.min("lo").alias("want_lo"), F.max("hi").alias("want_hi")).withColumn("gap", F.monotonically_increasing_id()),
         "open-records",
     )
-    # written, so that its size is known before the groups' records would be dealt by h
-    wanted = written(
-        opened.join(group.select(*place, "h"), place).groupBy("h").agg(F.min("want_lo").alias("lo"), F.max("want_hi").alias("hi")),
-        "open-reach",
-    )
-    sides = ["l1", "l2", "right", "left", "lo", "hi"]
-    marked = group.join(wanted, "h").join(opened, place, "left")
-    # records that ask nothing only serve as partners: one for each text does
-    partners = marked.filter("gap is null").select(*sides).distinct()
-    asking = marked.filter("gap is not null").select("gap", "want_lo", "want_hi", *sides)
+    # records of equal text are one before any join, however many copies the group holds; all their windows are repeated
+    text = ["h", "l1", "l2", "right", "left"]
+    alike = written(group.groupBy(*text).agg(F.count("*").alias("n")), "open-alike")
+    asked = written(opened.join(group, place).join(alike, text).select("gap", "want_lo", "want_hi", *text, "n"), "open-asked")
+    twins = asked.filter("n > 1").selectExpr("gap", "greatest(want_lo, l1) as lo", "least(want_hi, l2) as hi").filter("lo <= hi")
+    alone = asked.filter("n = 1").drop("n")
+    # written, so that its size is known before the groups' texts would be dealt by h
+    wanted = written(alone.groupBy("h").agg(F.min("want_lo").alias("lo"), F.max("want_hi").alias("hi")), "open-reach")
+    sides = [*text[1:], "lo", "hi"]
+    partners = alike.join(alone.select(*text), text, "left_anti").join(wanted, "h").select(*sides)
+    asking = alone.join(wanted, "h").select("gap", "want_lo", "want_hi", *sides)
     stretches = _stretches(written(asking.unionByName(partners, allowMissingColumns=True), "open-texts"))
-    third = reduce(DataFrame.union, _banded(stretches)).join(opened.select("gap", "digest", "a"), "gap")
+    third = reduce(DataFrame.union, _banded(stretches), twins).join(opened.select("gap", "digest", "a"), "gap")
     return covered.union(third.selectExpr("digest", "a - hi as start", f"a - lo + {LENGTH} as stop"))
 
 
