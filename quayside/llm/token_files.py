@@ -31,6 +31,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -43,6 +44,7 @@ from quayside.llm.tokens import encoder
 MANIFEST = "shard int, file string, n_docs long, n_ids long, width int, key_type string, least_key string, last_key string"
 GAMMA = 1.6
 BLOCK = 8 << 20
+ROWS, TEXT = 4096, 16 << 20  # rows, and bytes of text unless one row is longer, that are encoded at a time
 TASKS = 1 << 14  # that read at a time
 
 
@@ -164,6 +166,16 @@ class Shard:
         return np.frombuffer(raw, f"<u{self.width}")
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(), dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        most = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + TEXT, "right"))
+        stop = max(at + 1, min(at + ROWS, most))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def write_token_files(
     docs: DataFrame, tokenizer: str, end_id: int, path: str, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -181,8 +193,7 @@ def write_token_files(
         out = where = store = None
         kind = None
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in _parts(batch):
                 kind = part.column("key").type
                 if out is None:
                     store, folder = file_system(path)

@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tokenizers
 
@@ -53,6 +54,45 @@ def test_every_letter_before_every_mark(name):
         assert np.frombuffer(got, own.dtype).tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+@pytest.mark.parametrize("name", [BYTE, WORD])
+def test_every_letter_before_signs(name):
+    own, library = WordEncoder(tokenizer(name)), tokenizers.Tokenizer.from_file(tokenizer(name))
+    texts = [f"{a}{chr(c)}{m}{b}" for c in range(0x21, 0x250) for m in ("#", "$", "%%", "&", "*", ".%%%", "#,") for a, b in (("Ab", ""), ("", "x"), ("ab ", "'s"))]
+    for t, got in zip(texts, own.encode(texts), strict=True):
+        assert np.frombuffer(got, own.dtype).tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_new_words_are_asked_together():
+    """Words of plain letters go to the library joined, once whatever their case and marks; ids are the library's."""
+    own, library = WordEncoder(tokenizer(WORD)), tokenizers.Tokenizer.from_file(tokenizer(WORD))
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcéèçßüñøžığ") for _ in range(rng.randrange(1, 12))) for _ in range(5000)]
+    texts = [" ".join(rng.choice([w, w.capitalize(), w + ",", w.upper() + ".", w + ".%%%"]) for w in words[i : i + 100]) for i in range(0, 5000, 100)]
+    asked = []
+
+    class Counted:
+        def encode_batch_fast(self, said, **options):
+            asked.extend(said)
+            return library.encode_batch_fast(said, **options)
+
+    own.tokenizer = Counted()
+    for t, got in zip(texts, own.encode(texts), strict=True):
+        assert np.frombuffer(got, own.dtype).tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
+    assert len(asked) < len(words) / 50
+
+
+def test_parts_of_a_batch(monkeypatch):
+    """Cut by rows and by bytes; a row beyond the bytes is a part of its own, and no row is lost."""
+    monkeypatch.setattr(token_files, "ROWS", 4)
+    monkeypatch.setattr(token_files, "TEXT", 10)
+    texts = ["", None, "a", "bb", "c" * 11, "d" * 10, "e", "é" * 5, None, *"ffffff"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["key", "text"])
+    parts = [p.column("text").to_pylist() for p in token_files._parts(batch)]
+    assert [t for p in parts for t in p] == texts
+    assert all(len(p) <= 4 and (len(p) == 1 or sum(len((t or "").encode()) for t in p) <= 10) for p in parts)
+    assert len(parts) < len(texts)
+
+
 def test_a_lookup_does_not_grow_with_the_shard():
     """Times of single lookups after the first, with 20,000 and with 2,000,000 keys."""
     import time
