@@ -51,9 +51,13 @@ def insert_if_absent(target: DataFrame | None, source: DataFrame, key: str) -> D
     """
     if target is None:
         return source
+    return source.join(existing_keys(target, source, key), key, "left_anti")
+
+
+def existing_keys(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """The keys of ``target`` that ``source`` brings again."""
     load_keys = source.select(key).filter(F.col(key).isNotNull())
-    existing = target.select(key).join(load_keys, key, "left_semi")
-    return source.join(existing, key, "left_anti")
+    return target.select(key).join(load_keys, key, "left_semi")
 
 
 def load_guard(source: DataFrame) -> bool:

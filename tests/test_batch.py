@@ -175,6 +175,25 @@ def test_redelivery_and_an_id_that_returns_on_another_day(spark, scratch):
     ).count()
 
 
+def test_only_days_that_gain_rows_are_recomputed(spark, scratch):
+    """Every earlier message comes again beside one new day: that day alone is recomputed, and the marts are those of all rows."""
+    paths = batch.Paths(lake=os.path.join(scratch, "lake"), warehouse=os.path.join(scratch, "wh"))
+    events = testdata.transactions(spark, SF_SMALL)
+    late = F.col("timestamp") >= "2024-01-30"
+    _lake_batch(spark, encode_events(events.filter(~late)), paths.lake, "t-0")
+    batch.run_batch(spark, paths, NOW1)
+    _lake_batch(spark, encode_events(events), paths.lake, "t-1")
+    r = batch.run_batch(spark, paths, NOW2)
+    assert r.inserted == events.filter(late).count() > 0
+    for what in ("day groups", "day states", "daily rollup"):
+        assert f"{what} recomputed for 1 days" in r.stages
+    assert spark.read.parquet(paths.raw).count() == events.count()
+    expect = registry.layers(registry.stg(spark, SF_SMALL), NOW2)
+    for name in ("dim_customers", "fct_daily_revenue"):
+        got, want = batch.read_mart(spark, paths, name), expect[name]
+        assert got.count() == want.count() and got.select(*want.columns).exceptAll(want).count() == 0
+
+
 def test_half_published_batch_is_loaded_once_it_is_whole(spark, scratch):
     """A crash between two leaf folders leaves no marker: the batch waits, the replay completes it, no row is lost."""
     from quayside.sources import lake
